@@ -21,7 +21,10 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
+    """The session's broadcast threshold; -1 where broadcasting is switched off."""
     text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    if text.startswith("-"):
+        return -1
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
@@ -64,10 +67,10 @@ def lookup_join(
     keys = [on] if isinstance(on, str) else list(on)
     spark = fact.sparkSession
     profile = fact if profile is None else profile
-    if estimated_bytes(dim) <= broadcast_limit(dim):
-        return fact.join(dim, keys, how)
     if estimated_bytes(profile) < int(spark.conf.get(SKEW_CONF, str(SKEW_MIN_BYTES))):
         return fact.join(dim, keys, how)
+    if estimated_bytes(dim) <= broadcast_limit(dim):
+        return fact.join(dim, keys, how)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_key_hashes(profile, keys, partitions)
     if not hot:

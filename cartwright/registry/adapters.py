@@ -7,7 +7,7 @@ Spark frame and the check query. Only the shape is shared: the operators and the
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,8 +16,20 @@ LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_sup
 MONEY = "DECIMAL(20,4)"
 
 
+# Lazy frames by session, folder and table: schema inference and analysis happen once, not for every use.
+_FRAMES: dict[tuple, DataFrame] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _FRAMES:
+        _FRAMES[key] = build()
+    return _FRAMES[key]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A supplied table."""
+    return _once(spark, sf_dir, table, lambda: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
 
 Part = tuple[str, dict[str, str], str]
@@ -296,6 +308,11 @@ def _select(parts: list[Part], ts: str) -> list[str]:
 
 
 def shop(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shop-shaped table."""
+    return _once(spark, sf_dir, name, lambda: _shop(spark, sf_dir, name))
+
+
+def _shop(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     frame = None
     for source, columns, where in SHOP[name]:
         part = read(spark, sf_dir, source)
