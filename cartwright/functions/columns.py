@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,8 +40,8 @@ def since(text: str) -> Column:
 
 
 def percent_of(amount: Column, pct: Column, digits: int = 2) -> Column:
-    """``amount * pct / 100``, rounded half up. Decimals in, decimal out."""
-    return F.round(amount * pct / F.lit(100), digits)
+    """``amount * pct / 100``, rounded half up. Decimals in, decimal out; times 0.01 is exact and cheaper."""
+    return F.round(amount * pct * F.lit(Decimal("0.01")), digits)
 
 
 def id_list(text: Column, sep: str = ",") -> Column:

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Sides at least this large are profiled for hot keys. Set per session by SKEW_CONF.
-SKEW_MIN_BYTES = 64 << 20
+# Facts whose key columns reach this size are profiled for hot keys. Set per session by SKEW_CONF.
+SKEW_MIN_BYTES = 16 << 20
 SKEW_CONF = "spark.cartwright.skewMinBytes"
 # The profile tracks this many keys; a key holding 1/1000 of the rows cannot escape it.
 TRACKED_KEYS = 10_000

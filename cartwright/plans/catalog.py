@@ -51,8 +51,8 @@ def product_report(t: Mapping[str, DataFrame], prefixes: Prefixes) -> DataFrame:
     """One row per product entity in the declared columns and types.
 
     The newest version of each entity is chosen before any join (highest row id on equal times), so every
-    join is one row to at most one row. The four attribute pivots are grouped by row id and meet the
-    products on it without another shuffle.
+    join is one row to at most one row. The addresses are joined while the products still lie by entity;
+    the four attribute pivots are grouped by row id and meet the products on it without another shuffle.
     """
     base = latest_per_key(
         product_base(t["products"]), ["entity_id"],
@@ -60,15 +60,15 @@ def product_report(t: Mapping[str, DataFrame], prefixes: Prefixes) -> DataFrame:
     )
     prices = special_prices(t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES)
     described = (
-        base.join(eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES), "row_id", "left")
+        base.join(one_url(product_urls(t["url_rewrites"])), "entity_id", "left")
+        .join(eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES), "row_id", "left")
         .join(eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES), "row_id", "left")
         .join(eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, DECODED), "row_id", "left")
         .join(prices, "row_id", "left")
     )
     stock = stock_by_location({k: t[f"stock_{k}"] for k in V.STOCK_COLUMNS}, V.STOCK_COLUMNS)
     sets = t["attribute_sets"].select("attribute_set_id", "attribute_set_name")
-    wide = described.join(one_url(product_urls(t["url_rewrites"])), "entity_id", "left")
-    wide = lookup_join(wide, stock, "sku", "left", t["products"].select("sku"), ["entity_id"])
+    wide = lookup_join(described, stock, "sku", "left", t["products"].select("sku"), ["entity_id"])
     wide = lookup_join(wide, sets, "attribute_set_id", "left", t["products"].select("attribute_set_id"), ["entity_id"])
     online_qty, path = F.col("online_qty"), F.col("request_path")
     columns = {

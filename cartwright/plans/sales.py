@@ -265,9 +265,9 @@ def returns(shipment_items: DataFrame, return_items: DataFrame, return_heads: Da
         F.col("entity_id").alias("rma_entity_id"), F.col("date_requested").alias("rma_created_at"),
         F.col("status").alias("rma_status"),
     )
-    lines = lookup_join(approved, shipped, "order_item_id", "inner", profile=return_items.select("order_item_id"))
-    lines = lines.join(reasons, "return_item_id", "left")
+    lines = approved.join(reasons, "return_item_id", "left")
     lines = lookup_join(lines, heads, "rma_entity_id", "left", profile=return_items.select("rma_entity_id"))
+    lines = lookup_join(lines, shipped, "order_item_id", "inner", profile=return_items.select("order_item_id"))
     out = lines.select(
         "order_item_id", "return_item_id", "quantity_returned", "rma_created_at", "item_status", "rma_status",
         F.coalesce("option_text", F.lit("")).alias("return_reason"), "shipment_lines",
@@ -301,20 +301,21 @@ class Subtrees:
 def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) -> DataFrame:
     """One row per order with everything the wide table takes from the order.
 
-    Payment, address and status sides are one row per order already, all on the same key.
+    The coupon comes first: the joins after it are all on the order id, one row per order on both sides, and
+    leave the result partitioned for the items.
     """
     orders = t["orders"].withColumn("code_key", F.lower("coupon_code"))
+    coded = lookup_join(orders, coupon_types(t["coupons"], t["rules"]), "code_key", "left",
+                        profile=orders.select("code_key"))
     payment = one_payment(t["payments"]).withColumn("_paid", F.lit(True))
     trail = status_trail(t["status_history"]).withColumnRenamed("parent_id", "entity_id")
     joined = (
-        orders.join(payment, "entity_id", "left")
+        coded.join(payment, "entity_id", "left")
         .join(one_address(t["addresses"]), "entity_id", "left")
         .join(trail, "entity_id", "left")
     )
-    coded = lookup_join(joined, coupon_types(t["coupons"], t["rules"]), "code_key", "left",
-                        profile=orders.select("code_key"))
     method = F.col("method")
-    return coded.select(
+    return joined.select(
         F.col("entity_id").alias("order_id"),
         F.col("increment_id").alias("order_number"),
         shift_hours(F.col("created_at"), hours).alias("transaction_date"),
@@ -349,6 +350,7 @@ def product_side(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
     )
     wanted = coded.groupBy("attribute_code").agg(F.min("attribute_id").alias("attribute_id"))
     codes = t["product_codes"].where(F.col("store_id") == 0).select("row_id", "store_id", "attribute_id", "value")
+    # At most two rows, one per code.
     texts = lookup_join(codes.join(F.broadcast(wanted), "attribute_id"), option_texts(t["options"]), "value", "inner")
     named = eav_pivot(
         texts.drop("value").withColumnRenamed("option_text", "value"),

@@ -612,10 +612,10 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 
 @query()
-def csv_round_trip(spark, sf_dir):
-    """The product report written as CSV and read back."""
+def csv_export(spark, sf_dir):
+    """The product report published, written as CSV from the table, and read back."""
     path = _scratch(spark, "report")
-    frame = report(spark, sf_dir)
+    frame = publish(report(spark, sf_dir), "cartwright_product_report", root=_scratch(spark, "tables"))
     export_csv(frame, path, ["Id"])
     schema = ", ".join(f"`{c}` STRING" for c in frame.columns)
     return spark.read.options(header=True, escape='"', multiLine=True).schema(schema).csv(path)
@@ -627,4 +627,4 @@ def publish_table(spark, sf_dir):
     frame = rollup.sales_rollup(
         rollup_rows(spark, sf_dir), A.HOUSE_SELLER, "House store", start=ROLLUP_START, by="class"
     )
-    return publish(frame, "cartwright_rollup_by_class")
+    return publish(frame, "cartwright_rollup_by_class", root=_scratch(spark, "tables"))

@@ -158,10 +158,14 @@ def op_multi_key_join(spark, sf_dir):
 
 
 @query(A.with_shop(["s_items"], """
-SELECT m.item_id, s.item_id AS sibling_id, CAST(s.base_cost AS DOUBLE) AS sibling_cost
-FROM s_items m LEFT JOIN s_items s ON s.order_id = m.order_id AND s.sku = m.sku
-     AND s.product_id <> m.product_id AND s.product_type <> m.product_type
-QUALIFY ROW_NUMBER() OVER (PARTITION BY m.item_id ORDER BY s.item_id) = 1"""))
+SELECT m.item_id, b.sibling_id, CAST(b.sibling_cost AS DOUBLE) AS sibling_cost
+FROM s_items m LEFT JOIN sib_ b ON b.item_id = m.item_id""", """
+sib_ AS (
+  SELECT m.item_id, s.item_id AS sibling_id, s.base_cost AS sibling_cost
+  FROM s_items m JOIN s_items s ON s.order_id = m.order_id AND s.sku = m.sku
+       AND s.product_id <> m.product_id AND s.product_type <> m.product_type
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY m.item_id ORDER BY s.item_id, s.base_cost) = 1
+)"""))
 def op_self_join_residual(spark, sf_dir):
     items = A.shop(spark, sf_dir, "s_items").select(
         "item_id", "order_id", "sku", "product_id", "product_type", "base_cost"

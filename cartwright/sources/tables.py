@@ -63,12 +63,20 @@ def snapshot(frames: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -
     return read_tables(spark, root, frames, fmt)
 
 
-def publish(df: DataFrame, table: str, fmt: str = "parquet") -> DataFrame:
+def publish(df: DataFrame, table: str, fmt: str = "parquet", root: str | None = None) -> DataFrame:
     """Replace a table with this frame. The new rows are written in full under another name first, so a
-    failed job leaves the old table in place and the query may read the table it replaces."""
+    failed job leaves the old table in place and the query may read the table it replaces.
+
+    With ``root`` each version gets a folder of its own below it, and the name moves to the new one; earlier
+    folders stay for whoever owns the root to remove. Without it the catalogue manages the files.
+    """
     spark = df.sparkSession
-    fresh = f"{table}__new_{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).saveAsTable(fresh)
+    version = uuid.uuid4().hex[:8]
+    fresh = f"{table}__new_{version}"
+    writer = df.write.format(fmt)
+    if root:
+        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{version}")
+    writer.saveAsTable(fresh)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
     return spark.table(table)

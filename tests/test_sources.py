@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import csv
+import glob
+import gzip
+from datetime import datetime
+from decimal import Decimal
+
+import pandas as pd
+import pytest
+
+from cartwright.functions import columns as C
+from cartwright.session import shared_checkpoint
+from cartwright.sources import tables as IO
+from cartwright.sources.export import export_csv
+from tests.rows import rows
+
+
+def test_table_names():
+    assert IO.table_names(" a, b,,a ,c ") == ["a", "b", "c"]
+
+
+def test_jdbc_options():
+    plain = IO.jdbc_options("jdbc:x", "orders")
+    assert plain == {"url": "jdbc:x", "dbtable": "orders", "fetchsize": "10000"}
+    split = IO.jdbc_options("jdbc:x", "orders", IO.Split("entity_id", "1", "1000", 16), properties={"user": "u"})
+    assert split["partitionColumn"] == "entity_id" and split["numPartitions"] == "16" and split["user"] == "u"
+
+
+def test_snapshot_lands_chosen_tables(frame, tmp_path):
+    a, b = frame("x INT", [(1,), (2,)]), frame("y STRING", [("q",)])
+    landed = IO.snapshot({"a": a, "b": b}, str(tmp_path))
+    assert rows(landed["a"]) == [(1,), (2,)] and rows(landed["b"]) == [("q",)]
+    assert list(IO.read_tables(a.sparkSession, str(tmp_path), "b , a")) == ["b", "a"]
+
+
+def test_publish_replaces_and_may_read_the_table_it_replaces(spark, frame, tmp_path):
+    for root in (None, str(tmp_path)):
+        table = "pub_plain" if root is None else "pub_rooted"
+        IO.publish(frame("`a b` INT", [(1,), (2,)]), table, root=root)
+        grown = IO.publish(spark.table(table).union(frame("`a b` INT", [(3,)])), table, root=root)
+        assert rows(grown) == [(1,), (2,), (3,)]
+
+
+def test_failed_publish_keeps_the_old_table(spark, frame, tmp_path):
+    IO.publish(frame("a STRING", [("x",)]), "pub_kept", root=str(tmp_path))
+    broken = IO.conform(frame("a STRING", [("too long",)]), "a VARCHAR(3)")
+    with pytest.raises(Exception, match="longer than 3"):
+        IO.publish(broken, "pub_kept", root=str(tmp_path))
+    assert rows(spark.table("pub_kept")) == [("x",)]
+
+
+def test_conform(frame):
+    df = frame("n BIGINT, t STRING, d DECIMAL(20,6), f INT, extra INT",
+               [(1, "abc", "1.235500", 1, 9), (2, None, "-1.235000", 0, 9), (3, "", None, None, 9)])
+    out = IO.conform(df, "f BOOLEAN, d DECIMAL(10,2), t VARCHAR(3), n INT")
+    assert [t for _, t in out.dtypes] == ["boolean", "decimal(10,2)", "string", "int"]
+    assert {tuple(r) for r in out.collect()} == {
+        (True, Decimal("1.24"), "abc", 1), (False, Decimal("-1.24"), None, 2), (None, None, "", 3),
+    }
+
+
+ROWS = [
+    (2, 'say "hi"', "a,b", "2025-01-01 00:00:00", True, "1.50"),
+    (1, "line\nbreak", "", "2025-01-01 10:11:12", False, None),
+    (3, None, None, None, None, "0.00"),
+]
+DDL = "Id INT, `Some Text` STRING, other STRING, at TIMESTAMP_NTZ, flag BOOLEAN, price DECIMAL(10,2)"
+
+
+def one_file(path):
+    (name,) = glob.glob(f"{path}/part-*")
+    return name
+
+
+def test_csv_layout_equals_the_dataframe_library(frame, tmp_path):
+    df = frame(DDL, ROWS)
+    export_csv(df, str(tmp_path / "out"), ["Id"], one_file=True)
+    ordered = sorted(ROWS)
+    want = pd.DataFrame({
+        "Id": [r[0] for r in ordered], "Some Text": [r[1] for r in ordered], "other": [r[2] for r in ordered],
+        "at": [None if r[3] is None else datetime.fromisoformat(r[3]) for r in ordered],
+        "flag": pd.array([None if r[4] is None else int(r[4]) for r in ordered], dtype="Int64"),
+        "price": [None if r[5] is None else Decimal(r[5]) for r in ordered],
+    }).to_csv(index=False)
+    with open(one_file(tmp_path / "out"), encoding="utf-8", newline="") as f:
+        assert f.read() == want
+
+
+def test_csv_parts_follow_the_order(spark, frame, tmp_path):
+    df = spark.range(0, 5000, 1, 8).selectExpr("5000 - id AS Id", "'x' AS t")
+    export_csv(df, str(tmp_path / "out"), ["Id"])
+    ids = []
+    for name in sorted(glob.glob(f"{tmp_path}/out/part-*")):
+        with open(name, encoding="utf-8") as f:
+            ids += [int(r["Id"]) for r in csv.DictReader(f)]
+    assert ids == list(range(1, 5001))
+
+
+def test_empty_export_has_a_header(frame, tmp_path):
+    export_csv(frame(DDL, []), str(tmp_path / "out"), ["Id"], one_file=True)
+    with open(one_file(tmp_path / "out"), encoding="utf-8") as f:
+        assert f.read().strip() == "Id,Some Text,other,at,flag,price"
+
+
+def test_compressed_export(frame, tmp_path):
+    export_csv(frame(DDL, ROWS), str(tmp_path / "out"), ["Id"], one_file=True, compression="gzip")
+    with gzip.open(one_file(tmp_path / "out"), "rt", encoding="utf-8") as f:
+        assert f.readline().startswith("Id,Some Text")
+
+
+def test_checkpoint_uses_the_configured_folder(spark, frame):
+    df = shared_checkpoint(frame("a INT", [(1,)]))
+    assert rows(df) == [(1,)]
+    assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_id_lists(frame):
+    from pyspark.sql import functions as F
+
+    df = frame("t STRING", [("1,,2",), (" 3 , x",), ("",), (None,), ("9999999999",)])
+    out = df.select("t", C.id_list(F.col("t")).alias("ids"), C.bad_id_count(F.col("t")).alias("bad"))
+    assert {r["t"]: (r["ids"], r["bad"]) for r in out.collect()} == {
+        "1,,2": ([1, 2], 1), " 3 , x": ([3], 1), "": ([], 0), None: (None, None), "9999999999": ([], 1),
+    }
