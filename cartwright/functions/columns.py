@@ -44,17 +44,6 @@ def percent_of(amount: Column, pct: Column, digits: int = 2) -> Column:
     return F.round(amount * pct * F.lit(Decimal("0.01")), digits)
 
 
-def id_list(text: Column, sep: str = ",") -> Column:
-    """Integer ids in a delimited text. Elements that are no integers are left out."""
-    parsed = F.transform(F.split(text, sep), lambda x: F.trim(x).try_cast("int"))
-    return F.filter(parsed, lambda x: x.isNotNull())
-
-
-def bad_id_count(text: Column, sep: str = ",") -> Column:
-    """How many elements ``id_list`` leaves out."""
-    return F.when(F.trim(text) == "", F.lit(0)).otherwise(F.size(F.split(text, sep)) - F.size(id_list(text, sep)))
-
-
 def in_list(item: Column, text: Column, sep: str = ",") -> Column:
     """Is the item one of the delimited elements?"""
     return F.array_contains(F.split(text, sep), item.cast("string"))

@@ -59,8 +59,8 @@ def lookup_join(
 
     A side within the session's broadcast threshold, or a fact too small to matter, takes the plain join;
     Spark picks its form and adaptive execution may still change it. Otherwise the fact's keys are profiled
-    (``profile``: a cheaper frame with the same key distribution, usually the base table). Rows of hot keys
-    are spread over sub-keys by a hash of their own columns and only those keys' rows of ``dim`` are
+    (``profile``: a cheaper frame with the same key distribution, usually the base table; give one wherever
+    the fact is itself a join, or the join runs twice). Rows of hot keys are spread over sub-keys by a hash of their own columns and only those keys' rows of ``dim`` are
     repeated, so each hot key becomes many join tasks. The hash is a function of the row alone: a retried
     task sends each row to the same place. ``how``: inner, left, left_semi or left_anti.
     """

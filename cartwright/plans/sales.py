@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import fixed_values as V
-from cartwright.functions.columns import decode, id_list, percent_of, same_text, shift_hours, since, text_in
+from cartwright.functions.columns import decode, percent_of, same_text, shift_hours, since, text_in
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.eav import attribute_lookup, eav_pivot, option_texts
 from cartwright.operators.joins import lookup_join
+from cartwright.operators.lists import explode_ids
 from cartwright.operators.siblings import with_first_differing
 from cartwright.operators.tree import category_paths, excluded_subtrees
 
@@ -145,13 +146,10 @@ def shipping_subsidy(items: DataFrame, rules: DataFrame, coupons: DataFrame | No
     """
     paid_nothing = F.col("paid_shipping_amount").isNull() | (F.col("paid_shipping_amount") == 0)
     due = items.where(
-        F.col("parent_item_id").isNull()
-        & (F.col("created_at") >= since(start))
-        & paid_nothing
-        & (F.col("applied_rule_ids") != "")
+        F.col("parent_item_id").isNull() & (F.col("created_at") >= since(start)) & paid_nothing
     ).select("item_id", "order_id", "created_at", "applied_rule_ids", "original_shipping_amount",
              "paid_shipping_amount")
-    applied = due.withColumn("rule_id", F.explode(id_list(F.col("applied_rule_ids")))).drop("applied_rule_ids")
+    applied = explode_ids(due, "applied_rule_ids", "rule_id").drop("applied_rule_ids")
     free_rules = rules.where(F.col("discount_amount") == 0).select(
         F.col("rule_id").cast("int").alias("rule_id"), F.col("name").alias("rule_name"), "rule_cart_type",
         "discount_amount",

@@ -64,7 +64,8 @@ def rollup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("sub_category"),
     )
     price, pct = F.col("l_extendedprice").cast("decimal(20,4)"), (F.col("l_discount") * 100).cast("decimal(12,4)")
-    lines = A.read(spark, sf_dir, "lineitem").select(
+    stored = A.read(spark, sf_dir, "lineitem")
+    lines = stored.select(
         "l_orderkey", "l_partkey",
         F.when(F.col("l_linestatus") == "F", F.concat(F.lit("Seller "), F.col("l_suppkey")))
         .otherwise(A.HOUSE_SELLER).alias("seller_name"),
@@ -74,7 +75,8 @@ def rollup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * F.col("l_tax").cast("decimal(12,4)")).alias("retail_margin"),
         percent_of(price, pct).alias("marketplace_commission_amount"),
     )
-    return lookup_join(lookup_join(lines, orders, "l_orderkey", "inner"), parts, "l_partkey", "inner")
+    ordered = lookup_join(lines, orders, "l_orderkey", "inner", stored.select("l_orderkey"))
+    return lookup_join(ordered, parts, "l_partkey", "inner", stored.select("l_partkey"))
 
 
 _ROLLUP_ROWS = f"""

@@ -9,6 +9,7 @@ from cartwright.functions import fixed_values as V
 from cartwright.operators import tree
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.joins import lookup_join
+from cartwright.operators.lists import explode_ids, list_elements
 from cartwright.operators.siblings import with_first_differing
 from cartwright.registry import adapters as A
 from cartwright.registry.marts import query, wide
@@ -192,17 +193,19 @@ def op_ancestors(spark, sf_dir):
 SELECT item_id, TRY_CAST(TRIM(u.e) AS INTEGER) AS rule_id
 FROM s_items, UNNEST(string_split(applied_rule_ids, ',')) AS u(e) WHERE TRY_CAST(TRIM(u.e) AS INTEGER) IS NOT NULL"""))
 def op_list_explode(spark, sf_dir):
-    rules = F.explode(C.id_list(F.col("applied_rule_ids"))).alias("rule_id")
-    return A.shop(spark, sf_dir, "s_items").select("item_id", rules)
+    items = A.shop(spark, sf_dir, "s_items").select("item_id", "applied_rule_ids")
+    return explode_ids(items, "applied_rule_ids", "rule_id").drop("applied_rule_ids")
 
 
 @query(A.with_shop(["s_items"], """
-SELECT sku, SUM(CASE WHEN TRIM(applied_rule_ids) = '' THEN 0 ELSE LEN(list_filter(string_split(applied_rule_ids, ','),
-       lambda e: TRY_CAST(TRIM(e) AS INTEGER) IS NULL)) END)::BIGINT AS bad_ids FROM s_items GROUP BY sku"""))
+SELECT sku, COUNT(*) FILTER (TRY_CAST(TRIM(u.e) AS INTEGER) IS NULL) AS bad_ids
+FROM s_items, UNNEST(string_split(applied_rule_ids, ',')) AS u(e) WHERE TRIM(applied_rule_ids) <> ''
+GROUP BY sku"""))
 def bad_list_elements(spark, sf_dir):
     """How many list elements the explode leaves out, per sku."""
-    bad = C.bad_id_count(F.col("applied_rule_ids"))
-    return A.shop(spark, sf_dir, "s_items").groupBy("sku").agg(F.sum(bad).alias("bad_ids"))
+    items = A.shop(spark, sf_dir, "s_items").select("sku", "applied_rule_ids")
+    elements = list_elements(items, "applied_rule_ids", "rule_id")
+    return elements.groupBy("sku").agg(F.count_if(F.col("rule_id").isNull()).alias("bad_ids"))
 
 
 @query("""SELECT o_orderkey, o_orderstatus, m.last_ship FROM orders

@@ -51,7 +51,7 @@ def test_item_margin_rules(frame):
         1: "8",  # (10 - 6) * 2
         2: None,  # configurable without sibling
         3: "86",  # (50 - 7) * 2, the lowest of two siblings
-        4: "8", 5: "8",
+        4: "6", 5: "4",
         6: "24",  # price 0, dearer sibling: (9 - 1) * 3
         7: "24",  # configurable: (9 - 1) * 3
         9: None, 10: "8",  # same product is no sibling
