@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Facts whose key columns reach this size are profiled for hot keys. Set per session by SKEW_CONF.
 SKEW_MIN_BYTES = 16 << 20
@@ -28,18 +29,38 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def key_types(fact: DataFrame, dim: DataFrame, keys: Sequence[str]) -> dict[str, T.DataType] | None:
+    """The type in which each key hashes alike on both sides, or None where equal keys might not.
 
+    Whole numbers of any width hash as long. Other keys must have one type on both sides; floating point is
+    left out, as its zeros and NaNs compare equal but hash apart.
+    """
+    types = {}
+    for key in keys:
+        left, right = fact.schema[key].dataType, dim.schema[key].dataType
+        if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+            types[key] = T.LongType()
+        elif left == right and not isinstance(left, T.FractionalType):
+            types[key] = left
+        elif left == right and isinstance(left, T.DecimalType):
+            types[key] = left
+        else:
+            return None
+    return types
+
+
+def key_hash(types: Mapping[str, T.DataType]) -> Column:
+    return F.xxhash64(*[F.col(k).cast(t) for k, t in types.items()])
 
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], partitions: int) -> list[int]:
+
+def hot_key_hashes(df: DataFrame, types: Mapping[str, T.DataType], partitions: int) -> list[int]:
     """Hashes of the keys that hold more than two average partitions' worth of rows.
 
     One pass over the key columns alone with a mergeable sketch: no shuffle of keys, and at most
     MAX_HOT_KEYS numbers reach the driver. NULL hashes like any other key, so NULL-heavy keys show up
     too. The list steers work only; results are the same whatever it holds.
     """
-    top = df.select(key_hash(keys).alias("h")).agg(
+    top = df.select(key_hash(types).alias("h")).agg(
         F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count("*").alias("total")
     )
     share = max(2.0 / partitions, 1.0 / MAX_HOT_KEYS)
@@ -71,26 +92,29 @@ def lookup_join(
         return fact.join(dim, keys, how)
     if estimated_bytes(dim) <= broadcast_limit(dim):
         return fact.join(dim, keys, how)
+    types = key_types(fact, dim, keys)
+    if types is None:
+        return fact.join(dim, keys, how)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_key_hashes(profile, keys, partitions)
+    hot = hot_key_hashes(profile, types, partitions)
     if not hot:
         return fact.join(dim, keys, how)
-    return salted_join(fact, dim, keys, how, hot, partitions, spread_by)
+    return salted_join(fact, dim, types, how, hot, partitions, spread_by)
 
 
 def salted_join(
     fact: DataFrame,
     dim: DataFrame,
-    keys: Sequence[str],
+    types: Mapping[str, T.DataType],
     how: str,
     hot: Sequence[int],
     salts: int,
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Equi join in which the keys hashing into ``hot`` are split over ``salts`` sub-keys."""
-    is_hot = key_hash(keys).isin(list(hot))
+    is_hot = key_hash(types).isin(list(hot))
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or fact.columns)]), F.lit(salts)).cast("int")
     left = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.withColumn("_salt", F.explode(copies))
-    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+    return left.join(right, [*types, "_salt"], how).drop("_salt")

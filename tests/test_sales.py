@@ -5,7 +5,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators.joins import lookup_join
 from cartwright.operators.siblings import with_first_differing
 from cartwright.plans import jobs, rollup, sales
 from tests import shop as S
@@ -259,21 +258,3 @@ def test_sales_job_publishes_its_ten_tables(spark, frame, tmp_path):
     again = jobs.publish_all(spark, small, "sales_mart", str(tmp_path))
     assert again["order_total"].count() == 3
     assert jobs.source_names(jobs.SALES_SOURCES, "x")["return_heads"] == "x_rma"
-
-
-def test_lookup_join_spreads_null_and_hot_keys(frame, skew_path, monkeypatch):
-    from cartwright.operators import joins
-
-    seen = []
-    real = joins.salted_join
-
-    def spy(fact, dim, keys, how, hot, salts, spread_by):
-        seen.append(len(hot))
-        return real(fact, dim, keys, how, hot, salts, spread_by)
-
-    monkeypatch.setattr(joins, "salted_join", spy)
-    fact = frame("id INT, k INT", [(i, None if i % 3 == 0 else 7 if i % 3 == 1 else i) for i in range(300)])
-    dim = frame("k INT, v STRING", [(7, "seven"), (2, "two"), (5, "five"), (9999, "none")])
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        assert rows(lookup_join(fact, dim, "k", how)) == rows(fact.join(dim, "k", how))
-    assert seen == [2, 2, 2, 2]
