@@ -45,9 +45,9 @@ def coupon_types(coupons: DataFrame, rules: DataFrame) -> DataFrame:
     """(code_key, coupon_type): one rule per code, case-blind; the lowest rule id where a code has several."""
     types = rules.select("rule_id", "rule_cart_type")
     first = F.min(F.struct("rule_id", "rule_cart_type")).alias("rule")
+    usable = coupons.where(F.col("code").isNotNull()).select("rule_id", "code")
     return (
-        coupons.where(F.col("code").isNotNull())
-        .join(types, "rule_id", "left")
+        lookup_join(usable, types, "rule_id", "left")
         .groupBy(F.lower("code").alias("code_key"))
         .agg(first)
         .select("code_key", F.col("rule.rule_cart_type").alias("coupon_type"))

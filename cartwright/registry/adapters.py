@@ -270,7 +270,7 @@ SHOP: dict[str, list[Part]] = {
                     "path": "'1/2/' || (n_regionkey + 10) || '/' || (n_nationkey + 100)"}, ""),
         ("customer", {"entity_id": "c_custkey + 1000", "row_id": "c_custkey + 1500",
                       "parent_id": "CAST(c_nationkey AS BIGINT) + 100",
-                      "path": "'1/2/' || (c_nationkey % 5 + 10) || '/' || (c_nationkey + 100) || '/' || (c_custkey + 1000)"},
+                      "path": "'1/2/' || (c_nationkey + 100) || '/' || (c_custkey + 1000)"},
          "c_acctbal > 0"),
     ],
     "s_names": [

@@ -17,7 +17,7 @@ from cartwright.plans import catalog, rollup, sales
 from cartwright.registry import adapters as A
 from cartwright.registry.portable import portable
 from cartwright.sources.export import export_csv
-from cartwright.sources.tables import publish
+from cartwright.sources.tables import ordered, publish
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,8 +75,8 @@ def rollup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         (price * F.col("l_tax").cast("decimal(12,4)")).alias("retail_margin"),
         percent_of(price, pct).alias("marketplace_commission_amount"),
     )
-    ordered = lookup_join(lines, orders, "l_orderkey", "inner", stored.select("l_orderkey"))
-    return lookup_join(ordered, parts, "l_partkey", "inner", stored.select("l_partkey"))
+    dated = lookup_join(lines, orders, "l_orderkey", "inner", stored.select("l_orderkey"))
+    return lookup_join(dated, parts, "l_partkey", "inner", stored.select("l_partkey"))
 
 
 _ROLLUP_ROWS = f"""
@@ -107,7 +107,8 @@ GROUP BY trx_date, {keys}"""
 
 @query(_rollup_sql("main_category, sub_category, seller_class, seller_name"))
 def sales_rollup_by_seller(spark, sf_dir):
-    return rollup.sales_rollup(rollup_rows(spark, sf_dir), A.HOUSE_SELLER.upper(), "House store", start=ROLLUP_START)
+    frame = rollup.sales_rollup(rollup_rows(spark, sf_dir), A.HOUSE_SELLER.upper(), "House store", start=ROLLUP_START)
+    return ordered(frame, ["trx_date"])
 
 
 @query(_rollup_sql("main_category, sub_category, seller_class"))

@@ -22,7 +22,7 @@ def test_table_names():
 
 def test_jdbc_options():
     plain = IO.jdbc_options("jdbc:x", "orders")
-    assert plain == {"url": "jdbc:x", "dbtable": "orders", "fetchsize": "10000"}
+    assert plain == {"url": "jdbc:x", "dbtable": "orders", "fetchsize": "10000", "preferTimestampNTZ": "true"}
     split = IO.jdbc_options("jdbc:x", "orders", IO.Split("entity_id", "1", "1000", 16), properties={"user": "u"})
     assert split["partitionColumn"] == "entity_id" and split["numPartitions"] == "16" and split["user"] == "u"
 
@@ -42,6 +42,19 @@ def test_publish_replaces_and_may_read_the_table_it_replaces(spark, frame, tmp_p
         assert rows(grown) == [(1,), (2,), (3,)]
 
 
+def test_tables_bucketed_alike_join_without_a_shuffle(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(1000).selectExpr("id AS k", "id * 2 AS a")
+    right = spark.range(500).selectExpr("id AS k", "id * 3 AS b")
+    left, right = (
+        IO.publish(df, name, root=str(tmp_path), buckets=(4, "k"))
+        for name, df in (("bucketed_left", left), ("bucketed_right", right))
+    )
+    joined = left.join(right, "k")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 500
+
+
 def test_failed_publish_keeps_the_old_table(spark, frame, tmp_path):
     IO.publish(frame("a STRING", [("x",)]), "pub_kept", root=str(tmp_path))
     broken = IO.conform(frame("a STRING", [("too long",)]), "a VARCHAR(3)")
