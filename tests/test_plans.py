@@ -64,7 +64,7 @@ def test_wide_shuffles_the_items_once_per_key(spark, conf):
     steps = fact_side(driver.queries()["orders_items_wide"](spark, SF_DIR))
     keys = [re.search(r"hashpartitioning\((\w+)#", s).group(1) for s in steps if s.startswith("Exchange")]
     assert keys == ["product_id", "order_id", "item_id"]
-    assert sum(s.startswith("SortMergeJoin") for s in steps) == 6
+    assert sum(s.startswith("SortMergeJoin") for s in steps) == 3
 
 
 def test_report_shuffles_products_once_per_key(spark, conf):
