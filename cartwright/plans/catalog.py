@@ -47,7 +47,34 @@ DECODED = {
 }
 
 
-def product_report(t: Mapping[str, DataFrame], prefixes: Prefixes) -> DataFrame:
+@dataclass(frozen=True)
+class Pieces:
+    """The tables the product report is made of, built here or read back after they were published."""
+
+    base: DataFrame
+    texts: DataFrame
+    decimals: DataFrame
+    options: DataFrame
+    prices: DataFrame
+    sets: DataFrame
+    stock: DataFrame
+    urls: DataFrame
+
+
+def pieces(t: Mapping[str, DataFrame]) -> Pieces:
+    return Pieces(
+        base=product_base(t["products"]),
+        texts=eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES),
+        decimals=eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES),
+        options=eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, DECODED),
+        prices=special_prices(t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES),
+        sets=t["attribute_sets"].select("attribute_set_id", "attribute_set_name"),
+        stock=stock_by_location({k: t[f"stock_{k}"] for k in V.STOCK_COLUMNS}, V.STOCK_COLUMNS),
+        urls=product_urls(t["url_rewrites"]),
+    )
+
+
+def product_report(made: Pieces, prefixes: Prefixes) -> DataFrame:
     """One row per product entity in the declared columns and types.
 
     The newest version of each entity is chosen before any join (highest row id on equal times), so every
@@ -55,21 +82,19 @@ def product_report(t: Mapping[str, DataFrame], prefixes: Prefixes) -> DataFrame:
     the four attribute pivots are grouped by row id and meet the products on it without another shuffle.
     """
     base = latest_per_key(
-        product_base(t["products"]), ["entity_id"],
-        [F.col("updated_at").desc_nulls_last(), F.col("row_id").desc()], [],
+        made.base, ["entity_id"], [F.col("updated_at").desc_nulls_last(), F.col("row_id").desc()], []
     )
-    prices = special_prices(t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES)
     described = (
-        base.join(one_url(product_urls(t["url_rewrites"])), "entity_id", "left")
-        .join(eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES), "row_id", "left")
-        .join(eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES), "row_id", "left")
-        .join(eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, DECODED), "row_id", "left")
-        .join(prices, "row_id", "left")
+        base.join(one_url(made.urls), "entity_id", "left")
+        .join(made.texts, "row_id", "left")
+        .join(made.decimals, "row_id", "left")
+        .join(made.options, "row_id", "left")
+        .join(made.prices, "row_id", "left")
+    )
+    wide = lookup_join(described, made.stock, "sku", "left", made.base.select("sku"), ["entity_id"])
+    wide = lookup_join(
+        wide, made.sets, "attribute_set_id", "left", made.base.select("attribute_set_id"), ["entity_id"]
     )
-    stock = stock_by_location({k: t[f"stock_{k}"] for k in V.STOCK_COLUMNS}, V.STOCK_COLUMNS)
-    sets = t["attribute_sets"].select("attribute_set_id", "attribute_set_name")
-    wide = lookup_join(described, stock, "sku", "left", t["products"].select("sku"), ["entity_id"])
-    wide = lookup_join(wide, sets, "attribute_set_id", "left", t["products"].select("attribute_set_id"), ["entity_id"])
     online_qty, path = F.col("online_qty"), F.col("request_path")
     columns = {
         "Id": F.col("entity_id"),

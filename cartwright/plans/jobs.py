@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.functions import fixed_values as V
-from cartwright.operators import eav, tree
 from cartwright.plans import catalog, sales
 from cartwright.sources.tables import publish
 
@@ -56,53 +55,67 @@ def source_names(sources: Mapping[str, str], prefix: str = "") -> dict[str, str]
     return {k: f"{prefix}_{v}" if prefix and k in PREFIXED else v for k, v in sources.items()}
 
 
-def sales_tables(t: Mapping[str, DataFrame], house_seller: str,
-                 left_out: sales.Subtrees = sales.Subtrees()) -> dict[str, DataFrame]:
-    """The ten tables of the sales job by name, lazy."""
-    name_id = eav.attribute_lookup(t["attributes"], "name", V.CATEGORY_ENTITY)
-    nodes, names = t["category_nodes"], t["category_names"]
-    excluded = tree.excluded_subtrees(
-        nodes, names, name_id, left_out.prefixes, left_out.ids, left_out.parent_ids, left_out.names
-    )
-    shipments = sales.latest_shipment(t["shipment_items"], t["shipments"], t["shipment_tracks"])
-    return {
-        "product_categories": tree.category_paths(t["category_links"], nodes, names, name_id, excluded),
-        "shipments_agg": shipments,
-        "sales_order_item_cost": sales.item_margin(t["items"]),
-        "sales_refunded": sales.refund_flag(t["items"], shipments, t["payments"]),
-        "shipping_fee": sales.shipping_subsidy(t["items"], t["rules"]),
-        "orders_adminfees": sales.payment_fee(t["orders"], t["payments"]),
-        "order_total": sales.order_total(t["orders"], t["payments"]),
-        "customer_balance": sales.customer_balance(t["balances"], t["customers"]),
-        "rma": sales.returns(
-            t["shipment_items"], t["return_items"], t["return_heads"], t["return_codes"], t["options"]
-        ),
-        "orders_items_denorm": sales.orders_items_wide(t, house_seller, left_out),
-    }
+class Mart:
+    """Where a job's tables go: a database, and optionally a folder of one's own below which files land."""
+
+    def __init__(self, spark: SparkSession, database: str = "default", root: str | None = None,
+                 buckets: int | None = None):
+        self.spark, self.database, self.root, self.buckets = spark, database, root, buckets
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def put(self, name: str, frame: DataFrame, key: str | None = None) -> DataFrame:
+        """Publish and read back, so that later tables start from files and not from the whole plan again.
 
+        With ``buckets`` set, tables that name a key are bucketed by it.
+        """
+        layout = (self.buckets, key) if self.buckets and key else None
+        return publish(frame, f"{self.database}.{name}", root=self.root, buckets=layout)
 
-def catalog_tables(t: Mapping[str, DataFrame], prefixes: catalog.Prefixes) -> dict[str, DataFrame]:
-    """The nine tables of the catalogue job by name, lazy."""
-    stocks = {k: t[f"stock_{k}"] for k in V.STOCK_COLUMNS}
-    return {
-        "vw_product_base": catalog.product_base(t["products"]),
-        "vw_product_attributes_varchar": eav.eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES),
-        "vw_product_attributes_decimal": eav.eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES),
-        "vw_product_attributes_int_options": eav.eav_pivot_options(
-            t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, catalog.DECODED
-        ),
-        "vw_product_special_prices": eav.special_prices(
-            t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES
-        ),
-        "vw_attribute_sets": t["attribute_sets"].select("attribute_set_id", "attribute_set_name"),
-        "vw_inventory_stock": eav.stock_by_location(stocks, V.STOCK_COLUMNS),
-        "vw_product_urls": catalog.product_urls(t["url_rewrites"]),
-        "vw_product": catalog.product_report(t, prefixes),
+
+def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
+              left_out: sales.Subtrees = sales.Subtrees(), subsidy_start: str = V.SUBSIDY_SINCE) -> dict[str, DataFrame]:
+    """Build and publish the ten sales tables. The wide table and the refund flags read the published pieces,
+    so nothing is computed twice. A failure stops the job and leaves the tables after it as they were."""
+    plan = sales.pieces(t, left_out, subsidy_start)
+    done = {
+        "product_categories": mart.put("product_categories", plan.paths, "product_id"),
+        "shipments_agg": mart.put("shipments_agg", plan.shipments, "order_item_id"),
+        "sales_order_item_cost": mart.put("sales_order_item_cost", plan.margins, "item_id"),
+        "shipping_fee": mart.put("shipping_fee", plan.subsidies, "item_id"),
+        "rma": mart.put("rma", plan.returns, "order_item_id"),
     }
+    shipments = done["shipments_agg"]
+    done["sales_refunded"] = mart.put(
+        "sales_refunded", sales.refund_flag(t["items"], shipments, t["payments"]), "order_item_id"
+    )
+    done["orders_adminfees"] = mart.put("orders_adminfees", sales.payment_fee(t["orders"], t["payments"]), "entity_id")
+    done["order_total"] = mart.put("order_total", sales.order_total(t["orders"], t["payments"]), "entity_id")
+    done["customer_balance"] = mart.put("customer_balance", sales.customer_balance(t["balances"], t["customers"]))
+    made = sales.Pieces(
+        paths=done["product_categories"],
+        shipments=shipments,
+        margins=done["sales_order_item_cost"],
+        subsidies=done["shipping_fee"],
+        returns=done["rma"],
+    )
+    done["orders_items_denorm"] = mart.put("orders_items_denorm", sales.orders_items_wide(t, made, house_seller))
+    return done
 
 
-def publish_all(spark: SparkSession, tables: Mapping[str, DataFrame], database: str = "default",
-                root: str | None = None) -> dict[str, DataFrame]:
-    """Publish each table; a failure stops the job and leaves the tables after it as they were."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    return {name: publish(frame, f"{database}.{name}", root=root) for name, frame in tables.items()}
+def run_catalog(t: Mapping[str, DataFrame], mart: Mart, prefixes: catalog.Prefixes) -> dict[str, DataFrame]:
+    """Build and publish the nine catalogue tables; the report reads the eight published before it."""
+    plan = catalog.pieces(t)
+    names = {
+        "base": ("vw_product_base", "entity_id"),
+        "texts": ("vw_product_attributes_varchar", "row_id"),
+        "decimals": ("vw_product_attributes_decimal", "row_id"),
+        "options": ("vw_product_attributes_int_options", "row_id"),
+        "prices": ("vw_product_special_prices", "row_id"),
+        "sets": ("vw_attribute_sets", None),
+        "stock": ("vw_inventory_stock", "sku"),
+        "urls": ("vw_product_urls", "entity_id"),
+    }
+    put = {piece: mart.put(name, getattr(plan, piece), key) for piece, (name, key) in names.items()}
+    done = {names[piece][0]: frame for piece, frame in put.items()}
+    done["vw_product"] = mart.put("vw_product", catalog.product_report(catalog.Pieces(**put), prefixes))
+    return done

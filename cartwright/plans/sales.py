@@ -340,10 +340,19 @@ def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) ->
     )
 
 
-def product_side(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
+def product_paths(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
+    """(product_id, category_path) with the name attribute looked up by its code."""
+    name_id = attribute_lookup(t["attributes"], "name", V.CATEGORY_ENTITY)
+    nodes, names = t["category_nodes"], t["category_names"]
+    excluded = excluded_subtrees(
+        nodes, names, name_id, left_out.prefixes, left_out.ids, left_out.parent_ids, left_out.names
+    )
+    return category_paths(t["category_links"], nodes, names, name_id, excluded)
+
+
+def product_side(t: Mapping[str, DataFrame], paths: DataFrame) -> DataFrame:
     """One row per product id: brand and colour text, and the category breadcrumbs."""
-    attributes = t["attributes"]
-    coded = attributes.where(
+    coded = t["attributes"].where(
         F.col("attribute_code").isin("brand", "color") & (F.col("entity_type_id") == V.PRODUCT_ENTITY)
     )
     wanted = coded.groupBy("attribute_code").agg(F.min("attribute_id").alias("attribute_id"))
@@ -356,17 +365,33 @@ def product_side(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
     )
     newest = t["products"].groupBy(F.col("entity_id").alias("product_id")).agg(F.max("row_id").alias("row_id"))
     described = newest.join(named, "row_id", "left").drop("row_id")
-    name_id = attribute_lookup(attributes, "name", V.CATEGORY_ENTITY)
-    nodes, names = t["category_nodes"], t["category_names"]
-    excluded = excluded_subtrees(
-        nodes, names, name_id, left_out.prefixes, left_out.ids, left_out.parent_ids, left_out.names
-    )
-    paths = category_paths(t["category_links"], nodes, names, name_id, excluded)
     return described.join(paths, "product_id", "full")
 
 
-def orders_items_wide(t: Mapping[str, DataFrame], house_seller: str, left_out: Subtrees = Subtrees(),
-                      hours: int = V.ORDER_SHIFT_HOURS, subsidy_start: str = V.SUBSIDY_SINCE) -> DataFrame:
+@dataclass(frozen=True)
+class Pieces:
+    """The tables the wide table is made of, built here or read back after they were published."""
+
+    paths: DataFrame
+    shipments: DataFrame
+    margins: DataFrame
+    subsidies: DataFrame
+    returns: DataFrame
+
+
+def pieces(t: Mapping[str, DataFrame], left_out: Subtrees = Subtrees(), subsidy_start: str = V.SUBSIDY_SINCE) -> Pieces:
+    lines = t["shipment_items"]
+    return Pieces(
+        paths=product_paths(t, left_out),
+        shipments=latest_shipment(lines, t["shipments"], t["shipment_tracks"]),
+        margins=item_margin(t["items"]),
+        subsidies=shipping_subsidy(t["items"], t["rules"], start=subsidy_start),
+        returns=returns(lines, t["return_items"], t["return_heads"], t["return_codes"], t["options"]),
+    )
+
+
+def orders_items_wide(t: Mapping[str, DataFrame], made: Pieces, house_seller: str,
+                      hours: int = V.ORDER_SHIFT_HOURS) -> DataFrame:
     """One row per top-level order item with a known order: 58 columns, in the order of ``WIDE_COLUMNS``.
 
     Every one-to-many side is reduced to one row per key before it is joined, so no join multiplies rows and
@@ -376,26 +401,24 @@ def orders_items_wide(t: Mapping[str, DataFrame], house_seller: str, left_out: S
     """
     items = t["items"]
     keyed = "item_id"
-    ship = latest_shipment(t["shipment_items"], t["shipments"], t["shipment_tracks"]).withColumnRenamed(
-        "order_item_id", keyed
-    )
-    back = returns(t["shipment_items"], t["return_items"], t["return_heads"], t["return_codes"], t["options"])
+    ship = made.shipments.withColumnRenamed("order_item_id", keyed)
     back = latest_per_key(
-        back.withColumnRenamed("order_item_id", keyed), [keyed],
+        made.returns.withColumnRenamed("order_item_id", keyed), [keyed],
         [F.col("rma_created_at").desc_nulls_last(), F.col("return_item_id").desc()], ["return_reason"],
     ).select(keyed, "quantity_returned", "rma_created_at", F.col("item_status").alias("rma_item_status"),
              "rma_status", F.col("return_reason").alias("rma_return_reason"))
     top = items.where(F.col("parent_item_id").isNull())
     sides = (
         top.select(keyed).distinct()
-        .join(item_margin(items), keyed, "left")
-        .join(subsidy_per_item(shipping_subsidy(items, t["rules"], start=subsidy_start)), keyed, "left")
+        .join(made.margins, keyed, "left")
+        .join(subsidy_per_item(made.subsidies), keyed, "left")
         .join(ship, keyed, "left")
         .join(back, keyed, "left")
     )
     facts = top.join(sides, keyed, "left").select(*_item_columns(house_seller))
+    products = product_side(t, made.paths)
     with_order = lookup_join(facts, order_side(t, hours), "order_id", "inner", items.select("order_id"), [keyed])
-    wide = lookup_join(with_order, product_side(t, left_out), "product_id", "left", items.select("product_id"), [keyed])
+    wide = lookup_join(with_order, products, "product_id", "left", items.select("product_id"), [keyed])
     flag = refunded(F.col("quantity_refunded"), F.col("payment_method"), F.col("shipment_statuses"))
     return wide.withColumn("is_refunded", F.when(flag, "True").otherwise("False")).withColumnRenamed(
         "category_path", "product_category_name"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +14,7 @@ from cartwright.operators.joins import lookup_join
 from cartwright.plans import catalog, rollup, sales
 from cartwright.registry import adapters as A
 from cartwright.registry.portable import portable
+from cartwright.session import shared_folder
 from cartwright.sources.export import export_csv
 from cartwright.sources.tables import ordered, publish
 
@@ -436,7 +435,8 @@ WHERE i.parent_item_id IS NULL"""
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: A.shop(spark, sf_dir, source) for name, source in WIDE_TABLES.items()}
     left_out = sales.Subtrees(A.PREFIXES, A.NODE_IDS, A.PARENT_IDS, A.BAD_NAMES)
-    return sales.orders_items_wide(tables, A.HOUSE_SELLER, left_out, subsidy_start=A.SUBSIDY_START)
+    made = sales.pieces(tables, left_out, A.SUBSIDY_START)
+    return sales.orders_items_wide(tables, made, A.HOUSE_SELLER)
 
 
 @query(A.with_shop(sorted(set(WIDE_TABLES.values())), _WIDE_BODY, _WIDE))
@@ -553,7 +553,8 @@ REPORT_TABLES = {
 
 
 def report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.product_report({k: A.shop(spark, sf_dir, v) for k, v in REPORT_TABLES.items()}, PREFIXES)
+    tables = {k: A.shop(spark, sf_dir, v) for k, v in REPORT_TABLES.items()}
+    return catalog.product_report(catalog.pieces(tables), PREFIXES)
 
 
 @query(A.with_shop(REPORT_TABLES.values(), f"""
@@ -604,21 +605,11 @@ def commission_round(spark, sf_dir):
     )
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder for round trips: below the cluster's shared folder, or a local one in tests."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="cartwright-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
-
-
 @query()
 def csv_export(spark, sf_dir):
     """The product report published, written as CSV from the table, and read back."""
-    path = _scratch(spark, "report")
-    frame = publish(report(spark, sf_dir), "cartwright_product_report", root=_scratch(spark, "tables"))
+    path = shared_folder(spark, "report")
+    frame = publish(report(spark, sf_dir), "cartwright_product_report", root=shared_folder(spark, "tables"))
     export_csv(frame, path, ["Id"])
     schema = ", ".join(f"`{c}` STRING" for c in frame.columns)
     return spark.read.options(header=True, escape='"', multiLine=True).schema(schema).csv(path)
@@ -630,4 +621,4 @@ def publish_table(spark, sf_dir):
     frame = rollup.sales_rollup(
         rollup_rows(spark, sf_dir), A.HOUSE_SELLER, "House store", start=ROLLUP_START, by="class"
     )
-    return publish(frame, "cartwright_rollup_by_class", root=_scratch(spark, "tables"))
+    return publish(frame, "cartwright_rollup_by_class", root=shared_folder(spark, "tables"))

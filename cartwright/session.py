@@ -1,10 +1,11 @@
-"""Session settings for tests and local runs, and the shared checkpoint folder."""
+"""Session settings for tests and local runs, and the folder executors share."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -24,18 +25,14 @@ def local_session(cores: int | str = 8, memory: str = "16g", app: str = "cartwri
     return spark
 
 
-def shared_checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is set here only where neither the session nor the context has one, as in tests.
+    A local folder stands in only where none is named and the session is local, as in tests.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_CONF, None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="cartwright-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    shared = spark.conf.get(CHECKPOINT_CONF, None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="cartwright-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"

@@ -82,7 +82,7 @@ def test_stock(frame):
 
 
 def test_report(frame):
-    out = catalog.product_report(tables(frame), PREFIXES)
+    out = catalog.product_report(catalog.pieces(tables(frame)), PREFIXES)
     assert len(out.columns) == 28
     assert dict(out.dtypes)["Price"] == "decimal(25,2)" and dict(out.dtypes)["is salable smart"] == "boolean"
     got = {r["Id"]: r.asDict() for r in out.collect()}
@@ -97,19 +97,21 @@ def test_report(frame):
 
 
 def test_report_does_not_depend_on_row_order(frame):
-    plain = rows(catalog.product_report(tables(frame), PREFIXES))
-    assert rows(catalog.product_report(tables(frame, random.Random(5)), PREFIXES)) == plain
+    plain = rows(catalog.product_report(catalog.pieces(tables(frame)), PREFIXES))
+    assert rows(catalog.product_report(catalog.pieces(tables(frame, random.Random(5))), PREFIXES)) == plain
 
 
 def test_text_over_its_declared_length_stops_the_report(frame):
     long = tables(frame, products=(S.PRODUCTS, [(1, 10, "A" * 256, "simple", 4, T1, T1)]))
     with pytest.raises(Exception, match="longer than 255"):
-        catalog.product_report(long, PREFIXES).collect()
+        catalog.product_report(catalog.pieces(long), PREFIXES).collect()
 
 
-def test_catalog_job_has_nine_tables(frame):
+def test_catalog_job_publishes_its_nine_tables(spark, frame, tmp_path):
     t = tables(frame)
     assert set(t) == set(jobs.CATALOG_SOURCES)
-    built = jobs.catalog_tables(t, PREFIXES)
-    assert len(built) == 9
-    assert built["vw_product_urls"].count() == 4 and built["vw_product_base"].count() == 5
+    done = jobs.run_catalog(t, jobs.Mart(spark, "catalog_mart", str(tmp_path)), PREFIXES)
+    assert len(done) == 9
+    assert done["vw_product_urls"].count() == 4 and done["vw_product_base"].count() == 5
+    direct = catalog.product_report(catalog.pieces(t), PREFIXES)
+    assert done["vw_product"].dtypes == direct.dtypes and rows(done["vw_product"]) == rows(direct)

@@ -168,7 +168,7 @@ LEFT_OUT = sales.Subtrees(prefixes=["1/2/20"], ids=[20], parent_ids=[20], names=
 
 
 def wide(t):
-    return sales.orders_items_wide(t, "House", LEFT_OUT)
+    return sales.orders_items_wide(t, sales.pieces(t, LEFT_OUT), "House")
 
 
 def test_wide_has_one_row_per_top_item_of_a_known_order(frame):
@@ -246,15 +246,18 @@ def test_rollup_totals_equal_the_wide_tables(frame):
     assert rows(total) == rows(direct)
 
 
-def test_sales_job_publishes_its_ten_tables(spark, frame, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_sales_job_publishes_its_ten_tables(spark, frame, tmp_path, buckets):
     t = S.wide_tables(frame) | {"balances": frame(S.BALANCES, [(1, 5)]), "customers": frame(S.CUSTOMERS, [])}
     assert set(t) == set(jobs.SALES_SOURCES)
-    names = list(jobs.sales_tables(t, "House", LEFT_OUT))
-    assert len(names) == 10
-    small = {n: f for n, f in jobs.sales_tables(t, "House", LEFT_OUT).items() if n in ("order_total", "customer_balance")}
-    done = jobs.publish_all(spark, small, "sales_mart", str(tmp_path))
-    assert done["order_total"].count() == 3
-    assert spark.table("sales_mart.customer_balance").count() == 1
-    again = jobs.publish_all(spark, small, "sales_mart", str(tmp_path))
-    assert again["order_total"].count() == 3
+    mart = jobs.Mart(spark, "sales_mart", str(tmp_path), buckets)
+    done = jobs.run_sales(t, mart, "House", LEFT_OUT)
+    assert len(done) == 10
+    assert rows(spark.table("sales_mart.orders_items_denorm")) == rows(wide(t))
+    assert rows(done["sales_refunded"]) == [(1, "True"), (2, "False"), (3, "False"), (5, "False"), (6, "False")]
+    assert done["customer_balance"].count() == 1 and done["order_total"].count() == 3
+
+
+def test_source_names():
     assert jobs.source_names(jobs.SALES_SOURCES, "x")["return_heads"] == "x_rma"
+    assert jobs.source_names(jobs.SALES_SOURCES)["orders"] == "sales_order"

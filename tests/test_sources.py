@@ -5,12 +5,13 @@ import glob
 import gzip
 from datetime import datetime
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
 
 from cartwright.operators.lists import explode_ids, list_elements
-from cartwright.session import shared_checkpoint
+from cartwright.session import shared_folder
 from cartwright.sources import tables as IO
 from cartwright.sources.export import export_csv
 from tests.rows import rows
@@ -123,10 +124,18 @@ def test_compressed_export(frame, tmp_path):
         assert f.readline().startswith("Id,Some Text")
 
 
-def test_checkpoint_uses_the_configured_folder(spark, frame):
-    df = shared_checkpoint(frame("a INT", [(1,)]))
-    assert rows(df) == [(1,)]
-    assert spark.sparkContext.getCheckpointDir() is not None
+def session(master, folder):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda name, default: folder if name == "spark.checkpoint.dir" else default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_shared_folder():
+    assert "cartwright-" in shared_folder(session("local[8]", None), "x")
+    assert shared_folder(session("yarn", "s3://bucket/shared/"), "x").startswith("s3://bucket/shared/x-")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", None), "x")
 
 
 def test_id_lists(frame):
