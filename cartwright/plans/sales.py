@@ -254,7 +254,7 @@ def returns(shipment_items: DataFrame, return_items: DataFrame, return_heads: Da
         F.col("entity_id").alias("return_item_id"), "rma_entity_id", "order_item_id",
         F.col("qty_approved").alias("quantity_returned"), F.col("status").alias("item_status"),
     )
-    shipped = shipment_items.groupBy("order_item_id").agg(F.count("*").cast("int").alias("shipment_lines"))
+    shipped = shipment_items.groupBy("order_item_id").agg(F.count("*").alias("shipment_lines"))
     coded = return_codes.where(F.col("attribute_id") == reason_attribute).select(
         F.col("entity_id").alias("return_item_id"), "value"
     )
@@ -271,7 +271,7 @@ def returns(shipment_items: DataFrame, return_items: DataFrame, return_heads: Da
         F.coalesce("option_text", F.lit("")).alias("return_reason"), "shipment_lines",
     )
     if per_shipment_line:
-        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("shipment_lines")))).drop("_n")
+        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("shipment_lines")))).drop("_n")
     return out
 
 

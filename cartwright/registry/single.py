@@ -84,7 +84,7 @@ def op_three_valued(spark, sf_dir):
     return rows.select("o_orderkey", (a | b).alias("either"), (a & b).alias("both"))
 
 
-_NODE_POS = "LIST_POSITION(string_split(path, '/'), CAST(parent_id AS VARCHAR))"
+_NODE_POS = "CAST(LIST_POSITION(string_split(path, '/'), CAST(parent_id AS VARCHAR)) AS BIGINT)"
 
 
 @query(A.with_shop(["s_nodes"], f"""SELECT entity_id, {_NODE_POS} AS place,
