@@ -210,6 +210,8 @@ SHOP: dict[str, list[Part]] = {
                   "value": "CAST(p_size AS INT)"}, "p_type <> 'SMALL'"),
         ("part", {"row_id": "p_partkey * 2 + 1", "attribute_id": "1009", "store_id": "1",
                   "value": "CAST(p_size AS INT)"}, ""),
+        ("part", {"row_id": "p_partkey * 2 + 1", "attribute_id": "1009", "store_id": "0",
+                  "value": "CAST(p_size AS INT)"}, "p_type = 'PROMO' OR p_type = 'SMALL'"),
         ("part", {"row_id": "p_partkey * 2", "attribute_id": "139", "store_id": "1",
                   "value": "CAST(p_size AS INT)"}, "p_type = 'PROMO'"),
     ],
@@ -220,6 +222,8 @@ SHOP: dict[str, list[Part]] = {
                   "value": "'/' || p_partkey || '.jpg'"}, "p_size < 40"),
         ("part", {"row_id": "p_partkey * 2 + 1", "attribute_id": "864", "store_id": "0",
                   "value": "CAST(p_partkey AS STRING)"}, "p_type <> 'SMALL'"),
+        ("part", {"row_id": "p_partkey * 2 + 1", "attribute_id": "959", "store_id": "0", "value": "p_brand"},
+         "p_size > 35"),
         ("part", {"row_id": "p_partkey * 2 + 1", "attribute_id": "5", "store_id": "0", "value": "p_type"}, ""),
         ("part", {"row_id": "p_partkey * 2", "attribute_id": "5", "store_id": "0", "value": "p_type"},
          "p_type = 'PROMO'"),

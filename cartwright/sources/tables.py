@@ -67,6 +67,15 @@ def snapshot(frames: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -
     return read_tables(spark, root, frames, fmt)
 
 
+def copy_tables(spark: SparkSession, url: str, tables: str | Iterable[str], root: str,
+                splits: Mapping[str, Split] | None = None,
+                properties: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    """Copy chosen database tables to ``root`` and return the landed frames. Large tables need a split."""
+    names = table_names(tables) if isinstance(tables, str) else list(tables)
+    frames = {n: jdbc_reader(spark, url, n, (splits or {}).get(n), properties).load() for n in names}
+    return snapshot(frames, root)
+
+
 def publish(df: DataFrame, table: str, fmt: str = "parquet", root: str | None = None,
             buckets: tuple[int, str] | None = None) -> DataFrame:
     """Replace a table with this frame. The new rows are written in full under another name first, so a

@@ -35,6 +35,21 @@ def test_snapshot_lands_chosen_tables(frame, tmp_path):
     assert list(IO.read_tables(a.sparkSession, str(tmp_path), "b , a")) == ["b", "a"]
 
 
+def test_copy_reads_each_chosen_table_with_its_split(spark, frame, tmp_path, monkeypatch):
+    """No database is at hand: the reader is replaced, its arguments are checked."""
+    asked = []
+
+    def reader(spark, url, table, split, properties):
+        asked.append((url, table, split, properties))
+        return SimpleNamespace(load=lambda: frame("x INT", [(len(asked),)]))
+
+    monkeypatch.setattr(IO, "jdbc_reader", reader)
+    split = IO.Split("id", "1", "9", 4)
+    landed = IO.copy_tables(spark, "jdbc:x", "a, b", str(tmp_path), {"b": split}, {"user": "u"})
+    assert asked == [("jdbc:x", "a", None, {"user": "u"}), ("jdbc:x", "b", split, {"user": "u"})]
+    assert sorted(landed) == ["a", "b"] and landed["a"].count() == 1
+
+
 def test_publish_replaces_and_may_read_the_table_it_replaces(spark, frame, tmp_path):
     for root in (None, str(tmp_path)):
         table = "pub_plain" if root is None else "pub_rooted"
