@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import repeats
+from cartwright.llm import jaccard, language, quality, repeats, toxicity
 from cartwright.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,80 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), with_text=False)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.languages(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+@query("""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda x: regexp_replace(x, '[\\x20\\x09-\\x0D]+', '', 'g') <> '') AS ls
+  FROM documents),
+windows AS (
+  SELECT doc_id, p, list_slice(ws, p, p + 4) AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS p FROM w WHERE len(ws) >= 5)),
+again AS (SELECT doc_id, g FROM windows GROUP BY ALL HAVING count(*) > 1),
+repeated AS (
+  SELECT doc_id, count(DISTINCT q) AS n
+  FROM (SELECT doc_id, unnest(generate_series(p, p + 4)) AS q FROM windows SEMI JOIN again USING (doc_id, g))
+  GROUP BY doc_id),
+m AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    length(regexp_replace(t, '\\P{L}+', '', 'g')) AS n_letters,
+    len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN repeated ON w.doc_id = repeated.doc_id),
+f AS (
+  SELECT *, n_words < 10 AS b0, 100 * n_repeat_words > 20 * n_words AS b1, word_chars > 14 * n_words AS b2,
+    word_chars < 2 * n_words AS b3, 100 * n_symbols > 10 * word_chars AS b4, 100 * n_dup_lines > 30 * n_lines AS b5,
+    100 * n_letters < 50 * word_chars AS b6
+  FROM m)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, b0 OR b1 AS base_failed,
+  NOT (b0 OR b1 OR b2 OR b3 OR b4 OR b5 OR b6) AS kept,
+  CAST(b0::INT + 2 * b1::INT + 4 * b2::INT + 8 * b3::INT + 16 * b4::INT + 32 * b5::INT + 64 * b6::INT AS INT) AS failures
+FROM f
+""")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return entries.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.judge(quality.BASE_POLICY)).alias("base_failed"), quality.judge(quality.PROSE_POLICY).alias("kept"), "failures")
+
+
+@query("""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_slice(ws, p, p + 4) AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS p FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id
+FROM w LEFT JOIN sizes ON w.doc_id = sizes.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = w.doc_id
+""")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
