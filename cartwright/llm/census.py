@@ -59,11 +59,12 @@ class Layout:
 
 def layout(docs: DataFrame, text: str, width: int, chunk_bytes: int = 8 << 20, bucket_keys: int = 1 << 20) -> Layout:
     """Sizes from one aggregate over the whole input: chunks of about ``chunk_bytes`` of text, buckets of about
-    ``bucket_keys`` keys (a word of text is five bytes or more on average), and some of each per shuffle partition."""
+    ``bucket_keys`` keys (a word of text is five bytes or more on average), and no fewer than shuffle partitions. Every
+    chunk writes to every bucket, so neither number grows beyond that."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{text}`"))), F.lit(0)).alias("b")).first()["b"]
-    few = 4 * partitions(docs.sparkSession)
-    buckets = power_of_two(max(few, total / 5 / bucket_keys))
-    return Layout(max(few, int(total // chunk_bytes)), int(buckets).bit_length() - 1, width)
+    parts = partitions(docs.sparkSession)
+    buckets = power_of_two(max(parts, total / 5 / bucket_keys))
+    return Layout(max(3 * parts, int(total // chunk_bytes)), buckets.bit_length() - 1, width)
 
 
 def chunk_of(lay: Layout, docs: DataFrame) -> Column:
