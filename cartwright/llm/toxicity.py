@@ -30,8 +30,11 @@ MOST_UNLABELLED = 24_000
 MOST_WORDS = 2_048
 #: Standard errors by which a word's frequencies in P and U must differ.
 LEAST_Z = 4.5
-#: Documents of P that must hold a word.
-LEAST_SEEN = 3
+#: Share of P or of U that must hold a word, and the documents this is at least: words that only a few copies of one
+#: text hold say nothing of others.
+LEAST_SHARE, LEAST_SEEN = 0.01, 3
+#: The largest weight to start from.
+START = 4.0
 
 _FOLD = bytes(0x20 if chr(b) in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -61,6 +64,21 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ["word", "p", "u"])
 
 
+def _printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add each text's least five-word shingle hash (of its least word's, if shorter), equal for most near copies."""
+    for batch in batches:
+        prints = []
+        for block in blocks([t and t.translate(_FOLD) for t in texts(batch["text"])]):
+            hashes, at = block.windows(5)
+            start, word = 0, 0
+            for end, stop in zip(np.searchsorted(at, block.ends).tolist(), block.ends.tolist()):
+                found = hashes[start:end] if end > start else block.hashes[word:stop]
+                prints.append(found.min() if len(found) else 0)
+                start, word = end, stop
+        yield pa.RecordBatch.from_arrays(
+            [batch["text"], batch["toxic"], pa.array(np.array(prints, np.uint64).view(np.int64))], ["text", "toxic", "print"])
+
+
 def _features(batches: Iterator[pa.RecordBatch], vocabulary: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [places(w, vocabulary).tolist() for w in words_of(batch["text"])]
@@ -87,7 +105,9 @@ def sample(docs: DataFrame, labels: DataFrame, seed: int = 0) -> tuple[DataFrame
     labelled = F.broadcast(marks.where(share("id") < part_u).select("id"))
     p = docs.join(positive, "id", "left_semi").select("text", F.lit(True).alias("toxic"))
     u = docs.where(share("id") < part_u).join(labelled, "id", "left_anti").select("text", F.lit(False).alias("toxic"))
-    return staged(p.unionByName(u), "sample"), seen["p"] / max(1, seen["n"])
+    # Near copies count once: a family of them would pass for a class.
+    once = p.unionByName(u).mapInArrow(_printed, "text string, toxic boolean, print bigint").dropDuplicates(["toxic", "print"])
+    return staged(once.select("text", "toxic"), "sample"), seen["p"] / max(1, seen["n"])
 
 
 def vocabulary_of(examples: DataFrame) -> np.ndarray:
@@ -100,7 +120,8 @@ def vocabulary_of(examples: DataFrame) -> np.ndarray:
         F.sum("p").alias("p"), F.sum("u").alias("u"))
     rate = (F.col("p") + F.col("u") + 1) / (n_p + n_u + 2)
     z = (F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(rate * (1 - rate) * (1 / n_p + 1 / n_u))
-    best = (counts.where(F.col("p") + F.col("u") >= LEAST_SEEN).select("word", z.alias("z")).where(F.abs("z") >= LEAST_Z)
+    least = max(LEAST_SHARE, LEAST_SEEN / n_p)
+    best = (counts.where(F.greatest(F.col("p") / n_p, F.col("u") / n_u) >= least).select("word", z.alias("z")).where(F.abs("z") >= LEAST_Z)
             .orderBy(F.abs("z").desc(), "word").limit(MOST_WORDS).collect())
     return np.sort(np.array([r["word"] for r in best], np.int64).view(np.uint64))
 
@@ -130,12 +151,19 @@ class Rows:
         return self.flat[np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.starts[rows], sizes)], owner
 
 
-def train(positive: Rows, unlabelled: Rows, width: int, prior: float, seed: int, epochs: int = 30, batch: int = 512,
-          rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Weights and, last, the bias: Adam on the non-negative risk with the logistic loss."""
+def train(positive: Rows, unlabelled: Rows, width: int, prior: float, seed: int, epochs: int = 12, batch: int = 1024,
+          rate: float = 0.03, decay: float = 3e-3) -> np.ndarray:
+    """Weights and, last, the bias: Adam on the non-negative risk with the logistic loss.
+
+    It starts from each word's log odds, and is drawn back to them by ``decay``; a word's frequency among
+    negatives is U's less the prior's share of P's.
+    """
     rng = np.random.default_rng(seed)
-    weights = np.zeros(width + 1)
-    weights[-1] = np.log(max(prior, 1e-6) / max(1 - prior, 1e-6))
+    in_p, in_u = (np.bincount(x.flat, minlength=width) / len(x) for x in (positive, unlabelled))
+    in_n = np.maximum(in_u - prior * in_p, 0) / (1 - prior)
+    least = 1 / min(len(positive), len(unlabelled))
+    weights = np.append(np.clip(np.log((in_p + least) / (in_n + least)), -START, START), np.log(prior / (1 - prior)))
+    start = weights.copy()
     first, second, step = np.zeros_like(weights), np.zeros_like(weights), 0
     rounds = max(8, -(-len(unlabelled) // batch))
     for _ in range(epochs):
@@ -150,10 +178,10 @@ def train(positive: Rows, unlabelled: Rows, width: int, prior: float, seed: int,
             # Slopes of the three mean losses by each row's output.
             if negative >= 0:
                 slope_p, slope_u = prior * (out_p - 1) - prior * out_p, out_u
-            else:  # the risk of the negatives is below what it can be: step back up
-                slope_p, slope_u = prior * out_p, -out_u
+            else:  # the risk of the negatives is at its floor and has no slope
+                slope_p, slope_u = prior * (out_p - 1), 0.0 * out_u
             slope_p, slope_u = slope_p / len(mine), slope_u / max(1, len(part))
-            gradient = decay * weights
+            gradient = decay * (weights - start)
             gradient[:-1] += np.bincount(at_p, slope_p[row_p], width) + np.bincount(at_u, slope_u[row_u], width)
             gradient[-1] += slope_p.sum() + slope_u.sum()
             step += 1
