@@ -5,7 +5,7 @@ segment is compressed once per dictionary, and the language with the smallest su
 the runner-up leaves in doubt is marked in ``accepted``.
 
 Bounds: a dictionary takes excerpts of ``EXCERPT`` characters of about ``EXCERPTS`` documents per language, chosen by a
-hash of the id, and ``DICTIONARY`` bytes at most; every text is compressed whole, where it lies, without a shuffle.
+hash of the id, and ``DICTIONARY`` bytes at most; every text is folded and compressed whole, where it lies, without a shuffle.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; equal sizes go to the language with more
 rows to learn from, then to the first name; null languages are not learned; a null id counts as held out; with nothing
@@ -26,15 +26,22 @@ from pyspark.sql import functions as F
 from cartwright.llm.base import rest_of, texts, unrest
 from cartwright.llm.toxicity import fold
 
-EXCERPTS = 160
-EXCERPT = 1_200
-DICTIONARY = 112 << 10
+EXCERPTS = 640
+EXCERPT = 300
+DICTIONARY = 64 << 10
 SEGMENT = 4 << 10
-LEVEL = 3
+LEVEL = 5
 #: The least margin, as a share of the runner-up's size, that is accepted.
 MARGIN = 0.01
 
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
+#: Every ASCII byte that is no letter becomes a space.
+_SPACED = bytes(b if b >= 128 or chr(b).isalpha() else 0x20 for b in range(256))
+
+
+def folded(raw: bytes) -> bytes:
+    """Lower case, with one space for any run of ASCII characters that are no letters: what tells languages apart."""
+    return b" ".join(raw.decode(errors="replace").lower().encode().translate(_SPACED).split())
 
 
 def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
@@ -50,7 +57,7 @@ def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
     found = {}
     for row in counts:
         mine = [r["t"] for r in taken if r["lang"] == row["lang"]]
-        content = "\n".join(mine).encode()[-DICTIONARY:]
+        content = folded("\n".join(mine).encode())[-DICTIONARY:]
         if len(content) >= 8:
             found[row["lang"]] = content
     return found
@@ -84,7 +91,7 @@ def _judged(batches: Iterator[pa.RecordBatch], dictionaries: dict[str, bytes], r
             if not languages or not has_letter(raw):
                 preds.append("und"), scores.append(0.0)
                 continue
-            sizes = np.array(sizer.sizes(raw))
+            sizes = np.array(sizer.sizes(folded(raw)))
             best = int(np.argmin(sizes))
             runner_up = np.delete(sizes, best).min() if len(sizes) > 1 else 2 * sizes[best]
             preds.append(languages[best]), scores.append(float(1 - sizes[best] / max(1, runner_up)))

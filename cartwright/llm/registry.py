@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import jaccard, language, quality, repeats, toxicity
+from cartwright.llm import jaccard, language, mixing, packing, quality, repeats, toxicity
 from cartwright.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,3 +125,23 @@ FROM w LEFT JOIN sizes ON w.doc_id = sizes.doc_id JOIN (SELECT a, min(b) AS c FR
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file of the queries; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query()
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.sequences(docs, tokenizer_path()).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
