@@ -5,6 +5,7 @@ A word is a maximal run of bytes other than space and ``\\x09``-``\\x0D``; ``byt
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -22,6 +23,14 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, if their path doesn't have it yet."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

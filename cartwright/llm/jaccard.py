@@ -8,9 +8,9 @@ result is each document's component, so copies and near copies never become pair
 2. Small sets (up to a boundary) enumerate their subsets of every size c that an overlap may need. Sets that meet in a
    c-subset overlap in c; of those, the smallest is linked with each one the size bound allows. A link between two other
    members implies that both link with the smallest, so this star keeps every component without naming pairs.
-3. Large sets scan inverted lists of their rarest shingles (the prefix within which similar sets must meet). A first
-   pass pairs each list's members with one hub only; verified links make components. A second pass takes the pairs of a
-   list that still lie in different components, so a group of near copies costs its size, not its square, and no link
+3. Large sets scan inverted lists of their rarest shingles (the prefix within which similar sets must meet). First
+   passes pair each list's members with a few hubs only; verified links make components. A last pass takes the pairs of
+   a list that still lie in different components, so a group of near copies costs its size, not its square, and no link
    between components is lost.
 4. The boundary is the size at which enumerating subsets costs more than scanning lists, from counts of sets by size and
    the measured length of the lists.
@@ -39,6 +39,8 @@ WIDTH = 5
 PERCENT = 80
 #: Sets beyond this size never enumerate subsets; their number, C(30, 24) and more, exceeds any list's cost.
 MOST_ENUMERATED = 30
+#: Hubs of a list in one pass.
+HUBS = 3
 
 _SET = pa.schema([("row_key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()),
                   ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("skipped", pa.int32())])
@@ -170,31 +172,58 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(both * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent).select("a", "b"))
 
 
-def _hub_pairs(postings: DataFrame, boundary: int, percent: int, hub: Column) -> DataFrame:
-    """Each list's members with the list's hub."""
-    hubs = postings.groupBy("token").agg(F.min(F.struct(hub.alias("o"), "rid", "n", "place")).alias("h")).alias("t")
-    own = F.struct("p.n", "p.place").alias("m")
-    met = (postings.alias("p").join(hubs, "token").where(F.col("p.rid") != F.col("t.h.rid"))
-           .select("p.rid", "t.h", own).where(_may_be_similar("m", "h", percent))
-           .where(F.greatest("m.n", "h.n") > boundary))
+def _hub_pairs(postings: DataFrame, boundary: int, percent: int, seeds: range) -> DataFrame:
+    """Each list's members with the list's hubs, one per seed, where they are in different components. A hub is the
+    member with the least hash, so the lists of one family of copies mostly agree on theirs."""
+    hubs = postings.groupBy("token").agg(F.array(*[
+        F.min(F.struct(F.xxhash64("rid", F.lit(seed)).alias("o"), "rid", "n", "place", "label")) for seed in seeds]).alias("hubs"))
+    met = (postings.join(hubs, "token").select("rid", "label", F.struct("n", "place").alias("m"), F.explode("hubs").alias("h"))
+           .where((F.col("label") != F.col("h.label")) & (F.greatest("m.n", "h.n") > boundary) & _may_be_similar("m", "h", percent)))
     return met.select(F.least("rid", "h.rid").alias("a"), F.greatest("rid", "h.rid").alias("b")).distinct()
 
 
-def _cross_pairs(postings: DataFrame, labels: DataFrame, boundary: int, percent: int) -> DataFrame:
+def _cross_pairs(postings: DataFrame, boundary: int, percent: int) -> DataFrame:
     """The pairs of each list that lie in different components."""
-    named = postings.join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
-        "label", F.coalesce("label", "rid"))
-    mixed_lists = (named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                   .where("low < high").select("token"))
-    rest = named.join(mixed_lists, "token", "left_semi").select(
-        "token", "label", F.struct("rid", "n", "place").alias("s"))
-    x, y = rest.select("token", F.col("label").alias("la"), F.col("s").alias("x")), rest.select(
-        "token", F.col("label").alias("lb"), F.col("s").alias("y"))
-    return (x.join(y, "token").where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent)
-                                     & (F.greatest("x.n", "y.n") > boundary))
+    side = lambda label, name: postings.select(
+        "token", F.col("label").alias(label), F.struct("rid", "n", "place").alias(name))
+    return (side("la", "x").join(side("lb", "y"), "token")
+            .where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent) & (F.greatest("x.n", "y.n") > boundary))
             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct())
 
 
+def _still_mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists whose members are in two components or more, with each member's component."""
+    named = postings.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
+        "label", F.coalesce("label", "rid"))
+    spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return staged(named.join(spread.select("token"), "token", "left_semi").select("token", "rid", "n", "place", "label"), "mixed")
+
+
+def _pairs_left(postings: DataFrame) -> tuple[int, int]:
+    """Postings, and pairs of them in one list and different components."""
+    row = (postings.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("token")
+           .agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
+           .agg(F.sum("n").alias("n"), F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2).alias("pairs")).first())
+    return row["n"] or 0, int(row["pairs"] or 0)
+
+
+def linked(heavy: DataFrame, rows: DataFrame, small: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """``node, label`` of every set with a link. Stars around hubs first, as long as each pass takes a third of the
+    pairs that are left away and more than one per posting are; then every pair that is left."""
+    links = staged(small, "links")
+    mixed_lists, round_, before = staged(heavy.withColumn("label", F.col("rid")), "mixed"), 0, None
+    while True:
+        n, pairs = _pairs_left(mixed_lists)
+        last = pairs <= n or (before is not None and pairs > before * 2 / 3)
+        found = _cross_pairs(mixed_lists, boundary, percent) if last else _hub_pairs(
+            mixed_lists, boundary, percent, range(HUBS * round_, HUBS * (round_ + 1)))
+        links = links.unionByName(staged(verified(found, rows, percent), "links"))
+        labels = components(links)
+        if last:
+            return labels
+        mixed_lists, round_, before = _still_mixed(mixed_lists, labels), round_ + 1, pairs
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", width: int = WIDTH,
                     percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: row_key (a hash of its id and text), the id, n_shingles, component_id (the smallest id
@@ -206,7 +235,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", wi
         census.census(chunked, lambda g: _keys(g, width), lay, lambda g, r: _candidates(g, r, width, percent), _SET_DDL)
         .withColumn("rid", F.monotonically_increasing_id()), "sets")
     classes = staged(rows.where("print IS NOT NULL").groupBy("print").agg(
-        F.min("rid").alias("rid"), F.min("id").alias("low")), "classes")
+        F.min("rid").alias("rid"), F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "rid")).alias("first")), "classes")
     sets = rows.where("print IS NOT NULL").join(classes.select("rid"), "rid", "left_semi")
 
     lists_of = (sets.select("rid", "n", "skipped", F.posexplode("prefix").alias("at", "token"))
@@ -217,25 +246,17 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", wi
     boundary = boundary_of(rows.where("print IS NOT NULL"), lists, percent)
     heavy = postings.where(F.col("n") >= needed(boundary + 1, percent))
 
-    links = staged(small_links(sets, boundary, percent).unionByName(
-        verified(_hub_pairs(heavy, boundary, percent, F.col("n")), rows, percent)), "links")
-    labels = components(links)
-    more = staged(verified(_cross_pairs(heavy, labels, boundary, percent), rows, percent), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    labels = linked(heavy, rows, small_links(sets, boundary, percent), boundary, percent)
 
     named = classes.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select(
-        "print", "rid", "low", F.coalesce("label", "rid").alias("label"))
-    lows = named.groupBy("label").agg(F.min("low").alias("component_id"), F.min("rid").alias("first"))
-    of_print = named.join(lows, "label").select("print", "component_id", "label")
-    plain = rows.select("row_key", "id", "n", "print", "rid")
-    met = plain.where("print IS NOT NULL").join(of_print, "print")
-    stays = met.groupBy("label").agg(F.min(F.struct(F.col("id").isNull(), "id", "rid")).alias("s")).select("label", F.col("s.rid").alias("stay"))
-    return met.join(stays, "label").select(
-        "row_key", F.col("id").alias(id_), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-        (F.col("rid") == F.col("stay")).alias("stays"),
-    ).unionByName(plain.where("print IS NULL").select(
-        "row_key", F.col("id").alias(id_), F.col("n").alias("n_shingles"), F.col("id").alias("component_id"), F.lit(True).alias("stays")))
+        "print", "first", F.coalesce("label", "rid").alias("label"))
+    firsts = named.groupBy("label").agg(F.min("first").alias("f"))
+    of_print = named.join(firsts, "label").select("print", F.col("f.id").alias("component_id"), F.col("f.rid").alias("stay"))
+    plain = rows.select("row_key", F.col("id").alias(id_), F.col("n").alias("n_shingles"), "print", "rid")
+    shown = ["row_key", id_, "n_shingles", "component_id", "stays"]
+    met = plain.where("print IS NOT NULL").join(of_print, "print").withColumn("stays", F.col("rid") == F.col("stay"))
+    alone = plain.where("print IS NULL").withColumns({"component_id": F.col(id_), "stays": F.lit(True)})
+    return met.select(*shown).unionByName(alone.select(*shown))
 
 
 def without_near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwright.llm import jaccard, language, mixing, packing, quality, repeats, toxicity
-from cartwright.llm.base import table
+from cartwright.llm.base import reachable, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +18,11 @@ def query(check: str | None = None):
     """Register a query under its function name, with the SQL that must give the same rows."""
 
     def add(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reachable(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if check:
             CHECKS[fn.__name__] = check
         return fn
