@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.llm import jaccard, language, mixing, packing, quality, repeats, toxicity
+from cartwright.llm import jaccard, language, mixing, packing, quality, repeats, toxicity, warc
 from cartwright.llm.base import reachable, table
+from cartwright.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -149,3 +150,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.sequences(docs, tokenizer_path()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
+
+
+@query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h) AS n, sha256(h) AS s FROM p),
+g AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY s) ELSE page_id END AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, s AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM g
+""")
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
