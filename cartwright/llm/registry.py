@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwright.llm import jaccard, language, mixing, packing, quality, repeats, toxicity, warc
+from cartwright.llm import jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, warc
 from cartwright.llm.base import reachable, table
 from cartwright.session import shared_folder
 
@@ -165,3 +166,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
     return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
