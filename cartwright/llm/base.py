@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.session import shared_folder
 
@@ -66,10 +67,22 @@ def power_of_two(n: float) -> int:
     return 1 << max(0, int(np.ceil(np.log2(max(n, 1)))))
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    """The type with every inner field nullable, as Arrow functions declare theirs."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(kind.keyType, _nullable(kind.valueType))
+    return kind
+
+
 def rest_of(frame: DataFrame, *taken: str) -> Column:
     """Every other column in one struct, so that operators may name theirs freely."""
     others = [F.col(f"`{c}`") for c in frame.columns if c not in taken]
-    return F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_"))
+    rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("_"))
+    return rest.cast(_nullable(frame.select(rest.alias("rest")).schema["rest"].dataType))
 
 
 def unrest(frame: DataFrame, order: list[str], struct: str = "rest") -> DataFrame:

@@ -260,8 +260,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", wi
 
 
 def without_near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each component, that with the smallest id. Rows equal in id and text are one."""
-    keys = staged(near_duplicates(docs, text, id_).where("stays").select("row_key"), "stays")
-    key = F.xxhash64(F.col(f"`{id_}`").cast("bigint"), F.col(f"`{text}`"))
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("row_key")).join(keys, "row_key", "left_semi")
+    """``docs`` with one row of each component, that with the smallest id; rows equal in id and text are one."""
+    judged = staged(near_duplicates(docs, text, id_).select("row_key", "stays"), "judged")
+    key = F.xxhash64(F.col(f"`{id_}`").cast("bigint"), F.col(f"`{text}`")).alias("row_key")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key).join(
+        judged.where("stays").select("row_key").distinct(), "row_key", "left_semi")
+    if not judged.groupBy("row_key").count().where("count > 1").isEmpty():
+        held = held.dropDuplicates(["row_key"])
     return held.select("row.*")

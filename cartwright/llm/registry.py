@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, warc
+from cartwright.llm import jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc
 from cartwright.llm.base import reachable, table
 from cartwright.session import shared_folder
 
@@ -171,3 +171,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query()
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_tree.judged(table(spark, sf_dir, "pages"))
