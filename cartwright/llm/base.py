@@ -85,9 +85,10 @@ def rest_of(frame: DataFrame, *taken: str) -> Column:
     return rest.cast(_nullable(frame.select(rest.alias("rest")).schema["rest"].dataType))
 
 
-def unrest(frame: DataFrame, order: list[str], struct: str = "rest") -> DataFrame:
-    """Undo ``rest_of``: the columns of ``order``, from the frame or else from the struct."""
-    return frame.select(*[F.col(f"`{c}`") if c in frame.columns else F.col(f"{struct}.`{c}`").alias(c) for c in order])
+def unrest(frame: DataFrame, columns: list[str], found: list[str]) -> DataFrame:
+    """Undo ``rest_of``: the ``columns`` it held that are not found anew, then those that are."""
+    held = [F.col(f"rest.`{c}`").alias(c) for c in columns if c not in found]
+    return frame.select(*held, *[F.col(f"`{c}`") for c in found])
 
 
 # ---- words and hashes inside tasks ----------------------------------------------------------------

@@ -28,3 +28,16 @@ def components(links: DataFrame) -> DataFrame:
         labels = stepped.select("node", "label")
         if not changed:
             return labels
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links: their components are found among labels, so what is joined already is not walked again."""
+    of = lambda end: labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label"))
+    met = (links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+           .select(F.coalesce("a_label", "a").alias("x"), F.coalesce("b_label", "b").alias("y")).where("x <> y")
+           .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    above = components(met).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    ends = [links.select(F.col(end).alias("node"), F.col(end).alias("label")) for end in ("a", "b")]
+    # A label is never above its node, so the least of a node's rows is the label it has.
+    nodes = labels.unionByName(ends[0]).unionByName(ends[1]).groupBy("node").agg(F.min("label").alias("label"))
+    return staged(nodes.join(above, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "labels")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm import census
 from cartwright.llm.base import Block, blocks, mixed, rolling, staged, texts
-from cartwright.llm.components import components
+from cartwright.llm.components import components, joined
 
 WIDTH = 5
 PERCENT = 80
@@ -210,15 +210,14 @@ def _pairs_left(postings: DataFrame) -> tuple[int, int]:
 def linked(heavy: DataFrame, rows: DataFrame, small: DataFrame, boundary: int, percent: int) -> DataFrame:
     """``node, label`` of every set with a link. Stars around hubs first, as long as each pass takes a third of the
     pairs that are left away and more than one per posting are; then every pair that is left."""
-    links = staged(small, "links")
-    mixed_lists, round_, before = staged(heavy.withColumn("label", F.col("rid")), "mixed"), 0, None
+    labels = components(staged(small, "links"))
+    mixed_lists, before, round_ = _still_mixed(heavy, labels), None, 0
     while True:
         n, pairs = _pairs_left(mixed_lists)
         last = pairs <= n or (before is not None and pairs > before * 2 / 3)
         found = _cross_pairs(mixed_lists, boundary, percent) if last else _hub_pairs(
             mixed_lists, boundary, percent, range(HUBS * round_, HUBS * (round_ + 1)))
-        links = links.unionByName(staged(verified(found, rows, percent), "links"))
-        labels = components(links)
+        labels = joined(labels, staged(verified(found, rows, percent), "links"))
         if last:
             return labels
         mixed_lists, round_, before = _still_mixed(mixed_lists, labels), round_ + 1, pairs

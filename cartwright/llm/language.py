@@ -108,7 +108,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text"
     done = docs.select(rest.alias("rest"), F.col(f"`{text}`").alias("text")).mapInArrow(
         lambda b: _judged(b, dictionaries, margin, ["rest", *found]),
         f"rest {kind}, lang_pred string, score double, accepted boolean")
-    return unrest(done, [c for c in docs.columns if c not in (text, *found)] + found)
+    return unrest(done, [c for c in docs.columns if c != text], found)
 
 
 def languages(docs: DataFrame, text: str = "text", id_: str = "doc_id", lang: str = "lang") -> DataFrame:

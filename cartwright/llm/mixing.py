@@ -155,7 +155,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", seed: int =
     met = rows.withColumn("place", place).join(cells, [*key, "range"])
     times = F.col("times") + F.when(F.col("place") <= F.col("more"), 1).otherwise(0)
     done = met.select("rest", "size", "source_size", "target", (F.col("size") * times).alias("taken"))
-    return unrest(done, [c for c in docs.columns if c not in (text, *found)] + found)
+    return unrest(done, [c for c in docs.columns if c != text], found)
 
 
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", seed: int = 0) -> DataFrame:

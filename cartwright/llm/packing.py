@@ -111,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
 
     done = docs.select(rest.alias("rest"), F.col(f"`{text}`").alias("text")).mapInArrow(
         cut, f"rest {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + (", ids array<int>" if with_ids else ""))
-    return unrest(done, [c for c in docs.columns if c not in (text, *found)] + found)
+    return unrest(done, [c for c in docs.columns if c != text], found)
 
 
 # ---- packing --------------------------------------------------------------------------------------
@@ -223,8 +223,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, most_pieces: int = MOST_PIE
         parts = fewer
     for one in done:
         state = state.unionByName(one)
-    return unrest(state.withColumn("certified", F.col("gap") <= 0),
-                  [c for c in items.columns if c not in taken] + ["sequence_id", "offset", "certified"])
+    return unrest(state.withColumn("certified", F.col("gap") <= 0), [c for c in items.columns if c not in taken],
+                  ["sequence_id", "offset", "certified"])
 
 
 def sequences(docs: DataFrame, tokenizer: str, text: str = "text", id_: str = "doc_id", capacity: int = CAPACITY) -> DataFrame:

@@ -85,7 +85,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, wi
     done = census.census(
         chunked, lambda g: _windows(g, window), lay, lambda g, r: _cut(g, r, window, with_text),
         schema + (", kept_text string" if with_text else ""))
-    return unrest(done, [c for c in docs.columns if c not in (text, *found)] + found)
+    return unrest(done, [c for c in docs.columns if c != text], found)
 
 
 def without_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:

@@ -225,9 +225,10 @@ def score(docs: DataFrame, text: str, vocabulary: np.ndarray, weights: np.ndarra
 
     done = docs.select(rest.alias("rest"), F.col(f"`{text}`").alias("text")).mapInArrow(
         scored, f"rest {kind}, {'text string, ' if keep_text else ''}score double, predicted int")
+    shown = [text, *found] if keep_text else found
     if keep_text:
         done = done.withColumnRenamed("text", text)
-    return unrest(done, [c for c in docs.columns if c not in found and (keep_text or c != text)] + found)
+    return unrest(done, [c for c in docs.columns if c != text], shown)
 
 
 def fold(id_: str, parts: int) -> Column:
