@@ -32,6 +32,7 @@ from cartwright.llm.base import partitions, rest_of, staged, texts, unrest
 CAPACITY = 2048
 END = b"\x00\x00\x00\x00"
 MOST_PIECES = 50_000
+LEAST_BINS = 256
 #: Words remembered per worker: two generations of this many.
 WORDS = 250_000
 MARKS = b".,!?;:#$%&*|"
@@ -199,7 +200,9 @@ def pack(items: DataFrame, capacity: int = CAPACITY, most_pieces: int = MOST_PIE
     written = staged(held.withColumn("at", F.monotonically_increasing_id()), "pieces")
     kind = written.schema["rest"].dataType.simpleString()
     schema = f"rest {kind}, length bigint, at bigint, part bigint, {_PLACED}"
-    parts = max(partitions(spark), -(-written.count() // most_pieces))
+    total = written.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).first()
+    # A partition may end with one bin that is nearly empty, so each has sequences enough for that not to matter.
+    parts = max(min(partitions(spark), total["tokens"] // (capacity * LEAST_BINS)), -(-total["n"] // most_pieces), 1)
 
     def packer(round_: int):
         return lambda group: _packed(group, capacity, round_)

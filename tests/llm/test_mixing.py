@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from cartwright.llm import mixing
+
+
+def brute_targets(sizes):
+    names = sorted(sizes, key=lambda n: (n is None, (n or "").encode()))
+    weight = {n: mixing.WEIGHTS[i % 3] for i, n in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        left = total - sum(3 * sizes[n] for n in capped)
+        heavy = sum(weight[n] for n in names if n not in capped)
+        out = {n: 3 * sizes[n] if n in capped else left * weight[n] / heavy for n in names}
+        over = {n for n in names if n not in capped and out[n] > 3 * sizes[n]}
+        if not over:
+            return out
+        capped |= over
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1000, "b": 1, "c": 10, None: 3}, {"z": 5}, {"a": 0, "b": 7}, {"é": 10, "z": 1, "A": 500, "": 2},
+    {f"s{i}": (i * i * 37) % 101 for i in range(20)}, {"a": 0}, {"a": 10**15, "b": 3}])
+def test_targets_like_handing_the_excess_on(spark, small_parts, sizes):
+    rows = [(n is not None, n or "", s) for n, s in sizes.items()]
+    got = mixing.targets(spark.createDataFrame(rows, "known boolean, name string, source_size bigint")).collect()
+    found = {r["name"] if r["known"] else None: r["target"] for r in got}
+    assert found == pytest.approx(brute_targets(sizes), rel=1e-9, abs=1e-9)
+
+
+def test_subset_sum_like_brute_force():
+    rng = random.Random(1)
+    for _ in range(200):
+        sizes = sorted(rng.sample(range(1, 30), rng.randrange(1, 5)))
+        counts = [rng.randrange(0, 4) for _ in sizes]
+        budget = rng.randrange(0, 80)
+        took = mixing.subset_sum(sizes, counts, budget)
+        assert all(0 <= t <= c for t, c in zip(took, counts))
+        best = max(s for s in (sum(a * b for a, b in zip(pick, sizes)) for pick in itertools.product(*[range(c + 1) for c in counts])) if s <= budget)
+        assert sum(a * b for a, b in zip(took, sizes)) == best
+
+
+def test_fit_of_large_budgets_is_exact():
+    rng = np.random.default_rng(0)
+    sizes, counts = np.arange(0, 4000), rng.integers(1, 50, 4000)
+    for share in (0.1, 0.5, 0.9):
+        budget = int((sizes * counts).sum() * share)
+        took = mixing.fit(sizes, counts, budget)
+        assert (took <= counts).all() and (took >= 0).all() and int((sizes * took).sum()) == budget
+    assert mixing.fit(np.array([0, 5]), np.array([9, 2]), 100).tolist() == [0, 2]
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "doc_id bigint, text string, source string, size int, range int, name string")
+
+
+def test_mix_meets_targets_and_reruns_agree(spark, small_parts):
+    rng = random.Random(3)
+    rows = [(i, " ".join(["w"] * rng.randrange(0, 30)), "hot" if i % 3 else f"s{i % 5}") for i in range(900)]
+    rows += [(1000 + i, "same length text here", "hot") for i in range(500)] + [(2000, None, None), (2001, "a  b c\nd ", None)]
+    first = mixing.mix(docs(spark, rows)).toPandas()
+    again = mixing.mix(docs(spark, rows[::-1]).repartition(7)).toPandas()
+    key = ["doc_id", "size", "source_size", "target", "taken"]
+    assert first[key].sort_values(key).values.tolist() == again[key].sort_values(key).values.tolist()
+    texts = {i: t for i, t, _ in rows}
+    assert all(r["size"] == len((texts[r.doc_id] or "").encode().split()) for _, r in first.iterrows())
+    assert (first.taken <= 3 * first["size"]).all()
+    sums = first.fillna({"source": "-"}).groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert ((sums.taken - sums.target).abs() <= 30).all()
+    other = mixing.mix(docs(spark, rows), seed=5).toPandas()
+    assert sorted(other.taken * 10_000 + other.doc_id) != sorted(first.taken * 10_000 + first.doc_id)
+
+
+def test_stage_repeats_documents_as_taken(spark, small_parts):
+    rng = random.Random(8)
+    table = docs(spark, [(i, " ".join(["w"] * rng.randrange(0, 9)), ["x", "y", None][min(2, i % 7)]) for i in range(200)])
+    mixed = mixing.mixed(table)
+    assert mixed.columns == table.columns
+    times = mixed.groupBy("doc_id", "text", "source").count().toPandas()
+    assert times["count"].max() <= 3 and (times.text != "").all()
+    sizes = times.assign(words=times.text.str.split().str.len() * times["count"]).fillna({"source": "-"}).groupby("source").words.sum()
+    wanted = {r["source"] or "-": r["target"] for r in mixing.mix(table).select("source", "target").distinct().collect()}
+    assert all(abs(sizes[name] - target) <= 9 for name, target in wanted.items())
+
+
+def test_empty_table(spark, small_parts):
+    assert mixing.mix(docs(spark, [])).count() == 0
