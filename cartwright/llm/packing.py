@@ -34,7 +34,7 @@ END = b"\x00\x00\x00\x00"
 MOST_PIECES = 50_000
 LEAST_BINS = 256
 #: Words remembered per worker: two generations of this many.
-WORDS = 250_000
+WORDS = 500_000
 MARKS = b".,!?;:#$%&*|"
 
 

@@ -2,8 +2,8 @@
 
 The tree is built level by level over all hosts at once. At each node a segment becomes a template part: numbers, ids and
 the like by their form; any segment, as ``*``, where a node has many different ones that each come up rarely; and
-sibling branches whose labelled rates do not differ by more than chance merge into one (``{~}``), as do those without a
-label (``{?}``), of which nothing says that they differ. A template is rejected when its purity, the share of bad labels
+sibling branches whose labelled rates do not differ by more than chance merge into one (``{+}``, ``{-}`` or ``{~}``, above,
+below or at their siblings' rate), as do those without a label (``{?}``), of which nothing says that they differ. A template is rejected when its purity, the share of bad labels
 smoothed towards ``PRIOR`` by ``STRENGTH`` imaginary labels, reaches ``REJECT``; without labels it never is.
 
 Every level works on counts per host, template and segment, pre-aggregated from counts per distinct path, and is
@@ -86,21 +86,36 @@ def _shape(segment: Column) -> Column:
             .otherwise(segment))
 
 
-def _parts(branches: DataFrame) -> DataFrame:
-    """``host, template, segment, part``: what each branch of each node is called."""
-    nodes = branches.groupBy("host", "template").agg(
-        F.count(F.lit(1)).alias("branches"), F.sum("n").alias("all_n"), F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
-    labels, others = F.col("bad") + F.col("good"), F.col("all_bad") + F.col("all_good") - F.col("bad") - F.col("good")
-    own, rest = F.col("bad") / labels, (F.col("all_bad") - F.col("bad")) / others
-    pooled = F.col("all_bad") / (F.col("all_bad") + F.col("all_good"))
+def _against_rest(branches: DataFrame, group: list[str]) -> DataFrame:
+    """``branches`` with ``differs``: by how many standard errors a branch's labelled rate is above (or, negative,
+    below) that of the others in its group; null where it or they have too few labels."""
+    sums = branches.groupBy(*group).agg(F.sum("bad").alias("all_bad"), F.sum("good").alias("all_good"))
+    labels = F.col("bad") + F.col("good")
+    all_labels = F.col("all_bad") + F.col("all_good")
+    others, pooled = all_labels - labels, F.col("all_bad") / all_labels
+    above = F.col("bad") / labels - (F.col("all_bad") - F.col("bad")) / others
     spread = F.sqrt(pooled * (1 - pooled) * (1 / labels + 1 / others))
-    alike = (labels >= LEAST_LABELS) & (others >= LEAST_LABELS) & (F.abs(own - rest) <= CHANCE * spread)
+    differs = F.when((labels >= LEAST_LABELS) & (others >= LEAST_LABELS), F.when(spread > 0, above / spread).otherwise(F.lit(0.0)))
+    return branches.join(sums, group).withColumn("differs", differs).drop("all_bad", "all_good")
+
+
+def _parts(branches: DataFrame) -> DataFrame:
+    """``host, template, segment, part``: what each branch of each node is called.
+
+    Branches first fall on the side of their siblings' rate that the test says; on one side, those that do not differ
+    from the rest of it merge.
+    """
+    node = ["host", "template"]
+    nodes = branches.groupBy(*node).agg(F.count(F.lit(1)).alias("branches"), F.sum("n").alias("all_n"))
+    side = F.when(F.col("differs") > CHANCE, F.lit("{+}")).when(F.col("differs") < -CHANCE, F.lit("{-}")).when(
+        F.col("differs").isNotNull(), F.lit("{~}")).otherwise(F.lit("few"))
+    sided = _against_rest(_against_rest(branches, node).withColumn("side", side).drop("differs"), [*node, "side"])
     part = (F.when((F.col("branches") > MOST_BRANCHES) & (F.col("all_n") < LEAST_MEAN * F.col("branches")), F.lit("*"))
             .when(F.col("branches") == 1, F.col("segment"))
-            .when(labels == 0, F.lit("{?}"))
-            .when(F.when((labels > 0) & (others > 0), alike).otherwise(F.lit(False)), F.lit("{~}"))
+            .when(F.col("bad") + F.col("good") == 0, F.lit("{?}"))
+            .when((F.col("side") != "few") & (F.abs("differs") <= CHANCE), F.col("side"))
             .otherwise(F.col("segment")))
-    return branches.join(nodes, ["host", "template"]).select("host", "template", "segment", part.alias("part"))
+    return sided.join(nodes, node).select(*node, "segment", part.alias("part"))
 
 
 def templates(labelled: DataFrame, depth: int = DEPTH) -> DataFrame:

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cartwright.llm import neighbours
+
+DDL = "vec_id bigint, embedding array<float>, label int, block int, v string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, "x") for i, v in rows], DDL)
+
+
+def found(spark, rows, every=10, k=10, **kw):
+    out = {}
+    for r in neighbours.nearest(table(spark, rows), F.col("id") % every == 0, k, **kw).orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    return out
+
+
+def brute(rows, every=10, k=10):
+    ids = np.array([i for i, _ in rows])
+    vectors = np.array([v for _, v in rows], np.float32).astype(np.float64)
+    out = {}
+    for i, v in zip(ids, vectors):
+        if i % every == 0:
+            scores = np.sqrt(((vectors - v) ** 2).sum(1))
+            rest = ids != i
+            order = np.lexsort((ids[rest], scores[rest]))[:k]
+            out[int(i)] = list(zip(ids[rest][order].tolist(), scores[rest][order].tolist()))
+    return out
+
+
+@pytest.mark.parametrize("kind", ["round", "clusters", "off centre"])
+def test_recall_and_exact_scores(spark, small_parts, kind, monkeypatch):
+    rng = np.random.default_rng(1)
+    points = rng.standard_normal((2000, 16))
+    if kind == "clusters":
+        points = points * 0.1 + rng.standard_normal((20, 16))[rng.integers(0, 20, 2000)] * 3
+    if kind == "off centre":
+        points = points + 50
+    rows = [(i, p.astype(np.float32).tolist()) for i, p in enumerate(points)]
+    monkeypatch.setattr(neighbours, "BLOCK", 700)
+    monkeypatch.setattr(neighbours, "QUERIES", 64)
+    got, wanted = found(spark, rows), brute(rows)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+    assert got.keys() == wanted.keys() and hits >= 0.9 * sum(map(len, wanted.values()))
+    of = dict(rows)
+    for q, mine in got.items():
+        assert [s for _, s in mine] == sorted(s for _, s in mine) and len(mine) == 10 and q not in {i for i, _ in mine}
+        exact = [float(np.sqrt(((np.float64(np.float32(of[i])) - np.float64(np.float32(of[q]))) ** 2).sum())) for i, _ in mine]
+        assert np.allclose([s for _, s in mine], exact, rtol=1e-12, atol=0)
+
+
+def test_near_vectors_end_the_ascent_early():
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((40, 32))
+    points = np.repeat(centres, 50, axis=0) + 0.01 * rng.standard_normal((2000, 32))
+    forest = neighbours.Forest(points, np.zeros(32), neighbours.TREES, 0)
+    lengths = []
+    members = forest.members
+    forest.members = lambda a, b: (lambda r: (lengths.append(len(r)), r)[1])(members(a, b))
+    neighbours.search(forest, np.arange(2000), points[:50], np.arange(50), 10)
+    assert np.median(lengths) <= 200
+
+
+def test_copies_ties_and_what_takes_no_part(spark, small_parts):
+    e = [1.0, 0.0, 0.0]
+    rows = [(i, e) for i in range(30)] + [(40, [0.0, 1.0, 0.0]), (50, None), (60, [0.0] * 3), (70, [1.0, None, 0.0]), (80, [float("nan"), 1.0, 0.0]),
+                                          (90, [float("inf"), 0.0, 0.0]), (100, [1.0, 0.0]), (None, e), (10, e)]
+    got = found(spark, rows)
+    assert set(got) == {0, 10, 20, 40}
+    assert [i for i, _ in got[20]] == list(range(10)) and [i for i, _ in got[0]] == list(range(1, 11)) and {s for _, s in got[0]} == {0.0}
+    assert [i for i, _ in got[40]] == list(range(10)) and got[40][0][1] == pytest.approx(2**0.5)
+
+
+def test_few_rows(spark, small_parts):
+    assert found(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])]) == {0: [(1, pytest.approx(2**0.5))]}
+    assert found(spark, [(0, [1.0, 2.0])]) == {} and found(spark, []) == {}
