@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 
 def decode(code: Column, labels: Mapping[int, str], default: str) -> Column:
-    """Label of an integer code; ``default`` for unknown codes and for NULL."""
+    """Label of an integer code; ``default`` for unknown codes, for text that is no integer, and for NULL."""
     pairs = [F.lit(part) for pair in labels.items() for part in pair]
-    return F.coalesce(F.create_map(*pairs)[code.cast("int")], F.lit(default))
+    return F.coalesce(F.create_map(*pairs)[code.try_cast("int")], F.lit(default))
 
 
 def same_text(value: Column, text: str) -> Column:

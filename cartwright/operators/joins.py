@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,10 @@ from pyspark.sql import types as T
 # Facts whose key columns reach this size are profiled for hot keys. Set per session by SKEW_CONF.
 SKEW_MIN_BYTES = 16 << 20
 SKEW_CONF = "spark.cartwright.skewMinBytes"
-# The profile tracks this many keys; a key holding 1/1000 of the rows cannot escape it.
-TRACKED_KEYS = 10_000
-MAX_HOT_KEYS = 1_000
+# What the sketch itself can return and track; keys over two average partitions are at most half the partitions.
+MOST_RETURNED, MOST_TRACKED = 100_000, 1_000_000
+
+log = logging.getLogger(__name__)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -53,19 +55,21 @@ def key_hash(types: Mapping[str, T.DataType]) -> Column:
     return F.xxhash64(*[F.col(k).cast(t) for k, t in types.items()])
 
 
-def hot_key_hashes(df: DataFrame, types: Mapping[str, T.DataType], partitions: int) -> list[int]:
-    """Hashes of the keys that hold more than two average partitions' worth of rows.
+def hot_key_hashes(df: DataFrame, types: Mapping[str, T.DataType], partitions: int) -> dict[int, int]:
+    """Hashes of the keys that hold more than two average partitions' worth of rows, with that many partitions each.
 
-    One pass over the key columns alone with a mergeable sketch: no shuffle of keys, and at most
-    MAX_HOT_KEYS numbers reach the driver. NULL hashes like any other key, so NULL-heavy keys show up
-    too. The list steers work only; results are the same whatever it holds.
+    One pass over the key columns alone with a mergeable sketch: no shuffle of keys, and at most a pair of numbers
+    per two partitions reaches the driver. The sketch tracks ten times as many keys as can be that hot. NULL hashes
+    like any other key, so NULL-heavy keys show up too. The list steers work only; results are the same whatever it
+    holds.
     """
+    returned = min(MOST_RETURNED, max(1, partitions // 2))
+    tracked = min(MOST_TRACKED, max(1_000, 10 * returned))
     top = df.select(key_hash(types).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {TRACKED_KEYS})").alias("top"), F.count("*").alias("total")
+        F.expr(f"approx_top_k(h, {returned}, {tracked})").alias("top"), F.count("*").alias("total")
     )
-    share = max(2.0 / partitions, 1.0 / MAX_HOT_KEYS)
-    hot = top.select("total", F.inline("top")).where(F.col("count") > F.col("total") * F.lit(share))
-    return [row["item"] for row in hot.select("item").collect()]
+    hot = top.select("total", F.inline("top")).where(F.col("count") * partitions > F.col("total") * 2)
+    return {r["item"]: min(partitions, -(-r["count"] * partitions // r["total"])) for r in hot.collect()}
 
 
 def lookup_join(
@@ -82,12 +86,14 @@ def lookup_join(
     Spark picks its form and adaptive execution may still change it. Otherwise the fact's keys are profiled
     (``profile``: a cheaper frame with the same key distribution, usually the base table; give one wherever
     the fact is itself a join, or the join runs twice). Rows of hot keys are spread over sub-keys by a hash of their own columns and only those keys' rows of ``dim`` are
-    repeated, so each hot key becomes many join tasks. The hash is a function of the row alone: a retried
+    repeated, so each hot key becomes as many join tasks as its share asks for. Profiling runs one job while the plan is built. The hash is a function of the row alone: a retried
     task sends each row to the same place. ``how``: inner, left, left_semi or left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
     spark = fact.sparkSession
     profile = fact if profile is None else profile
+    if not hasattr(fact, "_jdf"):  # a remote session shows no size estimates; adaptive execution splits what it can
+        return fact.join(dim, keys, how)
     if estimated_bytes(profile) < int(spark.conf.get(SKEW_CONF, str(SKEW_MIN_BYTES))):
         return fact.join(dim, keys, how)
     if estimated_bytes(dim) <= broadcast_limit(dim):
@@ -97,9 +103,10 @@ def lookup_join(
         return fact.join(dim, keys, how)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_key_hashes(profile, types, partitions)
+    log.info("join on %s: %d hot keys, %d sub-keys", keys, len(hot), sum(hot.values()))
     if not hot:
         return fact.join(dim, keys, how)
-    return salted_join(fact, dim, types, how, hot, partitions, spread_by)
+    return salted_join(fact, dim, types, how, hot, spread_by)
 
 
 def salted_join(
@@ -107,14 +114,21 @@ def salted_join(
     dim: DataFrame,
     types: Mapping[str, T.DataType],
     how: str,
-    hot: Sequence[int],
-    salts: int,
+    hot: Mapping[int, int],
     spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Equi join in which the keys hashing into ``hot`` are split over ``salts`` sub-keys."""
-    is_hot = key_hash(types).isin(list(hot))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or fact.columns)]), F.lit(salts)).cast("int")
-    left = fact.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = dim.withColumn("_salt", F.explode(copies))
+    """Equi join in which every key hashing to one in ``hot`` is split over as many sub-keys as that says.
+
+    Numbers of sub-keys are rounded up to powers of two, so a handful of lists covers any number of hot keys, and only
+    their rows of ``dim`` are repeated, each as often as its key needs.
+    """
+    by_salts: dict[int, list[int]] = {}
+    for item, salts in hot.items():
+        by_salts.setdefault(1 << (max(2, salts) - 1).bit_length(), []).append(item)
+    count = F.lit(1)
+    for salts, items in by_salts.items():
+        count = F.when(key_hash(types).isin(items), F.lit(salts)).otherwise(count)
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or fact.columns)])
+    left = fact.withColumn("_salt", F.pmod(spread, count).cast("int"))
+    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), count - 1)))
     return left.join(right, [*types, "_salt"], how).drop("_salt")

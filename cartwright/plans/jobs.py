@@ -50,8 +50,8 @@ CATALOG_SOURCES = {
 PREFIXED = {"balances", "return_items", "return_heads", "return_codes"}
 
 
-def source_names(sources: Mapping[str, str], prefix: str = "") -> dict[str, str]:
-    """Source table names by logical name, with the platform's prefix where the source has it."""
+def source_names(sources: Mapping[str, str], prefix: str) -> dict[str, str]:
+    """Source table names by logical name, with the platform's prefix where the source has it (empty: none)."""
     return {k: f"{prefix}_{v}" if prefix and k in PREFIXED else v for k, v in sources.items()}
 
 
@@ -74,8 +74,10 @@ class Mart:
 
 def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
               left_out: sales.Subtrees = sales.Subtrees(), subsidy_start: str = V.SUBSIDY_SINCE) -> dict[str, DataFrame]:
-    """Build and publish the ten sales tables. The wide table and the refund flags read the published pieces,
-    so nothing is computed twice. A failure stops the job and leaves the tables after it as they were."""
+    """Build and publish the ten sales tables. The wide table and the refund flags read the published
+    paths, shipments, margins, subsidies and returns; totals, fees and flags are small per-order sides that the wide
+    table computes again. ``bad_list_elements`` counts, per item, list elements that are no ids. A failure stops the
+    job and leaves the tables after it as they were."""
     plan = sales.pieces(t, left_out, subsidy_start)
     done = {
         "product_categories": mart.put("product_categories", plan.paths, "product_id"),
@@ -83,6 +85,7 @@ def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
         "sales_order_item_cost": mart.put("sales_order_item_cost", plan.margins, "item_id"),
         "shipping_fee": mart.put("shipping_fee", plan.subsidies, "item_id"),
         "rma": mart.put("rma", plan.returns, "order_item_id"),
+        "bad_list_elements": mart.put("bad_list_elements", sales.bad_list_elements(t["items"])),
     }
     shipments = done["shipments_agg"]
     done["sales_refunded"] = mart.put(

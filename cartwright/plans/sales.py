@@ -17,7 +17,7 @@ from cartwright.functions.columns import decode, percent_of, same_text, shift_ho
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.eav import attribute_lookup, eav_pivot, option_texts
 from cartwright.operators.joins import lookup_join
-from cartwright.operators.lists import explode_ids
+from cartwright.operators.lists import explode_ids, list_elements
 from cartwright.operators.siblings import with_first_differing
 from cartwright.operators.tree import category_paths, excluded_subtrees
 
@@ -151,15 +151,15 @@ def shipping_subsidy(items: DataFrame, rules: DataFrame, coupons: DataFrame | No
              "paid_shipping_amount")
     applied = explode_ids(due, "applied_rule_ids", "rule_id").drop("applied_rule_ids")
     free_rules = rules.where(F.col("discount_amount") == 0).select(
-        F.col("rule_id").cast("int").alias("rule_id"), F.col("name").alias("rule_name"), "rule_cart_type",
+        F.col("rule_id").cast("bigint").alias("rule_id"), F.col("name").alias("rule_name"), "rule_cart_type",
         "discount_amount",
     )
     if per_coupon:
-        counts = coupons.groupBy("rule_id").agg(F.count("*").cast("int").alias("_coupons"))
+        counts = coupons.groupBy("rule_id").agg(F.count("*").alias("_coupons"))
         free_rules = free_rules.join(counts, "rule_id", "left")
     out = lookup_join(applied, free_rules, "rule_id", "inner")
     if per_coupon:
-        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.coalesce("_coupons", F.lit(1)))))
+        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_coupons", F.lit(1)))))
     fee = F.col("original_shipping_amount")
 
     def under(cart_type: str) -> Column:
@@ -180,6 +180,12 @@ def shipping_subsidy(items: DataFrame, rules: DataFrame, coupons: DataFrame | No
     )
 
 
+def bad_list_elements(items: DataFrame) -> DataFrame:
+    """(item_id, bad_ids): how many elements of an item's rule list are no ids, where there are any."""
+    elements = list_elements(items.select("item_id", "applied_rule_ids"), "applied_rule_ids", "rule_id")
+    return elements.where(F.col("rule_id").isNull()).groupBy("item_id").agg(F.count("*").alias("bad_ids"))
+
+
 def subsidy_per_item(subsidies: DataFrame) -> DataFrame:
     """Greatest amount of each kind per item: one row even where a commercial and a marketing rule both apply."""
     return subsidies.groupBy("item_id").agg(

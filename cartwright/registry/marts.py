@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -255,7 +256,7 @@ def refund_flag(spark, sf_dir):
 _SUBSIDY = f"""
 rule_hit AS (
   SELECT i.item_id, i.order_id, i.created_at, i.original_shipping_amount, i.paid_shipping_amount,
-         TRY_CAST(TRIM(u.e) AS INTEGER) AS rule_id
+         TRY_CAST(TRIM(u.e) AS BIGINT) AS rule_id
   FROM s_items i, UNNEST(string_split(i.applied_rule_ids, ',')) AS u(e)
   WHERE i.parent_item_id IS NULL AND i.created_at >= TIMESTAMP '{A.SUBSIDY_START}'
         AND COALESCE(i.paid_shipping_amount, 0) = 0
@@ -605,7 +606,24 @@ def commission_round(spark, sf_dir):
     )
 
 
-@query()
+def _report_text() -> str:
+    """The report's columns as the text a CSV reader finds: flags 1 and 0, decimals at their scale, empty text as NULL."""
+    columns = []
+    for plain, kind in re.findall(r"`?([^`,()]+?)`? ([A-Z_]+(?:\(\d+(?:,\d+)?\))?)(?:, |$)", V.PRODUCT_REPORT_DDL):
+        name = f'"{plain}"'
+        if kind == "BOOLEAN":
+            text = f"CAST(CAST({name} AS INTEGER) AS VARCHAR)"
+        elif kind == "TIMESTAMP_NTZ":
+            text = f"strftime({name}, '%Y-%m-%d %H:%M:%S')"
+        elif kind.startswith("DECIMAL"):
+            text = f"CAST(CAST({name} AS {kind}) AS VARCHAR)"
+        else:
+            text = f"NULLIF(CAST({name} AS VARCHAR), '')"
+        columns.append(f"{text} AS {name}")
+    return f"SELECT {', '.join(columns)} FROM ({CHECKS['product_report']})"
+
+
+@query(_report_text())
 def csv_export(spark, sf_dir):
     """The product report published, written as CSV from the table, and read back."""
     path = shared_folder(spark, "report")
@@ -615,7 +633,7 @@ def csv_export(spark, sf_dir):
     return spark.read.options(header=True, escape='"', multiLine=True).schema(schema).csv(path)
 
 
-@query()
+@query(CHECKS["sales_rollup_by_class"])
 def publish_table(spark, sf_dir):
     """The class rollup published as a table and read back."""
     frame = rollup.sales_rollup(

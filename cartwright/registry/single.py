@@ -12,7 +12,7 @@ from cartwright.operators.joins import lookup_join
 from cartwright.operators.lists import explode_ids, list_elements
 from cartwright.operators.siblings import with_first_differing
 from cartwright.registry import adapters as A
-from cartwright.registry.marts import query, wide
+from cartwright.registry.marts import query
 from cartwright.sources.tables import conform, ordered
 
 LINE = A.LINE_ID
@@ -190,15 +190,15 @@ def op_ancestors(spark, sf_dir):
 
 
 @query(A.with_shop(["s_items"], """
-SELECT item_id, TRY_CAST(TRIM(u.e) AS INTEGER) AS rule_id
-FROM s_items, UNNEST(string_split(applied_rule_ids, ',')) AS u(e) WHERE TRY_CAST(TRIM(u.e) AS INTEGER) IS NOT NULL"""))
+SELECT item_id, TRY_CAST(TRIM(u.e) AS BIGINT) AS rule_id
+FROM s_items, UNNEST(string_split(applied_rule_ids, ',')) AS u(e) WHERE TRY_CAST(TRIM(u.e) AS BIGINT) IS NOT NULL"""))
 def op_list_explode(spark, sf_dir):
     items = A.shop(spark, sf_dir, "s_items").select("item_id", "applied_rule_ids")
     return explode_ids(items, "applied_rule_ids", "rule_id").drop("applied_rule_ids")
 
 
 @query(A.with_shop(["s_items"], """
-SELECT sku, COUNT(*) FILTER (TRY_CAST(TRIM(u.e) AS INTEGER) IS NULL) AS bad_ids
+SELECT sku, COUNT(*) FILTER (TRY_CAST(TRIM(u.e) AS BIGINT) IS NULL) AS bad_ids
 FROM s_items, UNNEST(string_split(applied_rule_ids, ',')) AS u(e) WHERE TRIM(applied_rule_ids) <> ''
 GROUP BY sku"""))
 def bad_list_elements(spark, sf_dir):
@@ -302,13 +302,9 @@ def op_top1_latest(spark, sf_dir):
     return latest_per_key(A.read(spark, sf_dir, "lineitem"), ["l_orderkey"], [F.col("l_shipdate").desc()], ties)
 
 
-_FLAT = f"SELECT {LINE} AS item_id, 'Part ' || l_partkey AS product_name FROM lineitem JOIN orders " \
-        "ON o_orderkey = l_orderkey WHERE l_linenumber <> 6 ORDER BY item_id"
-
-
-@query(_FLAT)
+@query("SELECT p_partkey, p_name FROM part ORDER BY p_name, p_partkey")
 def op_order_output(spark, sf_dir):
-    return ordered(wide(spark, sf_dir).select("item_id", "product_name"), ["item_id"])
+    return ordered(A.read(spark, sf_dir, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"])
 
 
 # ---- set operations ----------------------------------------------------------------------------

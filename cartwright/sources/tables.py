@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -57,51 +59,74 @@ def read_tables(spark: SparkSession, root: str, tables: str | Iterable[str], fmt
 
 
 def snapshot(frames: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Land each frame below ``root`` and return the landed frames.
+    """Land each frame in a new folder below ``root`` and return the landed frames.
 
-    Parallel database reads share no transaction: for one consistent state, read a quiet replica.
+    A run that fails leaves earlier landings as they were. Parallel database reads share no transaction: for one
+    consistent state, read a quiet replica.
     """
+    version = f"{root}/{uuid.uuid4().hex[:8]}"
     for name, frame in frames.items():
-        frame.write.mode("overwrite").format(fmt).save(f"{root}/{name}")
+        frame.write.format(fmt).save(f"{version}/{name}")
     spark = next(iter(frames.values())).sparkSession
-    return read_tables(spark, root, frames, fmt)
+    return read_tables(spark, version, frames, fmt)
 
 
 def copy_tables(spark: SparkSession, url: str, tables: str | Iterable[str], root: str,
-                splits: Mapping[str, Split] | None = None,
+                splits: Mapping[str, Split] | None = None, small: Iterable[str] = (),
                 properties: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-    """Copy chosen database tables to ``root`` and return the landed frames. Large tables need a split."""
+    """Copy chosen database tables to ``root`` and return the landed frames. A table is read by its split; one that
+    a single task can hold may be named in ``small`` instead."""
+    small = set(small)
     names = table_names(tables) if isinstance(tables, str) else list(tables)
+    whole = [n for n in names if n not in (splits or {}) and n not in small]
+    if whole:
+        raise ValueError(f"give a split, or list as small, for: {', '.join(whole)}")
     frames = {n: jdbc_reader(spark, url, n, (splits or {}).get(n), properties).load() for n in names}
     return snapshot(frames, root)
 
 
+def versions(spark: SparkSession, table: str) -> list[str]:
+    """The written versions of a published table, oldest first."""
+    database, _, name = table.rpartition(".")
+    marked = re.compile(re.escape(name) + r"__v[0-9]{17}_[0-9a-f]{8}", re.IGNORECASE)
+    listed = spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES").collect()
+    prefix = f"{database}." if database else ""
+    return sorted(prefix + r["tableName"] for r in listed if not r["isTemporary"] and marked.fullmatch(r["tableName"]))
+
+
 def publish(df: DataFrame, table: str, fmt: str = "parquet", root: str | None = None,
-            buckets: tuple[int, str] | None = None) -> DataFrame:
-    """Replace a table with this frame. The new rows are written in full under another name first, so a
-    failed job leaves the old table in place and the query may read the table it replaces.
+            buckets: tuple[int, str] | None = None, keep: int = 2) -> DataFrame:
+    """Replace a table with this frame. The rows are written in full as a version of their own; the published name is
+    a view, and one catalogue statement moves it to the new version. A job that stops anywhere leaves the name on the
+    old rows, and the query may read the table it replaces.
 
-    With ``root`` each version gets a folder of its own below it, and the name moves to the new one; earlier
-    folders stay for whoever owns the root to remove. Without it the catalogue manages the files.
+    The last ``keep`` versions stay, so that readers of the one before can end; older ones and those of failed runs
+    are dropped. With ``root`` each version gets a folder below it, which stays for whoever owns the root to remove;
+    without it the catalogue manages the files.
 
     ``buckets`` (number, column) lays the rows out by a join key and sorts them by it: tables bucketed alike
     join on that key without a shuffle. Worth it for tables joined many times; not for a key with hot values.
     """
     spark = df.sparkSession
-    version = uuid.uuid4().hex[:8]
-    fresh = f"{table}__new_{version}"
+    made = datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")[:17]
+    fresh = f"{table}__v{made}_{uuid.uuid4().hex[:8]}"
     writer = df.write.format(fmt)
     if buckets:
         count, column = buckets
         writer = df.repartition(count, column).write.format(fmt).bucketBy(count, column).sortBy(column)
     if root:
-        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{version}")
+        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{fresh.rpartition('__')[2]}")
     writer.saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    _point(spark, table, fresh)
+    for old in versions(spark, table)[:-keep]:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(table)
 
 
+def _point(spark: SparkSession, table: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
+
+
 def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     """The declared columns, in order and type. A text over its declared length stops the job."""
     if isinstance(schema, str):

@@ -19,9 +19,9 @@ def hot_counts(monkeypatch):
     seen = []
     real = joins.salted_join
 
-    def spy(fact, dim, types, how, hot, salts, spread_by=None):
+    def spy(fact, dim, types, how, hot, spread_by=None):
         seen.append(len(hot))
-        return real(fact, dim, types, how, hot, salts, spread_by)
+        return real(fact, dim, types, how, hot, spread_by)
 
     monkeypatch.setattr(joins, "salted_join", spy)
     return seen
@@ -71,8 +71,31 @@ def test_profile_finds_only_hot_keys(spark):
     types = {"k": T.LongType()}
     hot = joins.hot_key_hashes(df, types, 100)
     want = spark.sql("SELECT xxhash64(1L), xxhash64(CAST(NULL AS BIGINT))").first()
-    assert sorted(hot) == sorted(want)
-    assert joins.hot_key_hashes(spark.range(10_000).withColumnRenamed("id", "k"), types, 100) == []
+    assert sorted(hot) == sorted(want) and set(hot.values()) == {34}
+    assert joins.hot_key_hashes(spark.range(10_000).withColumnRenamed("id", "k"), types, 100) == {}
+
+
+def test_profile_has_no_fixed_floor(spark):
+    """A key of 18 average partitions at 20,000 partitions is 0.09 % of the rows."""
+    df = spark.range(0, 1_000_000, 1, 4).select(F.when(F.col("id") < 900, -1).otherwise(F.col("id")).alias("k"))
+    assert list(joins.hot_key_hashes(df, {"k": T.LongType()}, 20_000).values())[0] in (18, 19)  # the sketch may count a little over
+
+
+def test_copies_follow_each_keys_share(spark, frame):
+    types = {"k": T.LongType()}
+    fact = spark.range(1000).select("id", F.when(F.col("id") % 2 == 0, 1).when(F.col("id") % 10 == 1, 2).otherwise(F.col("id")).alias("k"))
+    dim = spark.range(1000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    one, two = spark.sql("SELECT xxhash64(1L), xxhash64(2L)").first()
+    seen = []
+    kind = type(fact)
+    real = kind.join
+    kind.join = lambda self, other, *a, **b: (seen.append(other.groupBy("k").count().where("count > 1").collect()), real(self, other, *a, **b))[1]
+    try:
+        out = joins.salted_join(fact, dim, types, "inner", {one: 50, two: 10})
+    finally:
+        kind.join = real
+    assert sorted((r["k"], r["count"]) for r in seen[0]) == [(1, 64), (2, 16)]
+    assert rows(out, "id", "k") == rows(fact.where("k < 1000"), "id", "k")
 
 
 def test_spread_rows_reach_many_tasks(spark, conf):
@@ -80,7 +103,7 @@ def test_spread_rows_reach_many_tasks(spark, conf):
     fact = spark.range(0, 10_000, 1, 4).select("id", F.lit(1).alias("k"))
     dim = spark.createDataFrame([(1, "a")], "k INT, v STRING")
     hash_of_one = spark.sql("SELECT xxhash64(1L)").first()[0]
-    out = joins.salted_join(fact, dim.hint("merge"), {"k": T.LongType()}, "inner", [hash_of_one], 16)
+    out = joins.salted_join(fact, dim.hint("merge"), {"k": T.LongType()}, "inner", {hash_of_one: 16})
     assert out.count() == 10_000
     used = out.select(F.spark_partition_id().alias("p")).distinct().count()
     assert used > 4

@@ -252,7 +252,8 @@ def test_sales_job_publishes_its_ten_tables(spark, frame, tmp_path, buckets):
     assert set(t) == set(jobs.SALES_SOURCES)
     mart = jobs.Mart(spark, "sales_mart", str(tmp_path), buckets)
     done = jobs.run_sales(t, mart, "House", LEFT_OUT)
-    assert len(done) == 10
+    assert len(done) == 11
+    assert done["bad_list_elements"].columns == ["item_id", "bad_ids"]
     assert rows(spark.table("sales_mart.orders_items_denorm")) == rows(wide(t))
     assert rows(done["sales_refunded"]) == [(1, "True"), (2, "False"), (3, "False"), (5, "False"), (6, "False")]
     assert done["customer_balance"].count() == 1 and done["order_total"].count() == 3
@@ -260,4 +261,34 @@ def test_sales_job_publishes_its_ten_tables(spark, frame, tmp_path, buckets):
 
 def test_source_names():
     assert jobs.source_names(jobs.SALES_SOURCES, "x")["return_heads"] == "x_rma"
-    assert jobs.source_names(jobs.SALES_SOURCES)["orders"] == "sales_order"
+    assert jobs.source_names(jobs.SALES_SOURCES, "")["orders"] == "sales_order"
+
+
+def test_ids_beyond_32_bits_keep_their_subsidy(frame):
+    items = frame("item_id BIGINT, order_id BIGINT, parent_item_id BIGINT, created_at TIMESTAMP_NTZ, applied_rule_ids STRING, "
+                  "original_shipping_amount DECIMAL(20,4), paid_shipping_amount DECIMAL(20,4)",
+                  [(1, 1, None, "2030-01-01 00:00:00", "3000000000,5,x", "9.0000", None)])
+    rules = frame("rule_id BIGINT, name STRING, rule_cart_type STRING, discount_amount DECIMAL(20,4)",
+                  [(3000000000, "big", "Commercial", "0.0000"), (5, "small", "Commercial", "0.0000")])
+    assert rows(sales.shipping_subsidy(items, rules), "applied_rule_id") == [(3000000000,), (5,)]
+    assert rows(sales.bad_list_elements(items)) == [(1, 1)]
+
+
+def test_codes_that_are_no_numbers_take_the_default(frame):
+    from pyspark.sql import functions as F
+
+    from cartwright.functions.columns import decode
+
+    codes = frame("c STRING", [("1",), ("x",), ("01",), (None,), ("7",), ("",)])
+    got = [r[0] for r in codes.select(decode(F.col("c"), {1: "one"}, "pending")).collect()]
+    assert got == ["one", "pending", "one", "pending", "pending", "pending"]
+
+
+def test_sellers_are_one_whatever_their_case(frame):
+    from cartwright.plans.rollup import sales_rollup
+
+    wide = frame("transaction_date TIMESTAMP_NTZ, main_category STRING, sub_category STRING, seller_name STRING, order_number STRING, "
+                 "quantity INT, total_price INT, item_discount INT, retail_margin INT, marketplace_commission_amount INT",
+                 [("2030-01-01 00:00:00", "m", "s", name, "o1", 1, 2, 0, 1, 1) for name in ("House", "HOUSE", "Other", "other")])
+    got = rows(sales_rollup(wide, "house", "House store"), "seller_class", "seller_name", "items_cnt", "orders_cnt")
+    assert got == [("House store", "HOUSE", 2, 1), ("MarketPlace", "Other", 2, 1)]

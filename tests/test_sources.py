@@ -32,7 +32,8 @@ def test_snapshot_lands_chosen_tables(frame, tmp_path):
     a, b = frame("x INT", [(1,), (2,)]), frame("y STRING", [("q",)])
     landed = IO.snapshot({"a": a, "b": b}, str(tmp_path))
     assert rows(landed["a"]) == [(1,), (2,)] and rows(landed["b"]) == [("q",)]
-    assert list(IO.read_tables(a.sparkSession, str(tmp_path), "b , a")) == ["b", "a"]
+    (version,) = tmp_path.iterdir()
+    assert list(IO.read_tables(a.sparkSession, str(version), "b , a")) == ["b", "a"]
 
 
 def test_copy_reads_each_chosen_table_with_its_split(spark, frame, tmp_path, monkeypatch):
@@ -45,7 +46,7 @@ def test_copy_reads_each_chosen_table_with_its_split(spark, frame, tmp_path, mon
 
     monkeypatch.setattr(IO, "jdbc_reader", reader)
     split = IO.Split("id", "1", "9", 4)
-    landed = IO.copy_tables(spark, "jdbc:x", "a, b", str(tmp_path), {"b": split}, {"user": "u"})
+    landed = IO.copy_tables(spark, "jdbc:x", "a, b", str(tmp_path), {"b": split}, ["a"], {"user": "u"})
     assert asked == [("jdbc:x", "a", None, {"user": "u"}), ("jdbc:x", "b", split, {"user": "u"})]
     assert sorted(landed) == ["a", "b"] and landed["a"].count() == 1
 
@@ -79,6 +80,40 @@ def test_failed_publish_keeps_the_old_table(spark, frame, tmp_path):
     assert rows(spark.table("pub_kept")) == [("x",)]
 
 
+def test_stopping_before_the_name_moves_keeps_the_old_rows(spark, frame, monkeypatch):
+    IO.publish(frame("a INT", [(1,)]), "pub_stopped")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(IO, "_point", stop)
+        with pytest.raises(RuntimeError):
+            IO.publish(frame("a INT", [(2,)]), "pub_stopped")
+    assert rows(spark.table("pub_stopped")) == [(1,)]
+    for n in (3, 4, 5):
+        assert rows(IO.publish(frame("a INT, b INT", [(n, n)]), "pub_stopped")) == [(n, n)]
+    assert len(IO.versions(spark, "pub_stopped")) == 2
+
+
+def test_published_in_a_database(spark, frame):
+    spark.sql("CREATE DATABASE IF NOT EXISTS pub_db")
+    for n in (1, 2, 3):
+        IO.publish(frame("a INT", [(n,)]), "pub_db.kept")
+    assert rows(spark.table("pub_db.kept")) == [(3,)] and len(IO.versions(spark, "pub_db.kept")) == 2
+
+
+def test_snapshot_leaves_earlier_landings(frame, tmp_path):
+    first = IO.snapshot({"t": frame("a INT", [(1,)])}, str(tmp_path))
+    assert rows(IO.snapshot({"t": frame("a INT", [(2,)])}, str(tmp_path))["t"]) == [(2,)]
+    assert rows(first["t"]) == [(1,)]
+
+
+def test_large_tables_need_a_split(spark, tmp_path):
+    with pytest.raises(ValueError, match="orders"):
+        IO.copy_tables(spark, "jdbc:x", "orders,stores", str(tmp_path), small=["stores"])
+
+
 def test_conform(frame):
     df = frame("n BIGINT, t STRING, d DECIMAL(20,6), f INT, extra INT",
                [(1, "abc", "1.235500", 1, 9), (2, None, "-1.235000", 0, 9), (3, "", None, None, 9)])
@@ -154,8 +189,8 @@ def test_shared_folder():
 
 
 def test_id_lists(frame):
-    texts = ["1,,2", " 3 , x", "", None, "9999999999", "7"]
+    texts = ["1,,2", " 3 , x", "", None, "99999999999999999999", "7", "9999999999"]
     df = frame("n INT, t STRING", list(enumerate(texts)))
-    assert rows(explode_ids(df, "t", "id"), "n", "id") == [(0, 1), (0, 2), (1, 3), (5, 7)]
+    assert rows(explode_ids(df, "t", "id"), "n", "id") == [(0, 1), (0, 2), (1, 3), (5, 7), (6, 9999999999)]
     bad = list_elements(df, "t", "id").where("id IS NULL")
     assert rows(bad, "n") == [(0,), (1,), (4,)]
