@@ -13,6 +13,7 @@ from cartwright.functions.columns import text_or_empty
 from cartwright.operators.dedupe import latest_per_key
 from cartwright.operators.eav import eav_pivot, eav_pivot_options, special_prices, stock_by_location
 from cartwright.operators.joins import lookup_join
+from cartwright.plans.settings import Settings
 from cartwright.sources.tables import conform
 
 
@@ -41,12 +42,6 @@ class Prefixes:
     store: str
 
 
-DECODED = {
-    code: (name, V.PRODUCT_STATUS if name == "status" else V.PRODUCT_VISIBILITY, V.UNKNOWN_LABEL)
-    for code, name in V.DECODED_ATTRIBUTES.items()
-}
-
-
 @dataclass(frozen=True)
 class Pieces:
     """The tables the product report is made of, built here or read back after they were published."""
@@ -61,15 +56,15 @@ class Pieces:
     urls: DataFrame
 
 
-def pieces(t: Mapping[str, DataFrame]) -> Pieces:
+def pieces(t: Mapping[str, DataFrame], settings: Settings = Settings()) -> Pieces:
     return Pieces(
         base=product_base(t["products"]),
-        texts=eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES),
-        decimals=eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES),
-        options=eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, DECODED),
-        prices=special_prices(t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES),
+        texts=eav_pivot(t["product_texts"], settings.texts),
+        decimals=eav_pivot(t["product_decimals"], settings.decimals),
+        options=eav_pivot_options(t["product_codes"], t["options"], settings.options, settings.decoded),
+        prices=special_prices(t["product_decimals"], t["product_datetimes"], settings.special_prices),
         sets=t["attribute_sets"].select("attribute_set_id", "attribute_set_name"),
-        stock=stock_by_location({k: t[f"stock_{k}"] for k in V.STOCK_COLUMNS}, V.STOCK_COLUMNS),
+        stock=stock_by_location({k: t[f"stock_{k}"] for k in settings.stock}, settings.stock),
         urls=product_urls(t["url_rewrites"]),
     )
 

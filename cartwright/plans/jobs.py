@@ -6,8 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.functions import fixed_values as V
 from cartwright.plans import catalog, sales
+from cartwright.plans.settings import Settings
 from cartwright.sources.tables import publish
 
 # Logical name -> source table. Names in PREFIXED carry the shop platform's own prefix in the source.
@@ -73,12 +73,12 @@ class Mart:
 
 
 def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
-              left_out: sales.Subtrees = sales.Subtrees(), subsidy_start: str = V.SUBSIDY_SINCE) -> dict[str, DataFrame]:
+              left_out: sales.Subtrees = sales.Subtrees(), settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Build and publish the ten sales tables. The wide table and the refund flags read the published
     paths, shipments, margins, subsidies and returns; totals, fees and flags are small per-order sides that the wide
     table computes again. ``bad_list_elements`` counts, per item, list elements that are no ids. A failure stops the
     job and leaves the tables after it as they were."""
-    plan = sales.pieces(t, left_out, subsidy_start)
+    plan = sales.pieces(t, left_out, settings)
     done = {
         "product_categories": mart.put("product_categories", plan.paths, "product_id"),
         "shipments_agg": mart.put("shipments_agg", plan.shipments, "order_item_id"),
@@ -91,7 +91,7 @@ def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
     done["sales_refunded"] = mart.put(
         "sales_refunded", sales.refund_flag(t["items"], shipments, t["payments"]), "order_item_id"
     )
-    done["orders_adminfees"] = mart.put("orders_adminfees", sales.payment_fee(t["orders"], t["payments"]), "entity_id")
+    done["orders_adminfees"] = mart.put("orders_adminfees", sales.payment_fee(t["orders"], t["payments"], settings), "entity_id")
     done["order_total"] = mart.put("order_total", sales.order_total(t["orders"], t["payments"]), "entity_id")
     done["customer_balance"] = mart.put("customer_balance", sales.customer_balance(t["balances"], t["customers"]))
     made = sales.Pieces(
@@ -101,13 +101,14 @@ def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
         subsidies=done["shipping_fee"],
         returns=done["rma"],
     )
-    done["orders_items_denorm"] = mart.put("orders_items_denorm", sales.orders_items_wide(t, made, house_seller))
+    done["orders_items_denorm"] = mart.put("orders_items_denorm", sales.orders_items_wide(t, made, house_seller, settings))
     return done
 
 
-def run_catalog(t: Mapping[str, DataFrame], mart: Mart, prefixes: catalog.Prefixes) -> dict[str, DataFrame]:
+def run_catalog(t: Mapping[str, DataFrame], mart: Mart, prefixes: catalog.Prefixes,
+                settings: Settings = Settings()) -> dict[str, DataFrame]:
     """Build and publish the nine catalogue tables; the report reads the eight published before it."""
-    plan = catalog.pieces(t)
+    plan = catalog.pieces(t, settings)
     names = {
         "base": ("vw_product_base", "entity_id"),
         "texts": ("vw_product_attributes_varchar", "row_id"),

@@ -20,6 +20,7 @@ from cartwright.operators.joins import lookup_join
 from cartwright.operators.lists import explode_ids, list_elements
 from cartwright.operators.siblings import with_first_differing
 from cartwright.operators.tree import category_paths, excluded_subtrees
+from cartwright.plans.settings import Settings
 
 
 # ---- sides reduced to one row per key -----------------------------------------------------------
@@ -197,10 +198,10 @@ def subsidy_per_item(subsidies: DataFrame) -> DataFrame:
 # ---- order money --------------------------------------------------------------------------------
 
 
-def fee_of(method: Column) -> Column:
+def fee_of(method: Column, settings: Settings = Settings()) -> Column:
     """The order's fee under its payment method. A NULL fee stays NULL; other methods cost nothing."""
-    fee = F.when(text_in(method, V.PAY_LATER_METHODS), F.coalesce("amount_to_collect", F.lit(0)))
-    for name, column in V.PAYMENT_FEE_COLUMN.items():
+    fee = F.when(text_in(method, list(settings.pay_later)), F.coalesce("amount_to_collect", F.lit(0)))
+    for name, column in settings.fee_columns.items():
         fee = fee.when(same_text(method, name), F.col(column))
     return fee.otherwise(F.lit(0)).cast("decimal(20,4)")
 
@@ -213,13 +214,13 @@ def total_of(method: Column) -> Column:
     return total.otherwise(F.lit(0)).cast("decimal(21,4)")
 
 
-def payment_fee(orders: DataFrame, payments: DataFrame) -> DataFrame:
+def payment_fee(orders: DataFrame, payments: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per payment of a known order, with the fee of its method."""
     needed = orders.select("entity_id", "created_at", "increment_id", "amount_to_collect",
-                           *V.PAYMENT_FEE_COLUMN.values())
+                           *dict.fromkeys(settings.fee_columns.values()))
     paid = payments.select(F.col("parent_id").alias("entity_id"), "method")
     return lookup_join(paid, needed, "entity_id", "inner").select(
-        "entity_id", "created_at", "increment_id", "method", fee_of(F.col("method")).alias("payment_fees")
+        "entity_id", "created_at", "increment_id", "method", fee_of(F.col("method"), settings).alias("payment_fees")
     )
 
 
@@ -302,7 +303,7 @@ class Subtrees:
     names: Sequence[str] = ()
 
 
-def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) -> DataFrame:
+def order_side(t: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
     """One row per order with everything the wide table takes from the order.
 
     The coupon comes first: the joins after it are all on the order id, one row per order on both sides, and
@@ -312,7 +313,7 @@ def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) ->
     coded = lookup_join(orders, coupon_types(t["coupons"], t["rules"]), "code_key", "left",
                         profile=orders.select("code_key"))
     payment = one_payment(t["payments"]).withColumn("_paid", F.lit(True))
-    trail = status_trail(t["status_history"]).withColumnRenamed("parent_id", "entity_id")
+    trail = status_trail(t["status_history"], settings.status_hours).withColumnRenamed("parent_id", "entity_id")
     joined = (
         coded.join(payment, "entity_id", "left")
         .join(one_address(t["addresses"]), "entity_id", "left")
@@ -322,14 +323,14 @@ def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) ->
     return joined.select(
         F.col("entity_id").alias("order_id"),
         F.col("increment_id").alias("order_number"),
-        shift_hours(F.col("created_at"), hours).alias("transaction_date"),
+        shift_hours(F.col("created_at"), settings.order_hours).alias("transaction_date"),
         F.col("customer_id").alias("user_id"),
         F.concat("customer_firstname", F.lit(" "), "customer_lastname").alias("customer_name"),
         F.col("customer_email").alias("user_email"),
         "order_status",
         "status_changed_at",
         F.col("status").alias("current_status"),
-        shift_hours(F.col("updated_at"), hours).alias("updated_at"),
+        shift_hours(F.col("updated_at"), settings.order_hours).alias("updated_at"),
         F.col("store_id").alias("site_language"),
         F.col("coupon_code").alias("promo_code"),
         "coupon_type",
@@ -338,7 +339,7 @@ def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) ->
         F.col("base_discount_amount").alias("discount_amount"),
         F.col("base_shipping_amount").alias("shipping_fee"),
         F.col("base_tax_amount").alias("tax_amount"),
-        F.when(F.col("_paid"), fee_of(method)).alias("order_fees"),
+        F.when(F.col("_paid"), fee_of(method, settings)).alias("order_fees"),
         "checkout_from",
         method.alias("payment_method"),
         "area",
@@ -346,9 +347,9 @@ def order_side(t: Mapping[str, DataFrame], hours: int = V.ORDER_SHIFT_HOURS) ->
     )
 
 
-def product_paths(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
+def product_paths(t: Mapping[str, DataFrame], left_out: Subtrees, settings: Settings = Settings()) -> DataFrame:
     """(product_id, category_path) with the name attribute looked up by its code."""
-    name_id = attribute_lookup(t["attributes"], "name", V.CATEGORY_ENTITY)
+    name_id = attribute_lookup(t["attributes"], "name", settings.category_entity)
     nodes, names = t["category_nodes"], t["category_names"]
     excluded = excluded_subtrees(
         nodes, names, name_id, left_out.prefixes, left_out.ids, left_out.parent_ids, left_out.names
@@ -356,10 +357,10 @@ def product_paths(t: Mapping[str, DataFrame], left_out: Subtrees) -> DataFrame:
     return category_paths(t["category_links"], nodes, names, name_id, excluded)
 
 
-def product_side(t: Mapping[str, DataFrame], paths: DataFrame) -> DataFrame:
+def product_side(t: Mapping[str, DataFrame], paths: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per product id: brand and colour text, and the category breadcrumbs."""
     coded = t["attributes"].where(
-        F.col("attribute_code").isin("brand", "color") & (F.col("entity_type_id") == V.PRODUCT_ENTITY)
+        F.col("attribute_code").isin("brand", "color") & (F.col("entity_type_id") == settings.product_entity)
     )
     wanted = coded.groupBy("attribute_code").agg(F.min("attribute_id").alias("attribute_id"))
     codes = t["product_codes"].where(F.col("store_id") == 0).select("row_id", "store_id", "attribute_id", "value")
@@ -385,19 +386,21 @@ class Pieces:
     returns: DataFrame
 
 
-def pieces(t: Mapping[str, DataFrame], left_out: Subtrees = Subtrees(), subsidy_start: str = V.SUBSIDY_SINCE) -> Pieces:
+def pieces(t: Mapping[str, DataFrame], left_out: Subtrees = Subtrees(), settings: Settings = Settings()) -> Pieces:
     lines = t["shipment_items"]
     return Pieces(
-        paths=product_paths(t, left_out),
-        shipments=latest_shipment(lines, t["shipments"], t["shipment_tracks"]),
+        paths=product_paths(t, left_out, settings),
+        shipments=latest_shipment(lines, t["shipments"], t["shipment_tracks"], settings.shipment_status,
+                                  settings.shipment_default),
         margins=item_margin(t["items"]),
-        subsidies=shipping_subsidy(t["items"], t["rules"], start=subsidy_start),
-        returns=returns(lines, t["return_items"], t["return_heads"], t["return_codes"], t["options"]),
+        subsidies=shipping_subsidy(t["items"], t["rules"], start=settings.subsidy_since),
+        returns=returns(lines, t["return_items"], t["return_heads"], t["return_codes"], t["options"],
+                        settings.return_reason),
     )
 
 
 def orders_items_wide(t: Mapping[str, DataFrame], made: Pieces, house_seller: str,
-                      hours: int = V.ORDER_SHIFT_HOURS) -> DataFrame:
+                      settings: Settings = Settings()) -> DataFrame:
     """One row per top-level order item with a known order: 58 columns, in the order of ``WIDE_COLUMNS``.
 
     Every one-to-many side is reduced to one row per key before it is joined, so no join multiplies rows and
@@ -422,8 +425,8 @@ def orders_items_wide(t: Mapping[str, DataFrame], made: Pieces, house_seller: st
         .join(back, keyed, "left")
     )
     facts = top.join(sides, keyed, "left").select(*_item_columns(house_seller))
-    products = product_side(t, made.paths)
-    with_order = lookup_join(facts, order_side(t, hours), "order_id", "inner", items.select("order_id"), [keyed])
+    products = product_side(t, made.paths, settings)
+    with_order = lookup_join(facts, order_side(t, settings), "order_id", "inner", items.select("order_id"), [keyed])
     wide = lookup_join(with_order, products, "product_id", "left", items.select("product_id"), [keyed])
     flag = refunded(F.col("quantity_refunded"), F.col("payment_method"), F.col("shipment_statuses"))
     return wide.withColumn("is_refunded", F.when(flag, "True").otherwise("False")).withColumnRenamed(

@@ -13,6 +13,7 @@ from cartwright.functions.columns import decode, percent_of, shift_hours, since
 from cartwright.operators import eav, tree
 from cartwright.operators.joins import lookup_join
 from cartwright.plans import catalog, rollup, sales
+from cartwright.plans.settings import Settings
 from cartwright.registry import adapters as A
 from cartwright.registry.portable import portable
 from cartwright.session import shared_folder
@@ -436,7 +437,7 @@ WHERE i.parent_item_id IS NULL"""
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = {name: A.shop(spark, sf_dir, source) for name, source in WIDE_TABLES.items()}
     left_out = sales.Subtrees(A.PREFIXES, A.NODE_IDS, A.PARENT_IDS, A.BAD_NAMES)
-    made = sales.pieces(tables, left_out, A.SUBSIDY_START)
+    made = sales.pieces(tables, left_out, Settings(subsidy_since=A.SUBSIDY_START))
     return sales.orders_items_wide(tables, made, A.HOUSE_SELLER)
 
 
@@ -495,7 +496,7 @@ coded_ AS (
 @query(A.with_shop(["s_product_codes", "s_options"], "SELECT * FROM coded_", _CODED))
 def eav_pivot_options(spark, sf_dir):
     codes, options = A.shop(spark, sf_dir, "s_product_codes"), A.shop(spark, sf_dir, "s_options")
-    return eav.eav_pivot_options(codes, options, V.OPTION_ATTRIBUTES, catalog.DECODED)
+    return eav.eav_pivot_options(codes, options, V.OPTION_ATTRIBUTES, Settings().decoded)
 
 
 _SPECIAL = """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import columns as C
 from cartwright.functions import fixed_values as V
-from cartwright.operators import tree
+from cartwright.operators import eav, tree
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.joins import lookup_join
 from cartwright.operators.lists import explode_ids, list_elements
@@ -101,8 +101,10 @@ def op_list_member(spark, sf_dir):
 @query("""SELECT s_suppkey, s_name, (SELECT MIN(n_nationkey) FROM nation WHERE n_regionkey = 2) AS first_asian
           FROM supplier""")
 def op_scalar_lookup(spark, sf_dir):
-    one = A.read(spark, sf_dir, "nation").where("n_regionkey = 2").agg(F.min("n_nationkey"))
-    return A.read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", one.scalar().alias("first_asian"))
+    nations = A.read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("attribute_id"), F.lit("nation").alias("attribute_code"), F.col("n_regionkey").alias("entity_type_id"))
+    first = eav.attribute_lookup(nations, "nation", 2)
+    return A.read(spark, sf_dir, "supplier").select("s_suppkey", "s_name", first.alias("first_asian"))
 
 
 # ---- joins -------------------------------------------------------------------------------------
@@ -260,9 +262,8 @@ def op_concat_groups(spark, sf_dir):
 @query("""SELECT user_id, MAX(value) FILTER (event_type = 'click') AS click, MAX(value) FILTER (event_type = 'view')
           AS "view", MAX(value) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY user_id""")
 def op_conditional_pivot(spark, sf_dir):
-    kind = F.col("event_type")
-    picks = [F.max(F.when(kind == k, F.col("value"))).alias(k) for k in ("click", "view", "purchase")]
-    return A.read(spark, sf_dir, "events").groupBy("user_id").agg(*picks)
+    events = A.read(spark, sf_dir, "events").withColumn("store_id", F.lit(0))
+    return eav.eav_pivot(events, {k: k for k in ("click", "view", "purchase")}, attribute="event_type", keys=("user_id",))
 
 
 @query("""SELECT l_returnflag, l_linestatus, COUNT(*) AS lines, COUNT(DISTINCT l_orderkey) AS orders_cnt,

@@ -3,10 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright.functions import fixed_values as V
 from cartwright.operators import eav
 from cartwright.plans import catalog, jobs
+from cartwright.plans.settings import Settings
 from tests import shop as S
 from tests.rows import as_map, rows
 
@@ -59,7 +61,7 @@ def test_pivot_keeps_rows_without_listed_attributes(frame):
 
 def test_pivot_options(frame):
     t = tables(frame)
-    out = eav.eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, catalog.DECODED)
+    out = eav.eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, Settings().decoded)
     assert as_map(out, "row_id", "status", "visibility", "brand", "warranty", "sold_by") == {
         12: ("Enabled", "Catalog, Search", "Brand A", None, None), 20: ("Unknown", None, None, None, None),
     }
@@ -115,3 +117,17 @@ def test_catalog_job_publishes_its_nine_tables(spark, frame, tmp_path):
     assert done["vw_product_urls"].count() == 4 and done["vw_product_base"].count() == 5
     direct = catalog.product_report(catalog.pieces(t), PREFIXES)
     assert done["vw_product"].dtypes == direct.dtypes and rows(done["vw_product"]) == rows(direct)
+
+
+def test_a_shop_with_other_ids(frame):
+    """Every attribute id and one location moved: the same report as the shop the defaults describe."""
+    moved = lambda t: t.withColumn("attribute_id", F.col("attribute_id") + 5000)
+    t = tables(frame)
+    other = {k: moved(v) if "attribute_id" in v.columns else v for k, v in t.items()}
+    other["stock_9"] = other.pop("stock_2")
+    up = lambda m: {k + 5000: v for k, v in m.items()}
+    base = Settings()
+    settings = Settings(texts=up(base.texts), decimals=up(base.decimals), options=up(base.options), decoded=up(base.decoded),
+                        special_prices={k: v + 5000 for k, v in base.special_prices.items()}, stock={9: base.stock[2], 6: base.stock[6]})
+    want = rows(catalog.product_report(catalog.pieces(t), PREFIXES))
+    assert rows(catalog.product_report(catalog.pieces(other, settings), PREFIXES)) == want

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwright.operators.siblings import with_first_differing
 from cartwright.plans import jobs, rollup, sales
+from cartwright.plans.settings import Settings
 from tests import shop as S
 from tests.rows import as_map, rows
 
@@ -123,6 +124,13 @@ def test_payment_fee(frame):
     }
 
 
+def test_payment_fee_of_other_methods(frame):
+    orders = frame(S.ORDERS, [S.order(i) for i in range(1, 4)])
+    payments = frame(S.PAYMENTS, [(1, "Till"), (2, "later"), (3, "cashondelivery")])
+    settings = Settings(fee_columns={"till": "nbeinstallmentfees"}, pay_later=["LATER"])
+    assert as_map(sales.payment_fee(orders, payments, settings), "entity_id", "payment_fees") == {1: "12", 2: "15", 3: "0"}
+
+
 def test_order_total(frame):
     orders = frame(S.ORDERS, [S.order(1), S.order(2), S.order(3), S.order(4), S.order(5, base_grand_total=None),
                               S.order(6, base_customer_balance_amount=None), S.order(7)])
