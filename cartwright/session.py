@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +28,14 @@ def local_session(cores: int | str = 8, memory: str = "16g", app: str = "cartwri
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    """A folder of this process, removed when it ends."""
+    path = tempfile.mkdtemp(prefix="cartwright-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the one the cluster names in ``spark.checkpoint.dir``.
 
@@ -34,5 +45,5 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="cartwright-")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
