@@ -9,7 +9,7 @@ result is each document's component, so copies and near copies never become pair
    c-subset overlap in c; of those, the smallest is linked with each one the size bound allows. A link between two other
    members implies that both link with the smallest, so this star keeps every component without naming pairs.
 3. Large sets scan inverted lists of their rarest shingles (the prefix within which similar sets must meet). First
-   passes pair each list's members with a few hubs only; verified links make components. A last pass takes the pairs of
+   passes pair each list's members with a few hubs only, where size, position and parity bounds leave it open; verified links make components. A last pass takes the pairs of
    a list that still lie in different components, so a group of near copies costs its size, not its square, and no link
    between components is lost.
 4. The boundary is the size at which enumerating subsets costs more than scanning lists, from counts of sets by size and
@@ -39,12 +39,15 @@ WIDTH = 5
 PERCENT = 80
 #: Sets beyond this size never enumerate subsets; their number, C(30, 24) and more, exceeds any list's cost.
 MOST_ENUMERATED = 30
+#: Bits of a set's parity map.
+PARITY_BITS = 512
 #: Hubs of a list in one pass.
 HUBS = 3
 
 _SET = pa.schema([("row_key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()),
-                  ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("skipped", pa.int32())])
-_SET_DDL = "row_key bigint, id bigint, n bigint, print binary, tokens array<bigint>, prefix array<bigint>, skipped int"
+                  ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("skipped", pa.int32()),
+                  ("parity", pa.list_(pa.int64()))])
+_SET_DDL = "row_key bigint, id bigint, n bigint, print binary, tokens array<bigint>, prefix array<bigint>, skipped int, parity array<bigint>"
 
 
 def needed(n, percent: int):
@@ -85,7 +88,7 @@ def _lists(arrays: list[np.ndarray | None]) -> pa.Array:
 
 def _candidates(group: pa.Table, repeated: census.Repeated, width: int, percent: int) -> pa.Table:
     """One row per document; those that may have a partner carry their set, and the part of its prefix that others share."""
-    n, prints, tokens, prefixes, skipped = [], [], [], [], []
+    n, prints, tokens, prefixes, skipped, parity = [], [], [], [], [], []
     for block in blocks(_lowered(group)):
         sets = _sets(block, width)
         classes = repeated.classes_of(np.concatenate(sets)) if sets else None
@@ -94,15 +97,17 @@ def _candidates(group: pa.Table, repeated: census.Repeated, width: int, percent:
             alone = size - int(np.count_nonzero(cls))
             n.append(size)
             if not size or size - alone < needed(size, percent):
-                prints.append(None), tokens.append(None), prefixes.append(None), skipped.append(None)
+                prints.append(None), tokens.append(None), prefixes.append(None), skipped.append(None), parity.append(None)
                 continue
             order = np.lexsort((mine, cls))
             prints.append(hashlib.blake2b(mine.tobytes(), digest_size=16).digest())
             tokens.append(mine)
             prefixes.append(mine[order[alone:size - needed(size, percent) + 1]])
             skipped.append(alone)
+            odd = np.bincount((mine & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+            parity.append(np.packbits(odd.astype(np.uint8)).view(np.uint64))
     return pa.table([group["row_key"], group["id"], pa.array(n, pa.int64()), pa.array(prints, pa.binary()), _lists(tokens),
-                     _lists(prefixes), pa.array(skipped, pa.int32())], schema=_SET)
+                     _lists(prefixes), pa.array(skipped, pa.int32()), _lists(parity)], schema=_SET)
 
 
 # ---- small sets -----------------------------------------------------------------------------------
@@ -158,10 +163,14 @@ def boundary_of(sets: DataFrame, lists: DataFrame, percent: int) -> int:
 
 
 def _may_be_similar(a: str, b: str, percent: int) -> Column:
-    """Size and position bounds for two postings of one shingle, taken as the first that both sets share."""
+    """Bounds for two postings of one shingle, by size, by position, taking it as the first that both sets share, and
+    by parity: bits that say whether a set has an odd number of shingles with that remainder differ in no more places
+    than the sets have shingles apart."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     left = F.least(na - F.col(f"{a}.place"), nb - F.col(f"{b}.place"))
-    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (left * (100 + percent) >= (na + nb) * percent))
+    apart = sum(F.bit_count(F.col(f"{a}.parity")[i].bitwiseXOR(F.col(f"{b}.parity")[i])) for i in range(PARITY_BITS // 64))
+    return ((F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (left * (100 + percent) >= (na + nb) * percent)
+            & (apart * (100 + percent) <= (na + nb) * (100 - percent)))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -176,8 +185,8 @@ def _hub_pairs(postings: DataFrame, boundary: int, percent: int, seeds: range) -
     """Each list's members with the list's hubs, one per seed, where they are in different components. A hub is the
     member with the least hash, so the lists of one family of copies mostly agree on theirs."""
     hubs = postings.groupBy("token").agg(F.array(*[
-        F.min(F.struct(F.xxhash64("rid", F.lit(seed)).alias("o"), "rid", "n", "place", "label")) for seed in seeds]).alias("hubs"))
-    met = (postings.join(hubs, "token").select("rid", "label", F.struct("n", "place").alias("m"), F.explode("hubs").alias("h"))
+        F.min(F.struct(F.xxhash64("rid", F.lit(seed)).alias("o"), "rid", "n", "place", "label", "parity")) for seed in seeds]).alias("hubs"))
+    met = (postings.join(hubs, "token").select("rid", "label", F.struct("n", "place", "parity").alias("m"), F.explode("hubs").alias("h"))
            .where((F.col("label") != F.col("h.label")) & (F.greatest("m.n", "h.n") > boundary) & _may_be_similar("m", "h", percent)))
     return met.select(F.least("rid", "h.rid").alias("a"), F.greatest("rid", "h.rid").alias("b")).distinct()
 
@@ -185,7 +194,7 @@ def _hub_pairs(postings: DataFrame, boundary: int, percent: int, seeds: range) -
 def _cross_pairs(postings: DataFrame, boundary: int, percent: int) -> DataFrame:
     """The pairs of each list that lie in different components."""
     side = lambda label, name: postings.select(
-        "token", F.col("label").alias(label), F.struct("rid", "n", "place").alias(name))
+        "token", F.col("label").alias(label), F.struct("rid", "n", "place", "parity").alias(name))
     return (side("la", "x").join(side("lb", "y"), "token")
             .where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent) & (F.greatest("x.n", "y.n") > boundary))
             .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct())
@@ -196,7 +205,7 @@ def _still_mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
     named = postings.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
         "label", F.coalesce("label", "rid"))
     spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return staged(named.join(spread.select("token"), "token", "left_semi").select("token", "rid", "n", "place", "label"), "mixed")
+    return staged(named.join(spread.select("token"), "token", "left_semi").select("token", "rid", "n", "place", "parity", "label"), "mixed")
 
 
 def _pairs_left(postings: DataFrame) -> tuple[int, int]:
@@ -237,8 +246,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", wi
         F.min("rid").alias("rid"), F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "rid")).alias("first")), "classes")
     sets = rows.where("print IS NOT NULL").join(classes.select("rid"), "rid", "left_semi")
 
-    lists_of = (sets.select("rid", "n", "skipped", F.posexplode("prefix").alias("at", "token"))
-                .select("token", "rid", "n", (F.col("skipped") + F.col("at")).alias("place")))
+    lists_of = (sets.select("rid", "n", "skipped", "parity", F.posexplode("prefix").alias("at", "token"))
+                .select("token", "rid", "n", (F.col("skipped") + F.col("at")).alias("place"), "parity"))
     shared = lists_of.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     postings = staged(lists_of.join(shared.select("token"), "token", "left_semi"), "lists")
     lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
