@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc
+from cartwright.llm import filter_audit, jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc
 from cartwright.llm.base import reachable, table
 from cartwright.session import shared_folder
 
@@ -176,3 +176,44 @@ def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_tree.judged(table(spark, sf_dir, "pages"))
+
+
+@query("""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+f AS (
+  SELECT part, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+    coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic,
+    (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+    + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS m
+  FROM w),
+cells AS (
+  SELECT part, m, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (toxic) AS x FROM f GROUP BY ALL),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS l(letter, bit)),
+orders AS (
+  SELECT letter AS o, 1 AS step, bit, bit AS done, [(1, bit, 0)] AS path FROM letters
+  UNION ALL
+  SELECT o || letter, step + 1, l.bit, done + l.bit, list_append(path, (step + 1, l.bit, done))
+  FROM orders JOIN letters l ON done & l.bit = 0),
+each AS (
+  SELECT o, p[1] AS step, p[2] AS bit, p[3] AS before FROM (SELECT o, unnest(path) AS p FROM orders WHERE step = 5)),
+found AS (
+  SELECT part, o AS filter_order, step, bit,
+    coalesce(sum(n) FILTER (m & (before + bit) = 0), 0) AS kept,
+    coalesce(sum(n) FILTER (m & before = 0 AND m & bit > 0), 0) AS removed,
+    coalesce(sum(n) FILTER (m & before > 0 AND m & bit > 0), 0) AS redundant,
+    coalesce(sum(n) FILTER (m = bit), 0) AS unique_fails,
+    coalesce(sum(g) FILTER (m & before = 0 AND m & bit > 0), 0) AS good_lost,
+    coalesce(sum(x) FILTER (m & before = 0 AND m & bit > 0), 0) AS toxic_lost
+  FROM cells CROSS JOIN each GROUP BY part, o, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM found
+""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
