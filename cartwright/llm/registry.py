@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import filter_audit, jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc
+from cartwright.llm import (
+    filter_audit, jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc, whitening,
+)
 from cartwright.llm.base import reachable, table
 from cartwright.session import shared_folder
 
@@ -217,3 +219,8 @@ FROM found
 """)
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cartwright.llm import whitening
+
+DDL = "vec_id bigint, embedding array<double>, label int, x int, component string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, "c") for i, v in rows], DDL)
+
+
+def brute(rows):
+    """Exact sums in Python, then one eigh."""
+    kept = [(i, [math.floor(256 * c) for c in v]) for i, v in rows]
+    fit = sorted({tuple(x) for _, x in kept})
+    n, width = len(fit), len(fit[0])
+    sums = [sum(x[j] for x in fit) for j in range(width)]
+    cov = np.array([[float(sum((n * x[i] - sums[i]) * (n * x[j] - sums[j]) for x in fit) / Fraction(n ** 3))
+                     for j in range(width)] for i in range(width)])
+    values, vectors = np.linalg.eigh(cov)
+    order = np.argsort(-values)[:4]
+    out = {}
+    for i, x in kept:
+        d = sum((n * a - s) ** 2 for a, s in zip(x, sums))
+        y = np.array([float(Fraction(n * a - s, n)) for a, s in zip(x, sums)]) @ vectors[:, order] / np.sqrt(values[order])
+        out.setdefault(i, []).append((n, d, y))
+    return out, values[order] / np.trace(cov)
+
+
+def check(got, rows):
+    wanted, explained = brute(rows)
+    by_row = {}
+    for r in got:
+        by_row.setdefault(r["vec_id"], []).append(r)
+    assert by_row.keys() == wanted.keys()
+    signs = np.ones(len(explained))
+    for i, mine in by_row.items():
+        n, d, y = wanted[i][0]
+        assert len(mine) == len(explained) * len(wanted[i])
+        for r in mine:
+            c = r["component"] - 1
+            if abs(y[c]) > 1e-3 and signs[c] == 1:
+                signs[c] = 2 if r["whitened"] * y[c] > 0 else -2
+    for i, mine in by_row.items():
+        n, d, y = wanted[i][0]
+        for r in mine:
+            c = r["component"] - 1
+            assert r["n"] == n and r["deviation"] == d and r["identity_error"] < 1e-9
+            assert r["whitened"] == pytest.approx(y[c] * np.sign(signs[c]), abs=1e-7)
+            assert r["explained"] == pytest.approx(explained[c], rel=1e-9)
+
+
+def test_against_exact_sums(spark, small_parts):
+    rng = np.random.default_rng(5)
+    points = rng.standard_normal((300, 9)) * np.arange(1, 10) ** 1.5 * 0.1 + 3
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    rows += [(400 + i, points[7].tolist()) for i in range(200)] + [(3, points[3].tolist()), (900, [0.0] * 9), (901, [-0.0] * 9)]
+    check(whitening.whiten(table(spark, rows)).collect(), rows)
+
+
+def test_what_takes_no_part(spark, small_parts):
+    rng = np.random.default_rng(6)
+    sound = [(i, p) for i, p in enumerate(rng.standard_normal((40, 3)).tolist())]
+    odd = [(50, None), (51, [1.0, None, 2.0]), (52, [float("nan"), 1.0, 1.0]), (53, [float("-inf"), 1.0, 1.0]), (54, []), (55, [1.0, 2.0]),
+           (56, [1e300, 1.0, 1.0])]
+    check(whitening.whiten(table(spark, sound + odd)).collect(), sound)
+    got = whitening.whiten(table(spark, [*sound, (None, sound[0][1])])).where("vec_id IS NULL").collect()
+    assert len(got) == 3 and {r["component"] for r in got} == {1, 2, 3}
+    assert whitening.whiten(table(spark, [])).collect() == [] and whitening.whiten(table(spark, [(1, None)])).collect() == []
+
+
+def test_without_variance(spark, small_parts):
+    got = whitening.whiten(table(spark, [(1, [1.0, 2.0]), (2, [1.0, 2.0])])).collect()
+    assert [(r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) for r in got] == [(1, 0, None, None, 0.0)] * 4
+    got = whitening.whiten(table(spark, [(1, [1.0, 2.0]), (2, [3.0, 2.0])])).collect()
+    assert {r["component"]: r["whitened"] is None for r in got} == {1: False, 2: True}
+    assert sorted(r["whitened"] for r in got if r["component"] == 1) == [-1.0, 1.0]
+
+
+def test_sums_beyond_64_bits(spark, small_parts):
+    rows = [(1, [2.0**54, 1.0]), (2, [-(2.0**54), 5.0]), (3, [0.0, 2.0])]
+    got = whitening.whiten(table(spark, rows)).collect()
+    assert all(r["deviation"] is None for r in got if r["vec_id"] != 3)
+    assert {r["deviation"] for r in got if r["vec_id"] == 3} == {(3 * 512 - 256 * 8) ** 2}
+    assert all(r["identity_error"] < 1e-9 for r in got)
+
+
+@given(st.lists(st.lists(st.one_of(st.integers(-300, 300), st.integers(-(2**63), 2**63 - 1)), min_size=3, max_size=3), min_size=1, max_size=130))
+@settings(max_examples=80, deadline=None)
+def test_moments_are_exact(rows):
+    sums, products = whitening.block_moments(np.array(rows, np.int64))
+    assert sums.tolist() == [sum(r[j] for r in rows) for j in range(3)]
+    assert all(products[i, j] == sum(r[i] * r[j] for r in rows) for i in range(3) for j in range(i, 3))
+
+
+@given(st.integers(-(2**200), 2**200))
+@settings(deadline=None)
+def test_digits(value):
+    found = list(whitening._digits(value))
+    assert sum(d << whitening.DIGIT * k for k, d in enumerate(found)) == value and all(abs(d) < 1 << whitening.DIGIT for d in found)
