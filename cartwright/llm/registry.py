@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
-    filter_audit, jaccard, language, mixing, neighbours, packing, quality, repeats, toxicity, url_tree, warc, whitening,
+    filter_audit, jaccard, language, mixing, neighbours, packing, quality, repeats, small_world, toxicity, url_tree, warc,
+    whitening,
 )
 from cartwright.llm.base import reachable, table
 from cartwright.session import shared_folder
@@ -224,3 +225,8 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return small_world.near_copies(table(spark, sf_dir, "embeddings"))
