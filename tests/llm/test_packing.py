@@ -61,12 +61,25 @@ def test_bounds_and_best_fit_around_the_optimum():
     assert packing.lower_bound(np.array([6, 6, 6]), 10) == 3  # the plain sum says 2
 
 
+def test_another_tokenizer_encodes_whole_texts(spark, small_parts):
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.ids_of(tokenizer_path()).by_word and not packing.ids_of(path).by_word
+    tokenizer, got = Tokenizer.from_file(path), {}
+    for r in packing.pieces(docs(spark, TEXTS), path, capacity=512, with_ids=True).orderBy("doc_id", "piece").collect():
+        got.setdefault(r["doc_id"], []).extend(r["ids"])
+    for i, text in enumerate(TEXTS):
+        assert got[i] == tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+
+
+@pytest.mark.parametrize("cut", [1, 4, 8])
 @pytest.mark.parametrize("most", [5, 40, 10_000])
-def test_sequences_are_gapless_and_few(spark, small_parts, most):
+def test_sequences_are_gapless_and_few(spark, small_parts, most, cut):
     rng = random.Random(4)
     lengths = [rng.randrange(1, 101) for _ in range(400)]
     items = spark.createDataFrame([(i, n, 1, "x") for i, n in enumerate(lengths)], "doc_id bigint, length int, offset int, part string")
-    got = packing.pack(items, 100, most).toPandas()
+    got = packing.pack(items.repartition(cut), 100, most).toPandas()
     assert sorted(got.doc_id) == list(range(400)) and got.length.tolist() == [lengths[i] for i in got.doc_id]
     ordered = got.sort_values(["sequence_id", "offset"])
     end = ordered.offset + ordered.length
@@ -75,6 +88,20 @@ def test_sequences_are_gapless_and_few(spark, small_parts, most):
     assert bound <= got.sequence_id.nunique() <= alone * {5: 1.25, 40: 1.1, 10_000: 1}[most]
 
 
+def test_the_cut_of_the_input_does_not_matter(spark, small_parts):
+    rng = random.Random(5)
+    items = spark.createDataFrame([(i, rng.randrange(1, 101), {"a": i}) for i in range(300)], "doc_id bigint, length int, more map<string,int>")
+    packed = [sorted(map(str, packing.pack(items.repartition(cut), 100, 60).collect())) for cut in (1, 5)]
+    assert packed[0] == packed[1]
+
+
+def test_equal_pieces_that_are_hot_are_spread(spark, small_parts):
+    items = spark.createDataFrame([(1, 30)] * 900 + [(i, 40) for i in range(300)], "doc_id bigint, length int")
+    marked = items.selectExpr("struct(doc_id) AS rest", "length", "monotonically_increasing_id() AS at")
+    sizes = [r["count"] for r in packing._dealt(marked, 12).groupBy("part").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 200
+
+
 def test_repeated_and_empty(spark, small_parts):
     same = spark.createDataFrame([(None, "a b c", 0, "x")] * 5, "doc_id bigint, text string, length int, part string")
     got = packing.sequences(same, tokenizer_path()).collect()
