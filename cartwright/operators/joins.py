@@ -72,6 +72,26 @@ def hot_key_hashes(df: DataFrame, types: Mapping[str, T.DataType], partitions: i
     return {r["item"]: min(partitions, -(-r["count"] * partitions // r["total"])) for r in hot.collect()}
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
+    """The hot keys of a frame as by ``hot_key_hashes``, from one job over these columns; none where the frame is too small
+    to matter, shows no size estimate, or has keys that cannot be hashed alike."""
+    if not hasattr(df, "_jdf"):
+        return {}
+    types = key_types(df, df, keys)
+    if types is None or estimated_bytes(df) < least_profiled(df):
+        return {}
+    return hot_key_hashes(df, types, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def is_hot(df: DataFrame, keys: Sequence[str], hot: Mapping[int, int]) -> Column:
+    """Whether a row has one of the keys found by ``hot_keys``; never NULL."""
+    return key_hash(key_types(df, df, keys)).isin(list(hot))
+
+
+def least_profiled(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(SKEW_CONF, str(SKEW_MIN_BYTES)))
+
+
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -94,7 +114,7 @@ def lookup_join(
     profile = fact if profile is None else profile
     if not hasattr(fact, "_jdf"):  # a remote session shows no size estimates; adaptive execution splits what it can
         return fact.join(dim, keys, how)
-    if estimated_bytes(profile) < int(spark.conf.get(SKEW_CONF, str(SKEW_MIN_BYTES))):
+    if estimated_bytes(profile) < least_profiled(fact):
         return fact.join(dim, keys, how)
     if estimated_bytes(dim) <= broadcast_limit(dim):
         return fact.join(dim, keys, how)

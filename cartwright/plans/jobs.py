@@ -74,15 +74,15 @@ class Mart:
 
 def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
               left_out: sales.Subtrees = sales.Subtrees(), settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """Build and publish the ten sales tables. The wide table and the refund flags read the published
-    paths, shipments, margins, subsidies and returns; totals, fees and flags are small per-order sides that the wide
-    table computes again. ``bad_list_elements`` counts, per item, list elements that are no ids. A failure stops the
-    job and leaves the tables after it as they were."""
+    """Build and publish the ten sales tables. The wide table and the refund flags read the published paths,
+    shipments, subsidies and returns; the wide table finds margins, totals, fees and flags again where its rows lie.
+    ``bad_list_elements`` counts, per item, list elements that are no ids. A failure stops the job and leaves the tables
+    after it as they were."""
     plan = sales.pieces(t, left_out, settings)
     done = {
         "product_categories": mart.put("product_categories", plan.paths, "product_id"),
         "shipments_agg": mart.put("shipments_agg", plan.shipments, "order_item_id"),
-        "sales_order_item_cost": mart.put("sales_order_item_cost", plan.margins, "item_id"),
+        "sales_order_item_cost": mart.put("sales_order_item_cost", sales.item_margin(t["items"]), "item_id"),
         "shipping_fee": mart.put("shipping_fee", plan.subsidies, "item_id"),
         "rma": mart.put("rma", plan.returns, "order_item_id"),
         "bad_list_elements": mart.put("bad_list_elements", sales.bad_list_elements(t["items"])),
@@ -97,7 +97,6 @@ def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
     made = sales.Pieces(
         paths=done["product_categories"],
         shipments=shipments,
-        margins=done["sales_order_item_cost"],
         subsidies=done["shipping_fee"],
         returns=done["rma"],
     )

@@ -93,27 +93,32 @@ def latest_shipment(shipment_items: DataFrame, shipments: DataFrame, tracks: Dat
 # ---- margins and refunds ------------------------------------------------------------------------
 
 
-def item_margin(items: DataFrame) -> DataFrame:
-    """(item_id, margin) of first-party items.
+def with_margin(items: DataFrame, lie_by: Sequence[str] = ("order_id", "sku")) -> DataFrame:
+    """``items`` with their margin; NULL for marketplace items. The items are shuffled by ``lie_by`` and stay there.
 
     The sibling is another line of the same order and sku with another product and product type; of several,
     the one with the lowest item id counts.
     """
-    needed = items.select(
-        "item_id", "order_id", "sku", "product_id", "product_type", "marketplace_seller",
-        "base_price", "base_cost", "qty_ordered",
-    )
     paired = with_first_differing(
-        needed, ["order_id", "sku"], "product_type", "product_id", "item_id",
-        ["base_price", "base_cost", "qty_ordered"], "sibling",
-    ).where(F.col("marketplace_seller").isNull())
+        items, ["order_id", "sku"], "product_type", "product_id", "item_id",
+        ["base_price", "base_cost", "qty_ordered"], "sibling", lie_by,
+    )
     price, cost, qty, other = F.col("base_price"), F.col("base_cost"), F.col("qty_ordered"), F.col("sibling")
     margin = (
         F.when(same_text(F.col("product_type"), V.CONFIGURABLE), (price - other["base_cost"]) * qty)
         .when((price == 0) & (other["base_price"] > price), (other["base_price"] - cost) * other["qty_ordered"])
         .otherwise((price - cost) * qty)
     )
-    return paired.select("item_id", margin.alias("margin"))
+    return paired.withColumn("margin", F.when(F.col("marketplace_seller").isNull(), margin)).drop("sibling")
+
+
+def item_margin(items: DataFrame) -> DataFrame:
+    """(item_id, margin) of first-party items."""
+    needed = items.select(
+        "item_id", "order_id", "sku", "product_id", "product_type", "marketplace_seller",
+        "base_price", "base_cost", "qty_ordered",
+    )
+    return with_margin(needed).where(F.col("marketplace_seller").isNull()).select("item_id", "margin")
 
 
 def refunded(qty_refunded: Column, method: Column, shipment_status: Column) -> Column:
@@ -377,11 +382,11 @@ def product_side(t: Mapping[str, DataFrame], paths: DataFrame, settings: Setting
 
 @dataclass(frozen=True)
 class Pieces:
-    """The tables the wide table is made of, built here or read back after they were published."""
+    """The tables the wide table is made of, built here or read back after they were published. Margins are not among
+    them: the wide table finds them where its items lie."""
 
     paths: DataFrame
     shipments: DataFrame
-    margins: DataFrame
     subsidies: DataFrame
     returns: DataFrame
 
@@ -392,7 +397,6 @@ def pieces(t: Mapping[str, DataFrame], left_out: Subtrees = Subtrees(), settings
         paths=product_paths(t, left_out, settings),
         shipments=latest_shipment(lines, t["shipments"], t["shipment_tracks"], settings.shipment_status,
                                   settings.shipment_default),
-        margins=item_margin(t["items"]),
         subsidies=shipping_subsidy(t["items"], t["rules"], start=settings.subsidy_since),
         returns=returns(lines, t["return_items"], t["return_heads"], t["return_codes"], t["options"],
                         settings.return_reason),
@@ -404,34 +408,30 @@ def orders_items_wide(t: Mapping[str, DataFrame], made: Pieces, house_seller: st
     """One row per top-level order item with a known order: 58 columns, in the order of ``WIDE_COLUMNS``.
 
     Every one-to-many side is reduced to one row per key before it is joined, so no join multiplies rows and
-    nothing needs to be picked afterwards. The item-level sides are gathered on bare item ids first, so that the
-    items' many decimals are copied through one join instead of four; all of it lies by item id. The order and
-    product sides are finished first and joined once each, spread where a key is hot.
+    nothing needs to be picked afterwards. The items are shuffled once by order: their siblings are found there and
+    the order side is joined there. Then they move once for the sides by item id and once for the product side. Items
+    of hot orders and products are spread.
     """
-    items = t["items"]
-    keyed = "item_id"
+    items, keyed = t["items"], "item_id"
     ship = made.shipments.withColumnRenamed("order_item_id", keyed)
     back = latest_per_key(
         made.returns.withColumnRenamed("order_item_id", keyed), [keyed],
         [F.col("rma_created_at").desc_nulls_last(), F.col("return_item_id").desc()], ["return_reason"],
     ).select(keyed, "quantity_returned", "rma_created_at", F.col("item_status").alias("rma_item_status"),
              "rma_status", F.col("return_reason").alias("rma_return_reason"))
-    top = items.where(F.col("parent_item_id").isNull())
-    sides = (
-        top.select(keyed).distinct()
-        .join(made.margins, keyed, "left")
-        .join(subsidy_per_item(made.subsidies), keyed, "left")
+    top = with_margin(items, ["order_id"]).where(F.col("parent_item_id").isNull()).select(*_item_columns(house_seller))
+    with_order = lookup_join(top, order_side(t, settings), "order_id", "inner", items.select("order_id"), [keyed])
+    facts = (
+        with_order.join(subsidy_per_item(made.subsidies), keyed, "left")
         .join(ship, keyed, "left")
         .join(back, keyed, "left")
     )
-    facts = top.join(sides, keyed, "left").select(*_item_columns(house_seller))
     products = product_side(t, made.paths, settings)
-    with_order = lookup_join(facts, order_side(t, settings), "order_id", "inner", items.select("order_id"), [keyed])
-    wide = lookup_join(with_order, products, "product_id", "left", items.select("product_id"), [keyed])
+    wide = lookup_join(facts, products, "product_id", "left", items.select("product_id"), [keyed])
     flag = refunded(F.col("quantity_refunded"), F.col("payment_method"), F.col("shipment_statuses"))
-    return wide.withColumn("is_refunded", F.when(flag, "True").otherwise("False")).withColumnRenamed(
-        "category_path", "product_category_name"
-    ).select(*WIDE_COLUMNS)
+    return wide.withColumn("is_refunded", F.when(flag, "True").otherwise("False")).withColumnsRenamed({
+        "category_path": "product_category_name", "commercial_shipping": "commercial_shipping_fee",
+        "marketing_shipping": "marketing_shipping_fee"}).select(*WIDE_COLUMNS)
 
 
 def _item_columns(house_seller: str) -> list[Column]:
@@ -443,20 +443,15 @@ def _item_columns(house_seller: str) -> list[Column]:
         "Commercial_Discount": "commercial_discount",
         "marketplace_commission_percentage": "marketplace_commission", "retail_margin": "margin",
         "item_tax": "base_tax_amount", "original_shipping_fee": "original_shipping_amount",
-        "paid_shipping_amount": "paid_shipping_amount", "commercial_shipping_fee": "commercial_shipping",
-        "marketing_shipping_fee": "marketing_shipping", "main_category": "main_category",
+        "paid_shipping_amount": "paid_shipping_amount", "main_category": "main_category",
         "sub_category": "sub_category",
     }
-    kept = ["shipment_ids", "courier_names", "shipment_statuses", "quantity_returned", "rma_created_at",
-            "rma_item_status", "rma_status", "rma_return_reason"]
     made = {
         "marketplace_commission_amount": percent_of(F.col("base_row_total"), F.col("marketplace_commission")),
         "retail_margin_after_discount": F.col("margin") - F.col("commercial_discount"),
         "seller_name": F.coalesce("marketplace_seller", F.lit(house_seller)),
     }
-    return [F.col(c).alias(n) for n, c in plain.items()] + [F.col(c) for c in kept] + [
-        e.alias(n) for n, e in made.items()
-    ]
+    return [F.col(c).alias(n) for n, c in plain.items()] + [e.alias(n) for n, e in made.items()]
 
 
 WIDE_COLUMNS = [
