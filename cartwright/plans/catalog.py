@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartwright.functions import fixed_values as V
 from cartwright.functions.columns import text_or_empty
 from cartwright.operators.dedupe import latest_per_key
-from cartwright.operators.eav import eav_pivot, eav_pivot_options, special_prices, stock_by_location
+from cartwright.operators.eav import Long, coded_rows, coded_values, eav_wide, stock_by_location
 from cartwright.operators.joins import lookup_join
 from cartwright.plans.settings import Settings
 from cartwright.sources.tables import conform
@@ -47,26 +47,51 @@ class Pieces:
     """The tables the product report is made of, built here or read back after they were published."""
 
     base: DataFrame
-    texts: DataFrame
-    decimals: DataFrame
-    options: DataFrame
-    prices: DataFrame
+    attributes: DataFrame
     sets: DataFrame
     stock: DataFrame
     urls: DataFrame
 
 
+#: Flags of ``attributes``: which group of its columns a row id belongs to.
+GROUPS = ("in_texts", "in_decimals", "in_options", "in_prices")
+
+
+def group_columns(settings: Settings = Settings()) -> dict[str, list[str]]:
+    """The columns of ``attributes`` by group."""
+    columns = (settings.texts.values(), settings.decimals.values(),
+               [name for name, _, _ in settings.decoded.values()] + list(settings.options.values()), settings.special_prices)
+    return {group: list(names) for group, names in zip(GROUPS, columns)}
+
+
+def attributes(t: Mapping[str, DataFrame], settings: Settings = Settings(), members: bool = False) -> DataFrame:
+    """(row_id, every attribute of the report): texts, decimals, option texts and labels, and special prices, from one
+    scan of each value table and one shuffle for all of them. With ``members``, a flag per group tells which row ids that
+    group's own pivot has."""
+    special, kept = settings.special_prices, F.col("store_id") == 0
+    dates = {c: special[c] for c in ("special_from", "special_to")}
+    by_name = lambda columns: {name: k for k, name in columns.items()}
+    coded = coded_values(coded_rows(t["product_codes"], t["options"], list(settings.options)), settings.decoded)
+    return eav_wide([
+        Long(t["product_texts"].where(kept), by_name(settings.texts), {"in_texts": F.lit(True)}),
+        Long(t["product_decimals"].where(kept), by_name(settings.decimals) | {"special_price": special["special_price"]},
+             {"in_decimals": F.lit(True), "in_prices": F.col("attribute_id") == special["special_price"]}),
+        Long(t["product_datetimes"].where(kept), dates, {"in_prices": F.col("attribute_id").isin(list(dates.values()))}),
+        Long(coded, {name: k for k, (name, _, _) in settings.decoded.items()} | by_name(settings.options), {"in_options": F.lit(True)}),
+    ], members=members)
+
+
+def stock(t: Mapping[str, DataFrame], settings: Settings = Settings()) -> DataFrame:
+    return stock_by_location({k: t[f"stock_{k}"] for k in settings.stock}, settings.stock)
+
+
+def attribute_sets(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["attribute_sets"].select("attribute_set_id", "attribute_set_name")
+
+
 def pieces(t: Mapping[str, DataFrame], settings: Settings = Settings()) -> Pieces:
-    return Pieces(
-        base=product_base(t["products"]),
-        texts=eav_pivot(t["product_texts"], settings.texts),
-        decimals=eav_pivot(t["product_decimals"], settings.decimals),
-        options=eav_pivot_options(t["product_codes"], t["options"], settings.options, settings.decoded),
-        prices=special_prices(t["product_decimals"], t["product_datetimes"], settings.special_prices),
-        sets=t["attribute_sets"].select("attribute_set_id", "attribute_set_name"),
-        stock=stock_by_location({k: t[f"stock_{k}"] for k in settings.stock}, settings.stock),
-        urls=product_urls(t["url_rewrites"]),
-    )
+    return Pieces(product_base(t["products"]), attributes(t, settings), attribute_sets(t), stock(t, settings),
+                  product_urls(t["url_rewrites"]))
 
 
 def product_report(made: Pieces, prefixes: Prefixes) -> DataFrame:
@@ -74,18 +99,12 @@ def product_report(made: Pieces, prefixes: Prefixes) -> DataFrame:
 
     The newest version of each entity is chosen before any join (highest row id on equal times), so every
     join is one row to at most one row. The addresses are joined while the products still lie by entity;
-    the four attribute pivots are grouped by row id and meet the products on it without another shuffle.
+    the attributes are one table, grouped by row id, and meet the products on it without another shuffle.
     """
     base = latest_per_key(
         made.base, ["entity_id"], [F.col("updated_at").desc_nulls_last(), F.col("row_id").desc()], []
     )
-    described = (
-        base.join(one_url(made.urls), "entity_id", "left")
-        .join(made.texts, "row_id", "left")
-        .join(made.decimals, "row_id", "left")
-        .join(made.options, "row_id", "left")
-        .join(made.prices, "row_id", "left")
-    )
+    described = base.join(one_url(made.urls), "entity_id", "left").join(made.attributes, "row_id", "left")
     wide = lookup_join(described, made.stock, "sku", "left", made.base.select("sku"), ["entity_id"])
     wide = lookup_join(
         wide, made.sets, "attribute_set_id", "left", made.base.select("attribute_set_id"), ["entity_id"]

@@ -106,19 +106,21 @@ def run_sales(t: Mapping[str, DataFrame], mart: Mart, house_seller: str,
 
 def run_catalog(t: Mapping[str, DataFrame], mart: Mart, prefixes: catalog.Prefixes,
                 settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """Build and publish the nine catalogue tables; the report reads the eight published before it."""
-    plan = catalog.pieces(t, settings)
-    names = {
-        "base": ("vw_product_base", "entity_id"),
-        "texts": ("vw_product_attributes_varchar", "row_id"),
-        "decimals": ("vw_product_attributes_decimal", "row_id"),
-        "options": ("vw_product_attributes_int_options", "row_id"),
-        "prices": ("vw_product_special_prices", "row_id"),
-        "sets": ("vw_attribute_sets", None),
-        "stock": ("vw_inventory_stock", "sku"),
-        "urls": ("vw_product_urls", "entity_id"),
+    """Build and publish the nine catalogue tables, and ``product_attributes``, of which the four attribute tables
+    are cuts and which the report reads: no value table is read or shuffled twice."""
+    wide = mart.put("product_attributes", catalog.attributes(t, settings, members=True), "row_id")
+    columns = catalog.group_columns(settings)
+    cuts = {group: wide.where(group).select("row_id", *columns[group]) for group in catalog.GROUPS}
+    done = {
+        "vw_product_base": mart.put("vw_product_base", catalog.product_base(t["products"]), "entity_id"),
+        "vw_product_attributes_varchar": mart.put("vw_product_attributes_varchar", cuts["in_texts"], "row_id"),
+        "vw_product_attributes_decimal": mart.put("vw_product_attributes_decimal", cuts["in_decimals"], "row_id"),
+        "vw_product_attributes_int_options": mart.put("vw_product_attributes_int_options", cuts["in_options"], "row_id"),
+        "vw_product_special_prices": mart.put("vw_product_special_prices", cuts["in_prices"], "row_id"),
+        "vw_attribute_sets": mart.put("vw_attribute_sets", catalog.attribute_sets(t)),
+        "vw_inventory_stock": mart.put("vw_inventory_stock", catalog.stock(t, settings), "sku"),
+        "vw_product_urls": mart.put("vw_product_urls", catalog.product_urls(t["url_rewrites"]), "entity_id"),
     }
-    put = {piece: mart.put(name, getattr(plan, piece), key) for piece, (name, key) in names.items()}
-    done = {names[piece][0]: frame for piece, frame in put.items()}
-    done["vw_product"] = mart.put("vw_product", catalog.product_report(catalog.Pieces(**put), prefixes))
+    made = catalog.Pieces(done["vw_product_base"], wide, done["vw_attribute_sets"], done["vw_inventory_stock"], done["vw_product_urls"])
+    done["vw_product"] = mart.put("vw_product", catalog.product_report(made, prefixes))
     return done

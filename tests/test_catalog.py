@@ -117,6 +117,21 @@ def test_catalog_job_publishes_its_nine_tables(spark, frame, tmp_path):
     assert done["vw_product_urls"].count() == 4 and done["vw_product_base"].count() == 5
     direct = catalog.product_report(catalog.pieces(t), PREFIXES)
     assert done["vw_product"].dtypes == direct.dtypes and rows(done["vw_product"]) == rows(direct)
+    alone = {
+        "vw_product_attributes_varchar": eav.eav_pivot(t["product_texts"], V.VARCHAR_ATTRIBUTES),
+        "vw_product_attributes_decimal": eav.eav_pivot(t["product_decimals"], V.DECIMAL_ATTRIBUTES),
+        "vw_product_attributes_int_options": eav.eav_pivot_options(t["product_codes"], t["options"], V.OPTION_ATTRIBUTES, Settings().decoded),
+        "vw_product_special_prices": eav.special_prices(t["product_decimals"], t["product_datetimes"], V.SPECIAL_PRICE_ATTRIBUTES),
+    }
+    for name, pivot in alone.items():  # the cuts of the one wide table hold what each pivot gives by itself
+        assert done[name].dtypes == pivot.dtypes and rows(done[name]) == rows(pivot)
+
+
+def test_attributes_read_listed_rows_only(frame):
+    t = tables(frame)
+    wide = catalog.attributes(t)
+    assert not set(catalog.GROUPS) & set(wide.columns)
+    assert {r["row_id"] for r in wide.collect()} <= {r["row_id"] for r in catalog.attributes(t, members=True).collect()}
 
 
 def test_a_shop_with_other_ids(frame):

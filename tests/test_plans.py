@@ -125,6 +125,13 @@ def test_report_shuffles_products_once_per_key(spark, conf):
     assert keys == ["attribute_set_id", "sku", "row_id", "entity_id"]
 
 
+def test_the_whole_report_plan(spark, conf):
+    """Every value table is read once and all attributes are grouped in one shuffle; five pivots took thirteen shuffles."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    moved = shuffles(driver.queries()["product_report"](spark, SF_DIR))
+    assert sorted(moved) == ["attribute_set_id"] * 2 + ["entity_id"] * 2 + ["option_id"] + ["row_id"] * 2 + ["sku"] * 2 + ["value"]
+
+
 def test_distinct_count_is_two_level(spark):
     text = plan(driver.queries()["op_count_sum_distinct"](spark, SF_DIR))
     assert text.count("Exchange hashpartitioning") == 2 and "Expand" not in text
