@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -72,15 +73,46 @@ def hot_key_hashes(df: DataFrame, types: Mapping[str, T.DataType], partitions: i
     return {r["item"]: min(partitions, -(-r["count"] * partitions // r["total"])) for r in hot.collect()}
 
 
+# Profiles known in this process, by the meaning of the profiled frame, its keys and the number of partitions.
+_PROFILES: dict[tuple, dict[int, int]] = {}
+
+
+def _identity(df: DataFrame, keys: Sequence[str], partitions: int) -> tuple:
+    return df.sparkSession.sparkContext.applicationId, df.select(*keys).semanticHash(), tuple(keys), partitions
+
+
+def profile_of(df: DataFrame, types: Mapping[str, T.DataType]) -> dict[int, int]:
+    """``hot_key_hashes`` of a frame, once per frame and keys: frames that read the same table alike share one job. A
+    profile that the data has outgrown costs balance, never rows."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = _identity(df, list(types), partitions)
+    if key not in _PROFILES:
+        _PROFILES[key] = hot_key_hashes(df, types, partitions)
+    return _PROFILES[key]
+
+
+def profile_entry(df: DataFrame, column: str) -> str:
+    """The profile of one column as text, for the number of partitions of this session."""
+    types = key_types(df, df, [column])
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return json.dumps({"partitions": partitions, "hot": profile_of(df.select(column), types) if types else {}})
+
+
+def remember(df: DataFrame, column: str, entry: str) -> None:
+    """Take over a profile that was kept with a table, as the profile of this column of this frame."""
+    kept = json.loads(entry)
+    _PROFILES.setdefault(_identity(df, [column], kept["partitions"]), {int(k): n for k, n in kept["hot"].items()})
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
-    """The hot keys of a frame as by ``hot_key_hashes``, from one job over these columns; none where the frame is too small
-    to matter, shows no size estimate, or has keys that cannot be hashed alike."""
+    """The hot keys of a frame, from one job over these columns; none where the frame is too small to matter, shows no
+    size estimate, or has keys that cannot be hashed alike."""
     if not hasattr(df, "_jdf"):
         return {}
     types = key_types(df, df, keys)
     if types is None or estimated_bytes(df) < least_profiled(df):
         return {}
-    return hot_key_hashes(df, types, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return profile_of(df, types)
 
 
 def is_hot(df: DataFrame, keys: Sequence[str], hot: Mapping[int, int]) -> Column:
@@ -121,8 +153,7 @@ def lookup_join(
     types = key_types(fact, dim, keys)
     if types is None:
         return fact.join(dim, keys, how)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_key_hashes(profile, types, partitions)
+    hot = profile_of(profile, types)
     log.info("join on %s: %d hot keys, %d sub-keys", keys, len(hot), sum(hot.values()))
     if not hot:
         return fact.join(dim, keys, how)

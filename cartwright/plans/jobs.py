@@ -50,9 +50,13 @@ CATALOG_SOURCES = {
 PREFIXED = {"balances", "return_items", "return_heads", "return_codes"}
 
 
-def source_names(sources: Mapping[str, str], prefix: str) -> dict[str, str]:
-    """Source table names by logical name, with the platform's prefix where the source has it (empty: none)."""
-    return {k: f"{prefix}_{v}" if prefix and k in PREFIXED else v for k, v in sources.items()}
+def source_names(sources: Mapping[str, str], prefix: str = "", names: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Source table names by logical name, with the platform's prefix where the source has it (empty: none). ``names``
+    gives full names for any of them that the shop calls otherwise."""
+    unknown = set(names or {}) - set(sources)
+    if unknown:
+        raise ValueError(f"no such logical names: {', '.join(sorted(unknown))}")
+    return {k: f"{prefix}_{v}" if prefix and k in PREFIXED else v for k, v in sources.items()} | dict(names or {})
 
 
 class Mart:

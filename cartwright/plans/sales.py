@@ -18,6 +18,7 @@ from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.eav import attribute_lookup, eav_pivot, option_texts
 from cartwright.operators.joins import lookup_join
 from cartwright.operators.lists import explode_ids, list_elements
+from cartwright.operators.repeat import repeat_rows
 from cartwright.operators.siblings import with_first_differing
 from cartwright.operators.tree import category_paths, excluded_subtrees
 from cartwright.plans.settings import Settings
@@ -165,7 +166,7 @@ def shipping_subsidy(items: DataFrame, rules: DataFrame, coupons: DataFrame | No
         free_rules = free_rules.join(counts, "rule_id", "left")
     out = lookup_join(applied, free_rules, "rule_id", "inner")
     if per_coupon:
-        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("_coupons", F.lit(1)))))
+        out = repeat_rows(out, F.coalesce("_coupons", F.lit(1)))
     fee = F.col("original_shipping_amount")
 
     def under(cart_type: str) -> Column:
@@ -283,7 +284,7 @@ def returns(shipment_items: DataFrame, return_items: DataFrame, return_heads: Da
         F.coalesce("option_text", F.lit("")).alias("return_reason"), "shipment_lines",
     )
     if per_shipment_line:
-        out = out.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("shipment_lines")))).drop("_n")
+        out = repeat_rows(out, F.col("shipment_lines"))
     return out
 
 

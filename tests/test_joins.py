@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from cartwright.operators import joins
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
+from cartwright.operators.joins import lookup_join
+from cartwright.operators.repeat import repeat_rows
+from cartwright.sources import tables
 from tests.rows import rows
 
 HOWS = ["inner", "left", "left_semi", "left_anti"]
@@ -131,3 +134,47 @@ def test_distinct_ordered_concat_takes_the_first_time(frame):
     df = frame("k INT, v STRING, t INT", [(1, "b", 1), (1, "a", 2), (1, "b", 9), (1, "c", 2), (2, None, 1)])
     out = distinct_ordered_concat(df, ["k"], "v", "t", "|", "text", last="last")
     assert rows(out) == [(1, "b|a|c", 9), (2, None, 1)]
+
+
+def test_repeated_rows(spark, conf):
+    df = spark.sql("SELECT * FROM VALUES (1, 3L), (2, 0L), (3, NULL), (4, 1L), (5, -2L), (6, 27L), (7, 1000L) AS t(id, n)")
+    got = repeat_rows(df, F.col("n"), block=3).groupBy("id", "n").count().collect()
+    assert sorted((r["id"], r["count"]) for r in got) == [(1, 3), (4, 1), (6, 27), (7, 1000)]
+
+
+def test_a_million_copies_of_one_row_are_spread(spark, conf):
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = repeat_rows(spark.sql("SELECT 1 AS id, 'x' AS t"), F.lit(1_000_000))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1_000_000 and len(sizes) == 8 and max(sizes) < 250_000
+
+
+def jobs_of(spark, build) -> int:
+    """Jobs that building a frame runs."""
+    spark.sparkContext.setJobGroup(group := f"build {id(build)}", "")
+    build()
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(found)
+
+
+def test_a_table_is_profiled_once(spark, skew_path, tmp_path):
+    facts = spark.range(4000).selectExpr("id", "IF(id % 2 = 0, 1, id) AS k")
+    facts.write.parquet(f"{tmp_path}/facts")
+    spark.range(4000).selectExpr("id AS k", "id AS v").write.parquet(f"{tmp_path}/dim")
+    read = lambda name: spark.read.schema("id bigint, k bigint" if name == "facts" else "k bigint, v bigint").parquet(f"{tmp_path}/{name}")
+    build = lambda: lookup_join(read("facts"), read("dim"), "k", "left")
+    assert jobs_of(spark, build) >= 1 and jobs_of(spark, lambda: build()) == 0
+
+
+def test_profiles_stay_with_the_published_version(spark, skew_path, tmp_path):
+    facts = spark.range(4000).selectExpr("id", "IF(id % 2 = 0, 1, id) AS k")
+    tables.publish(facts, "profiled", root=str(tmp_path), profile=["k"])
+    dim = spark.range(4000).selectExpr("id AS k", "id AS v")
+    joins._PROFILES.clear()  # as in a later session
+    read = tables.published(spark, "profiled")
+    build = lambda: lookup_join(read, dim, "k", "left", profile=read.select("k"))
+    assert jobs_of(spark, build) == 0 and "_salt" in build()._jdf.queryExecution().analyzed().toString()
+    assert build().where("v IS NULL").count() == 0 and build().count() == 4000
+    joins._PROFILES.clear()
+    assert jobs_of(spark, lambda: lookup_join(spark.table("profiled"), dim, "k", "left")) >= 1  # read past the profile

@@ -319,3 +319,12 @@ def test_sellers_are_one_whatever_their_case(frame):
                  [("2030-01-01 00:00:00", "m", "s", name, "o1", 1, 2, 0, 1, 1) for name in ("House", "HOUSE", "Other", "other")])
     got = rows(sales_rollup(wide, "house", "House store"), "seller_class", "seller_name", "items_cnt", "orders_cnt")
     assert got == [("House store", "HOUSE", 2, 1), ("MarketPlace", "Other", 2, 1)]
+
+
+def test_source_names():
+    plain = jobs.source_names(jobs.SALES_SOURCES)
+    assert plain["balances"] == "customerbalance" and plain["orders"] == "sales_order"
+    named = jobs.source_names(jobs.SALES_SOURCES, "shop", {"orders": "dw.orders"})
+    assert named["balances"] == "shop_customerbalance" and named["orders"] == "dw.orders" and named["items"] == "sales_order_item"
+    with pytest.raises(ValueError, match="odrers"):
+        jobs.source_names(jobs.SALES_SOURCES, names={"odrers": "x"})

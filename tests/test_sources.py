@@ -9,6 +9,7 @@ from types import SimpleNamespace
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright.operators.lists import explode_ids, list_elements
 from cartwright.session import shared_folder
@@ -51,6 +52,98 @@ def test_copy_reads_each_chosen_table_with_its_split(spark, frame, tmp_path, mon
     assert sorted(landed) == ["a", "b"] and landed["a"].count() == 1
 
 
+def test_equi_depth_ranges_of_a_skewed_column(spark):
+    """Ids that crowd at one end, from parquet: even strides would put nearly all rows into one read."""
+    lines = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    top = lines.agg(F.max("l_orderkey")).first()[0]
+    skewed = lines.select(F.pow(F.col("l_orderkey") / top * 100, 4).cast("bigint").alias("id")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    even = skewed.where(f"id < {100**4 // 16}").count()
+    assert even > 0.4 * skewed.count()
+    planned = IO.equi_depth(skewed, "id", 16)
+    sizes = [skewed.where(p).count() for p in planned.predicates]
+    assert len(sizes) == 16 and sum(sizes) == skewed.count() and max(sizes) < 1.2 * skewed.count() / 16
+    later = spark.createDataFrame([(-5,), (10**12,), (None,)], "id bigint")  # rows the plan has not seen
+    assert sum(later.where(p).count() for p in planned.predicates) == 3
+
+
+def test_equi_depth_with_a_hot_value_times_and_nothing(spark):
+    hot = spark.range(900).selectExpr("IF(id < 600, 7, id) AS id")
+    planned = IO.equi_depth(hot, "id", 8)
+    sizes = [hot.where(p).count() for p in planned.predicates]
+    assert sum(sizes) == 900 and sorted(sizes)[-2] < 150
+    times = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select("ts")
+    sizes = [times.where(p).count() for p in IO.equi_depth(times, "ts", 5).predicates]
+    assert sum(sizes) == times.count() and max(sizes) < 0.25 * sum(sizes)
+    days = times.selectExpr("CAST(ts AS DATE) AS d")
+    assert sum(days.where(p).count() for p in IO.equi_depth(days, "d", 3).predicates) == days.count()
+    assert IO.equi_depth(spark.range(0), "id", 4).predicates == ("1 = 1",) == IO.equi_depth(spark.range(9), "id", 1).predicates
+
+
+def test_ranges_reach_the_reader(spark, frame, tmp_path, monkeypatch):
+    asked = []
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            asked.append((url, table, predicates, properties))
+            return frame("x INT", [(1,)])
+
+    monkeypatch.setattr(type(spark), "read", property(lambda _: Reader()))
+    got = IO.jdbc_frame(spark, "jdbc:x", "orders", IO.Ranges(("id < 5", "id >= 5")), {"user": "u"})
+    assert rows(got) == [(1,)]
+    assert asked == [("jdbc:x", "orders", ["id < 5", "id >= 5"], {"user": "u", "fetchsize": "10000", "preferTimestampNTZ": "true"})]
+
+
+def test_landed_rows_are_counted_and_summed(spark, frame, tmp_path):
+    df = spark.sql("SELECT id, id / 3 AS share, CAST(id AS STRING) AS t, map('a', id) AS m FROM range(1000)")
+    IO.snapshot({"a": df, "b": frame("y STRING", [])}, str(tmp_path))
+    (version,) = map(str, tmp_path.iterdir())
+    assert {k: v.count() for k, v in IO.landed(spark, version).items()} == {"a": 1000, "b": 0}
+    df.where("id < 999").unionAll(df.where("id = 5")).write.mode("overwrite").parquet(f"{version}/a")  # as many rows, other content
+    with pytest.raises(ValueError, match="a: landed"):
+        IO.landed(spark, version)
+
+
+def stopping(monkeypatch, name):
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(IO, name, stop)
+
+
+def test_publish_takes_over_a_table(spark, frame, monkeypatch):
+    """The name of a managed table holds the old rows or the new ones wherever the job stops."""
+    frame("a INT, b STRING", [(1, "x")]).write.saveAsTable("pub_managed")
+    for step in ("_take_over", "_relocate"):
+        with monkeypatch.context() as patched:
+            stopping(patched, step)
+            with pytest.raises(RuntimeError):
+                IO.publish(frame("a INT, b STRING", [(2, "y")]), "pub_managed")
+        assert rows(spark.table("pub_managed")) == [(1, "x")]
+    for n in (3, 4, 5):
+        old = spark.table("pub_managed")
+        assert rows(IO.publish(frame("a INT, b STRING", [(n, "z")]).union(old), "pub_managed"))[0] == (1, "x")
+    assert rows(spark.table("pub_managed")) == [(1, "x"), (3, "z"), (4, "z"), (5, "z")]
+    assert len(IO.versions(spark, "pub_managed")) == 2
+
+
+def test_publish_takes_over_a_table_of_another_shape(spark, frame, monkeypatch):
+    for name, write in (("pub_shape", lambda w: w), ("pub_parts", lambda w: w.partitionBy("b"))):
+        write(frame("a INT, b STRING", [(1, "x")]).write).saveAsTable(name)
+        with monkeypatch.context() as patched:
+            stopping(patched, "_point")
+            with pytest.raises(RuntimeError):
+                IO.publish(frame("a INT, c INT", [(2, 2)]), name)
+        with monkeypatch.context() as patched:  # the next run puts the name back before it writes
+            stopping(patched, "_take_over")
+            kept = IO._point
+            patched.setattr(IO, "_point", lambda spark, table, version: kept(spark, table, version) if "0" * 17 in version else 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                IO.publish(frame("a INT, c INT", [(2, 2)]), name)
+            assert rows(spark.table(name)) == [(1, "x")]
+        assert rows(IO.publish(frame("a INT, c INT", [(3, 3)]), name)) == [(3, 3)]
+        assert rows(IO.publish(frame("a INT", [(4,)]), name)) == [(4,)]
+
+
 def test_publish_replaces_and_may_read_the_table_it_replaces(spark, frame, tmp_path):
     for root in (None, str(tmp_path)):
         table = "pub_plain" if root is None else "pub_rooted"
