@@ -321,7 +321,7 @@ def test_sellers_are_one_whatever_their_case(frame):
     assert got == [("House store", "HOUSE", 2, 1), ("MarketPlace", "Other", 2, 1)]
 
 
-def test_source_names():
+def test_source_names_given_by_the_caller():
     plain = jobs.source_names(jobs.SALES_SOURCES)
     assert plain["balances"] == "customerbalance" and plain["orders"] == "sales_order"
     named = jobs.source_names(jobs.SALES_SOURCES, "shop", {"orders": "dw.orders"})
