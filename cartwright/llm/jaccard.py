@@ -9,9 +9,10 @@ result is each document's component, so copies and near copies never become pair
    c-subset overlap in c; of those, the smallest is linked with each one the size bound allows. A link between two other
    members implies that both link with the smallest, so this star keeps every component without naming pairs.
 3. Large sets scan inverted lists of their rarest shingles (the prefix within which similar sets must meet). First
-   passes pair each list's members with a few hubs only, where size, position and parity bounds leave it open; verified links make components. A last pass takes the pairs of
-   a list that still lie in different components, so a group of near copies costs its size, not its square, and no link
-   between components is lost.
+   passes pair each list's members with a few hubs only, where size, position and parity bounds leave it open; verified
+   links make components. A last pass takes the pairs of a list that still lie in different components, so a group of
+   near copies costs its size, not its square, and no link between components is lost. A long list is cut by size and
+   into blocks there, and every pair of blocks that may hold similar sets is compared in a task of its own.
 4. The boundary is the size at which enumerating subsets costs more than scanning lists, from counts of sets by size and
    the measured length of the lists.
 
@@ -23,7 +24,8 @@ component's name while the component has another; an empty table gives an empty
 from __future__ import annotations
 
 import hashlib
-from itertools import combinations
+from collections.abc import Iterator
+from itertools import chain, combinations
 from math import comb
 
 import numpy as np
@@ -43,6 +45,11 @@ MOST_ENUMERATED = 30
 PARITY_BITS = 512
 #: Hubs of a list in one pass.
 HUBS = 3
+#: Subsets sent at once.
+SENT_SUBSETS = 1 << 18
+#: Members from which on a list is cut into blocks of this many, and pairs of a cell compared at once.
+LONG_LIST = LIST_BLOCK = 1_024
+COMPARED = 1 << 18
 
 _SET = pa.schema([("row_key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()),
                   ("tokens", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())), ("skipped", pa.int32()),
@@ -113,27 +120,37 @@ def _candidates(group: pa.Table, repeated: census.Repeated, width: int, percent:
 # ---- small sets -----------------------------------------------------------------------------------
 
 
-def _subsets(rows: pa.RecordBatch, percent: int) -> pa.RecordBatch:
-    """Every subset a small set may share with a similar one: its size and the hash of its members."""
-    rid, sizes, subset = [], [], []
+def _subsets(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
+    """Every subset a small set may share with a similar one: its size and the hash of its members. A few sets at a time,
+    so that memory does not follow the number of sets in a batch."""
+    rid, sizes, subset, held = [], [], [], 0
     for key, tokens in zip(rows["rid"].to_pylist(), rows["tokens"].to_pylist()):
         members = mixed(np.array(tokens, np.int64).view(np.uint64))
         whole = members.sum(dtype=np.uint64)
         for left_out in range(len(tokens) - needed(len(tokens), percent) + 1):
-            chosen = np.array(list(combinations(range(len(tokens)), left_out)), np.int64).reshape(comb(len(tokens), left_out), left_out)
+            flat = chain.from_iterable(combinations(range(len(tokens)), left_out))
+            chosen = np.fromiter(flat, np.int8, comb(len(tokens), left_out) * left_out).reshape(-1, left_out) if left_out else np.zeros((1, 0), np.int8)
             found = whole - members[chosen].sum(axis=1, dtype=np.uint64)
             subset.append(found.view(np.int64))
             sizes.append(np.full(len(found), len(tokens) - left_out))
             rid.append(np.full(len(found), key))
-    flat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-    return pa.RecordBatch.from_arrays([flat(rid), flat(sizes), flat(subset)], ["rid", "c", "subset"])
+            held += len(found)
+        if held >= SENT_SUBSETS:
+            yield _subset_batch(rid, sizes, subset)
+            rid, sizes, subset, held = [], [], [], 0
+    yield _subset_batch(rid, sizes, subset)
+
+
+def _subset_batch(*columns: list[np.ndarray]) -> pa.RecordBatch:
+    flat = [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64), pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays(flat, ["rid", "c", "subset"])
 
 
 def small_links(sets: DataFrame, boundary: int, percent: int) -> DataFrame:
     """Links among sets of at most ``boundary`` members: each shared subset's smallest set with all it is similar to."""
     light = sets.where(F.col("n") <= boundary).select("rid", "n", "tokens")
     subsets = light.select("rid", "tokens").mapInArrow(
-        lambda batches: (_subsets(b, percent) for b in batches), "rid bigint, c bigint, subset bigint")
+        lambda batches: (part for b in batches for part in _subsets(b, percent)), "rid bigint, c bigint, subset bigint")
     sized = subsets.join(light.select("rid", "n"), "rid")
     hubs = (sized.groupBy("c", "subset").agg(F.min(F.struct("n", "rid")).alias("hub"), F.count(F.lit(1)).alias("members"))
             .where("members > 1").select("c", "subset", "hub"))
@@ -191,13 +208,72 @@ def _hub_pairs(postings: DataFrame, boundary: int, percent: int, seeds: range) -
     return met.select(F.least("rid", "h.rid").alias("a"), F.greatest("rid", "h.rid").alias("b")).distinct()
 
 
-def _cross_pairs(postings: DataFrame, boundary: int, percent: int) -> DataFrame:
-    """The pairs of each list that lie in different components."""
-    side = lambda label, name: postings.select(
-        "token", F.col("label").alias(label), F.struct("rid", "n", "place", "parity").alias(name))
-    return (side("la", "x").join(side("lb", "y"), "token")
-            .where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent) & (F.greatest("x.n", "y.n") > boundary))
-            .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")).distinct())
+def _cross_pairs(postings: DataFrame, boundary: int, percent: int, long: int = LONG_LIST, block: int = LIST_BLOCK) -> DataFrame:
+    """The pairs of each list that lie in different components. Long lists meet in cells."""
+    lengths = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > long)
+    marked = postings.join(lengths.select("token"), "token", "left_anti")
+    side = lambda label, name: marked.select(
+        "token", F.col(label[0]).alias(label[1]), F.struct("rid", "n", "place", "parity").alias(name))
+    met = (side(("label", "la"), "x").join(side(("label", "lb"), "y"), "token")
+           .where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent) & (F.greatest("x.n", "y.n") > boundary))
+           .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
+    longer = postings.join(lengths.select("token"), "token", "left_semi")
+    return met.unionByName(_in_cells(_cells(longer, percent, block), boundary, percent)).distinct()
+
+
+def _cells(postings: DataFrame, percent: int, block: int) -> DataFrame:
+    """Postings of long lists, dealt so that any two that may be similar meet in one cell of at most about two blocks.
+
+    Similar sets differ in size by less than one class of sizes (a class spans the ratio that similarity allows), so a
+    list is cut by class, and a class meets itself and the next one up. A class with many members is dealt to blocks by a
+    hash, and every pair of blocks that must meet is a cell of its own.
+    """
+    span = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
+    classed = postings.withColumn("class", span.cast("int"))
+    counts = classed.groupBy("token", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    near = lambda step, name: counts.select("token", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
+    known = counts.join(near(1, "below"), ["token", "class"], "left").join(near(-1, "above"), ["token", "class"], "left")
+    row = classed.join(known, ["token", "class"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    # A cell is (class, its block, step to the other's class, the other's block); within a class the lower block comes first.
+    upto = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(0)) - 1)
+    there = lambda n, build: F.when(F.coalesce(n, F.lit(0)) > 0, F.transform(upto(n), build)).otherwise(
+        F.array().cast("array<struct<class:int,one:int,step:int,two:int,left:boolean,right:boolean>>"))
+    cell = lambda class_, one, step, two, left, right: F.struct(
+        class_.alias("class"), one.alias("one"), F.lit(step).alias("step"), two.alias("two"), left.alias("left"), right.alias("right"))
+    mine, class_ = F.col("block"), F.col("class")
+    own = F.transform(upto(F.col("blocks")), lambda other: cell(class_, F.least(mine, other), 0, F.greatest(mine, other), mine <= other, other <= mine))
+    up = there(F.col("above"), lambda other: cell(class_, mine, 1, other, F.lit(True), F.lit(False)))
+    down = there(F.col("below"), lambda other: cell(class_ - 1, other, 1, mine, F.lit(False), F.lit(True)))
+    return row.select("token", "rid", "n", "place", "parity", "label", F.explode(F.concat(own, up, down)).alias("cell")).select(
+        "token", "cell.*", "rid", "n", "place", "parity", "label")
+
+
+def _in_cells(cells: DataFrame, boundary: int, percent: int) -> DataFrame:
+    """Compare the two sides of every cell by the same bounds as ``_may_be_similar``."""
+
+    def compare(cell: pa.Table) -> pa.Table:
+        column = {c: cell[c].to_numpy() for c in ("rid", "n", "place", "label")}
+        parity = cell["parity"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(cell.num_rows, -1)
+        left, right = (np.flatnonzero(cell[c].to_numpy(zero_copy_only=False)) for c in ("left", "right"))
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        step = max(1, COMPARED // max(1, len(right)))
+        for at in range(0, len(left), step):
+            x, y = left[at:at + step, None], right[None, :]
+            na, nb = column["n"][x], column["n"][y]
+            room = np.minimum(na - column["place"][x], nb - column["place"][y])
+            open_ = ((column["label"][x] != column["label"][y]) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent)
+                     & (room * (100 + percent) >= (na + nb) * percent) & (np.maximum(na, nb) > boundary))
+            i, j = np.nonzero(open_)
+            i, j = left[at:at + step][i], right[j]
+            for k in range(0, len(i), COMPARED):
+                a, b = i[k:k + COMPARED], j[k:k + COMPARED]
+                apart = np.bitwise_count(parity[a] ^ parity[b]).sum(axis=1, dtype=np.int64)
+                near = apart * (100 + percent) <= (column["n"][a] + column["n"][b]) * (100 - percent)
+                found.append((column["rid"][a[near]], column["rid"][b[near]]))
+        a, b = (np.concatenate(side) for side in zip(*found))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return cells.groupBy("token", "class", "one", "step", "two").applyInArrow(compare, "a bigint, b bigint")
 
 
 def _still_mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright.llm import jaccard
 from cartwright.llm.components import components
@@ -72,3 +74,48 @@ def test_one_row_of_each_component_stays(documents):
 def test_components_of_a_long_chain(spark, small_parts):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a bigint, b bigint")
     assert {r["node"]: r["label"] for r in components(links).collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100}
+
+
+def postings(spark, rows):
+    """One list or several: (token, rid, n, place, label) with random parities of about n bits."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    full = [(t, r, n, place, [int(x) for x in rng.integers(-(2**63), 2**63, jaccard.PARITY_BITS // 64)], label) for t, r, n, place, label in rows]
+    return spark.createDataFrame(full, "token bigint, rid bigint, n bigint, place int, parity array<bigint>, label bigint")
+
+
+@pytest.mark.parametrize("percent", [60, 80, 100])
+def test_cells_meet_whom_the_join_meets(spark, small_parts, percent):
+    rng = random.Random(3)
+    rows = [(t, 1000 * t + i, rng.choice([1, 4, 5, 20, 24, 25, 300, 360, 2000]), 0, rng.randrange(40)) for t in range(4) for i in range(60 if t else 3)]
+    lists = postings(spark, rows).withColumn("parity", F.array_repeat(F.lit(0).cast("bigint"), jaccard.PARITY_BITS // 64))
+    plain = jaccard._cross_pairs(lists, 2, percent, long=10**9)
+    cut = jaccard._cross_pairs(lists, 2, percent, long=10, block=8)
+    shown = lambda df: sorted(map(tuple, df.collect()))
+    assert shown(cut) == shown(plain) and plain.count() > 100
+    sizes = [r["count"] for r in jaccard._cells(lists.where("token > 0"), percent, 8).groupBy("token", "class", "one", "step", "two").count().collect()]
+    assert max(sizes) <= 3 * 16
+
+
+def test_unrelated_members_of_a_hot_shingle_are_spread(spark, small_parts, conf):
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(5)
+    lists = postings(spark, [(7, i, rng.randrange(60, 70), 0, i) for i in range(16_000)]).cache()
+    lists.count()
+    start = time.perf_counter()
+    assert jaccard._cross_pairs(lists, 10, 80).count() == 0
+    assert time.perf_counter() - start < 20
+    cells = jaccard._cells(lists, 80, jaccard.LIST_BLOCK)
+    per_task = sorted(r["count"] for r in cells.repartition(16, "token", "class", "one", "step", "two").groupBy(F.spark_partition_id()).count().collect())
+    assert len(per_task) == 16 and per_task[-1] < 2 * per_task[8]
+
+
+def test_subsets_come_a_few_sets_at_a_time(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(1)
+    rows = pa.RecordBatch.from_pylist([{"rid": i, "tokens": [rng.getrandbits(60) for _ in range(25)]} for i in range(40)])
+    parts = [b.num_rows for b in jaccard._subsets(rows, 80)]
+    assert sum(parts) == 40 * 68_406 and max(parts) < jaccard.SENT_SUBSETS + 68_406
