@@ -6,6 +6,7 @@ A word is a maximal run of bytes other than space and ``\\x09``-``\\x0D``; ``byt
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -93,8 +94,10 @@ def unrest(frame: DataFrame, columns: list[str], found: list[str]) -> DataFrame:
 
 # ---- words and hashes inside tasks ----------------------------------------------------------------
 
-#: Bytes of text hashed at once; the arrays take some thirty times as much.
+#: Bytes of text hashed at once; the arrays take some thirty times as much. A longer text is hashed in stretches that
+#: end with a word, and its windows in overlapping runs of words, so only its word hashes are held whole.
 BLOCK_BYTES = 1 << 19
+_BREAK = re.compile(rb"[\x20\x09-\x0D]")
 #: Words from this length on are hashed one by one: a polynomial modulo 2^64 is weak on very long periodic strings.
 LONG_WORD = 512
 
@@ -130,6 +133,16 @@ def _sums(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def stretches(text: bytes, size: int = BLOCK_BYTES) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, or of the word that is longer; no word is cut."""
+    at = 0
+    while at < len(text):
+        cut = _BREAK.search(text, at + size)
+        end = cut.start() if cut else len(text)
+        yield text[at:end]
+        at = end
+
+
 def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The 64-bit hash and the start of every word of a text."""
     data = np.frombuffer(text, np.uint8)
@@ -170,10 +183,20 @@ class Block:
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and position of every window that lies in one text."""
+        parts = list(self.window_parts(width))
+        return parts[0] if len(parts) == 1 else tuple(np.concatenate(side) for side in zip(*parts))
+
+    def window_parts(self, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """As ``windows``, in runs of at most ``BLOCK_BYTES`` words; a block of several texts is one."""
+        if len(self.ends) == 1:
+            for start in range(0, max(1, len(self.hashes) - width + 1), BLOCK_BYTES):
+                found = rolling(self.hashes[start:start + BLOCK_BYTES + width - 1], width)
+                yield found, np.arange(start, start + len(found), dtype=np.int32 if len(self.hashes) < 1 << 31 else np.int64)
+            return
         found = rolling(self.hashes, width)
         room = np.repeat(self.ends, self.counts)[: len(found)]
         at = np.flatnonzero(np.arange(width, width + len(found)) <= room)
-        return found[at], at
+        yield found[at], at
 
 
 def blocks(raw: list[bytes | None]) -> Iterator[Block]:
@@ -185,6 +208,11 @@ def blocks(raw: list[bytes | None]) -> Iterator[Block]:
             parts.append(raw[to] or b"")
             size += len(parts[-1]) + 1
             to += 1
+        if size > BLOCK_BYTES + 1:  # one text alone
+            hashes = np.concatenate([word_hashes(part)[0] for part in stretches(parts[0])])
+            yield Block(at, np.array([len(hashes)]), hashes)
+            at = to
+            continue
         hashes, starts = word_hashes(b" ".join(parts))
         limits = np.cumsum([len(p) + 1 for p in parts])
         yield Block(at, np.searchsorted(starts, limits), hashes)

@@ -1,6 +1,6 @@
 """A distributed census of 64-bit keys: which keys of each chunk of documents occur more than once overall.
 
-Documents are dealt to chunks by a hash of their content. Each chunk sends its distinct keys, sorted and cut into
+Documents are dealt to chunks by a hash of their content, hot copies also by their place. Each chunk sends its distinct keys, sorted and cut into
 buckets by their leading bits, with a one-byte count; each bucket adds up the counts and answers every chunk with those of its keys
 that occur at least twice. A key travels once per chunk whatever its frequency, so no task receives a group that grows with a hot
 key's rows; a document's text is shuffled once and a key costs ``width`` bytes and one byte of count on its way.
@@ -15,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.llm.base import binary, partitions, power_of_two
+from cartwright.operators.joins import hot_key_hashes
 
 SENT = "bucket int, chunk int, keys binary, counts binary"
 ANSWER = "chunk int, bucket int, keys binary, classes binary"
@@ -57,20 +59,44 @@ class Layout:
         return np.frombuffer(blob, np.uint32).astype(np.uint64) | (buckets.astype(np.uint64) << np.uint64(32))
 
 
-def layout(docs: DataFrame, text: str, width: int, chunk_bytes: int = 8 << 20, bucket_keys: int = 1 << 20) -> Layout:
-    """Sizes from one aggregate over the whole input: chunks of about ``chunk_bytes`` of text, buckets of about
-    ``bucket_keys`` keys (a word of text is five bytes or more on average), and no fewer than shuffle partitions. Every
-    chunk writes to every bucket, so neither number grows beyond that."""
+@dataclass(frozen=True)
+class Sizes:
+    """What a task may hold: bytes of text in a chunk and keys in a bucket at least, and the fewest keys that a message
+    from a chunk to a bucket should have."""
+
+    chunk_bytes: int = 8 << 20
+    bucket_keys: int = 1 << 20
+    message_keys: int = 64
+
+
+#: Bytes of text per key: a word and a space.
+WORD_BYTES = 5
+
+
+def layout(docs: DataFrame, text: str, width: int, sizes: Sizes = Sizes()) -> Layout:
+    """Numbers of chunks and buckets from one aggregate over the whole input."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(f"`{text}`"))), F.lit(0)).alias("b")).first()["b"]
-    parts = partitions(docs.sparkSession)
-    buckets = power_of_two(max(parts, total / 5 / bucket_keys))
-    return Layout(max(3 * parts, int(total // chunk_bytes)), buckets.bit_length() - 1, width)
+    return layout_for(total, partitions(docs.sparkSession), width, sizes)
+
+
+def layout_for(total: int, parts: int, width: int, sizes: Sizes = Sizes()) -> Layout:
+    """The layout for so many bytes of text. Every chunk writes to every bucket, so beyond about 130 GB chunks and buckets
+    grow with the square root of the input: messages then keep about ``message_keys`` keys, some 600 bytes, at any size.
+    A bucket's task needs about 45 bytes a key: 170 MB at 1 TB, 500 MB at 10 TB, 1.7 GB at 100 TB."""
+    keys = total / WORD_BYTES
+    held = np.sqrt(sizes.message_keys * keys)
+    buckets = power_of_two(max(parts, keys / max(sizes.bucket_keys, held)))
+    return Layout(max(3 * parts, int(total // max(sizes.chunk_bytes, held * WORD_BYTES))), buckets.bit_length() - 1, width)
 
 
 def chunk_of(lay: Layout, docs: DataFrame) -> Column:
-    """The chunk of a row, from its content alone; rows without an id are dealt by their other columns."""
+    """The chunk of a row, from its content alone. Rows that are equal in every column and so many that their chunk would be
+    much larger than others are spread by their place as well: each of their chunks then asks for the same keys."""
     plain = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
-    return F.pmod(F.xxhash64(*plain), F.lit(lay.chunks)).cast("int").alias("chunk")
+    content = F.xxhash64(*plain)
+    hot = hot_key_hashes(docs.select(content.alias("content")), {"content": T.LongType()}, lay.chunks)
+    spread = F.when(F.xxhash64(content).isin(list(hot)), F.monotonically_increasing_id()).otherwise(F.lit(0)) if hot else F.lit(0)
+    return F.pmod(F.xxhash64(content, spread), F.lit(lay.chunks)).cast("int").alias("chunk")
 
 
 def send(keys: np.ndarray, chunk: int, lay: Layout) -> pa.Table:

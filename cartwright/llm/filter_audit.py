@@ -20,7 +20,6 @@ distinct words only; an empty table gives an empty result. Other columns are ign
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from itertools import permutations
 from math import factorial
@@ -31,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartwright.llm.base import texts
+from cartwright.llm.base import stretches, texts
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -40,22 +39,18 @@ MARKS = b"#$%&*|"
 #: Bytes of text split into words at once.
 STRETCH = 1 << 20
 
-_BREAK = re.compile(rb"[\x20\x09-\x0D]")
 _CONTINUED = bytes(range(0x80, 0xC0))
 _MEASURED = pa.schema([("id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("print", pa.binary())])
 COUNTS = ("documents", "good", "toxic")
 
 
 def word_counts(text: bytes, stretch: int = STRETCH) -> tuple[int, int]:
-    """Words and distinct words, split a stretch at a time; a stretch ends with the word it would cut."""
-    n, seen, at = 0, set(), 0
-    while at < len(text):
-        cut = _BREAK.search(text, at + stretch)
-        end = cut.start() if cut else len(text)
-        words = text[at:end].split()
+    """Words and distinct words, split a stretch at a time."""
+    n, seen = 0, set()
+    for part in stretches(text, stretch):
+        words = part.split()
         n += len(words)
         seen.update(words)
-        at = end
     return n, len(seen)
 
 

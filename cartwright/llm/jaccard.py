@@ -18,7 +18,8 @@ result is each document's component, so copies and near copies never become pair
 
 Shingles are told apart by 64-bit hashes. Defined cases: null and empty texts have no shingles and link with nothing; fewer words
 than ``width`` make one shingle of the whole sequence; repeated rows link like other copies; a null id is never a
-component's name while the component has another; an empty table gives an empty result.
+component's name while the component has another; a very long text is hashed a stretch at a time, its set is held whole;
+an empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -309,10 +310,10 @@ def linked(heavy: DataFrame, rows: DataFrame, small: DataFrame, boundary: int, p
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", width: int = WIDTH,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, sizes: census.Sizes = census.Sizes()) -> DataFrame:
     """Per row of ``docs``: row_key (a hash of its id and text), the id, n_shingles, component_id (the smallest id
     reachable by links) and stays (true for one row of each component, that with the smallest id)."""
-    lay = census.layout(docs, text, width=4)
+    lay = census.layout(docs, text, 4, sizes)
     mine = docs.select(F.col(f"`{id_}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     chunked = mine.select(F.xxhash64("id", "text").alias("row_key"), "id", "text", census.chunk_of(lay, mine))
     rows = staged(

@@ -7,7 +7,9 @@ Windows are told apart by 64 random bits: in a corpus of n windows about n^2 / 2
 10^8 windows. Chunks, buckets and answers are bounded by ``layout``; a passage in a third of all documents is sent once per chunk.
 
 Defined cases: null or empty text has no words and an empty kept text; texts shorter than a window lose nothing; repeated
-rows, ids included, count as separate documents; null ids are kept as they are; an empty table gives an empty result.
+rows, ids included, count as separate documents; null ids are kept as they are; a very long text is hashed and cut a
+stretch at a time, and takes about a dozen times its number of words in bytes besides itself; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm import census
-from cartwright.llm.base import Block, blocks, rest_of, texts, unrest
+from cartwright.llm.base import Block, blocks, rest_of, stretches, texts, unrest
 
 #: The window of the production queries.
 WINDOW = 35
@@ -39,6 +41,17 @@ def covered(block: Block, repeated: np.ndarray, window: int) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
+def kept_words(text: bytes, gone: np.ndarray | None) -> bytes:
+    """The words of a text that are not ``gone``, joined by one space; a stretch of it is split at a time."""
+    parts, at = [], 0
+    for part in stretches(text):
+        words = part.split()
+        if gone is not None:
+            words, at = [w for w, g in zip(words, gone[at:at + len(words)].tolist()) if not g], at + len(words)
+        parts.append(b" ".join(words))
+    return b" ".join(filter(None, parts))
+
+
 def intervals(gone: np.ndarray) -> list[int]:
     """Maximal runs of removed words as start, end, start, end ..."""
     return np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).view(np.int8))).tolist()
@@ -48,15 +61,13 @@ def _cut(group: pa.Table, repeated: census.Repeated, window: int, with_text: boo
     raw = texts(group["text"])
     n_words, n_removed, kept_text, digests, spans = [], [], [], [], []
     for block in blocks(raw):
-        hashes, at = block.windows(window)
-        gone = covered(block, at[repeated.classes_of(hashes) > 0], window)
+        again = [at[repeated.classes_of(hashes) > 0] for hashes, at in block.window_parts(window)]
+        gone = covered(block, np.concatenate(again), window)
         start = 0
         for i, end in enumerate(block.ends.tolist(), block.first):
-            words, mine = (raw[i] or b"").split(), gone[start:end]
+            mine = gone[start:end]
             removed = int(np.count_nonzero(mine))
-            if removed:
-                words = [w for w, g in zip(words, mine.tolist()) if not g]
-            joined = b" ".join(words)
+            joined = kept_words(raw[i] or b"", mine if removed else None)
             n_words.append(end - start)
             n_removed.append(removed)
             digests.append(hashlib.sha256(joined).hexdigest())
@@ -71,13 +82,14 @@ def _cut(group: pa.Table, repeated: census.Repeated, window: int, with_text: boo
     return pa.table(columns)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, with_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, text: str = "text", window: int = WINDOW, with_text: bool = True,
+                   sizes: census.Sizes = census.Sizes()) -> DataFrame:
     """Every row of ``docs`` without its text, and: n_words, n_removed, kept_sha256 (of the kept words joined by one
     space), spans (start, end, start, end ... in words) and, ``with_text``, kept_text: the kept words joined by one
     space where any went, else the text as written. Columns of ``docs`` with one of these names give way.
     """
     found = ["n_words", "n_removed", "kept_sha256", "spans"] + (["kept_text"] if with_text else [])
-    lay = census.layout(docs, text, width=8)
+    lay = census.layout(docs, text, 8, sizes)
     rest = rest_of(docs, text, *found)
     chunked = docs.select(rest.alias("rest"), F.col(f"`{text}`").alias("text"), census.chunk_of(lay, docs))
     kind = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()

@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartwright.llm import base, census, repeats
@@ -81,3 +83,49 @@ def test_layouts_answer_alike():
         assert (classes > 0).tolist()[0] and classes[0] == census.CLASSES and classes[1] > 0
         if lay.width == 8:
             assert (classes > 0).tolist() == [True, True, True, False, False]
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    rng = random.Random(6)
+    raw = " ".join("x" * rng.randrange(1, 40) if rng.random() < 0.1 else f"w{rng.randrange(90)}" for _ in range(4000)).encode()
+    whole, = base.blocks([raw])
+    monkeypatch.setattr(base, "BLOCK_BYTES", 256)
+    monkeypatch.setattr(base, "stretches", lambda text, size=256, f=base.stretches: f(text, size))
+    cut = list(base.blocks([b"a b c", raw, None]))
+    assert [b.first for b in cut] == [0, 1, 2] and (cut[1].hashes == whole.hashes).all() and cut[1].ends.tolist() == [4000]
+    assert len(list(cut[1].window_parts(5))) > 10
+    for mine, theirs in zip(cut[1].windows(5), whole.windows(5)):
+        assert (mine == theirs).all()
+    gone = np.array([rng.random() < 0.3 for _ in range(4000)])
+    assert repeats.kept_words(raw, gone) == b" ".join(w for w, g in zip(raw.split(), gone) if not g)
+    assert repeats.kept_words(b" a  b\n", None) == b"a b" and repeats.kept_words(b"", None) == b""
+
+
+def test_a_text_of_200_mb_within_1_gb():
+    import tracemalloc
+
+    raw = b"words of some length and then more of them again " * 4_300_000
+    group = pa.table({"text": pa.array([raw], pa.large_binary()), "rest": pa.array([1])})
+    tracemalloc.start()
+    (block,) = base.blocks([raw])
+    keys = sum(len(hashes) for hashes, _ in block.window_parts(35))
+    assert keys == len(block.hashes) - 34 == 43_000_000 - 34
+    assert len(repeats.kept_words(raw, None)) == len(raw) - 1
+    assert tracemalloc.get_traced_memory()[1] < 1 << 30 and group.num_rows == 1
+    tracemalloc.stop()
+
+
+@pytest.mark.parametrize("terabytes", [0.0005, 1, 10, 100])
+def test_messages_keep_their_size(terabytes):
+    total = int(terabytes * 10**12)
+    lay = census.layout_for(total, 200, 8)
+    keys = total / census.WORD_BYTES
+    assert keys / lay.chunks / lay.buckets >= 32 or terabytes < 0.01
+    assert 45 * keys / lay.buckets < 3.5e9 and total / lay.chunks < 400e6
+
+
+def test_equal_rows_are_dealt_apart(spark, small_parts):
+    docs = spark.createDataFrame([(None, "one text " * 50)] * 3000 + [(i, f"other {i}") for i in range(300)], "doc_id bigint, text string")
+    lay = census.Layout(12, 3, 8)
+    sizes = [r["count"] for r in docs.select(census.chunk_of(lay, docs)).groupBy("chunk").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 3300 / 12
