@@ -3,15 +3,21 @@
 The tree is built level by level over all hosts at once. At each node a segment becomes a template part: numbers, ids and
 the like by their form; any segment, as ``*``, where a node has many different ones that each come up rarely; and
 sibling branches whose labelled rates do not differ by more than chance merge into one (``{+}``, ``{-}`` or ``{~}``, above,
-below or at their siblings' rate), as do those without a label (``{?}``), of which nothing says that they differ. A template is rejected when its purity, the share of bad labels
-smoothed towards ``PRIOR`` by ``STRENGTH`` imaginary labels, reaches ``REJECT``; without labels it never is.
+below or at their siblings' rate). Branches without a label join ``{~}`` where ``LEAST_ALIKE`` labelled siblings or more
+are all alike, and are ``{?}`` together elsewhere.
+
+Purities are smoothed down the tree. A node's rate is that of its labelled branches, each of which counts as one
+observation at most however many rows it has, and ``STRENGTH`` observations at the rate of the node above; above a host
+lies ``PRIOR``. A template's purity is the share of bad labels among its own and ``STRENGTH`` labels at the rate of the node
+it hangs from, so one without labels has what its siblings say. A template is rejected where its purity reaches ``REJECT``.
 
 Every level works on counts per host, template and segment, pre-aggregated from counts per distinct path, and is
-written to the shared folder. No host's paths are ever gathered.
+written to the shared folder. No host's paths are ever gathered; joins on a host's templates spread hot keys.
 
 Defined cases: a null url, or one without ``://``, has empty host and path and is judged by its template like others;
-repeated urls count each time; null ids are kept; paths deeper than ``DEPTH`` share their remaining segments as
-``{rest}``; an empty table gives an empty result.
+repeated urls count each time; null ids are kept; paths deeper than ``depth`` share their remaining segments as
+``{rest}``; a very long url is one value; columns other than the url and the id are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.base import staged
+from cartwright.operators.joins import lookup_join
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEPTH = 8
@@ -29,6 +36,9 @@ DEPTH = 8
 MOST_BRANCHES, LEAST_MEAN = 24, 8
 #: Labels a branch and its siblings need to be compared, and the standard errors by which rates differ beyond chance.
 LEAST_LABELS, CHANCE = 5, 2.0
+#: Labelled branches, none of which differs from the others, that a branch without labels joins.
+LEAST_ALIKE = 5
+#: The rate above all hosts, the observations that a rate above counts as, and the purity that rejects.
 PRIOR, STRENGTH, REJECT = 0.05, 2.0, 0.8
 
 
@@ -110,12 +120,14 @@ def _parts(branches: DataFrame) -> DataFrame:
     side = F.when(F.col("differs") > CHANCE, F.lit("{+}")).when(F.col("differs") < -CHANCE, F.lit("{-}")).when(
         F.col("differs").isNotNull(), F.lit("{~}")).otherwise(F.lit("few"))
     sided = _against_rest(_against_rest(branches, node).withColumn("side", side).drop("differs"), [*node, "side"])
+    alike = sided.groupBy(*node).agg(F.count_if(F.col("side") == "{~}").alias("alike"), F.count_if(F.col("side").isin("{+}", "{-}")).alias("apart"))
+    one_kind = (F.col("alike") >= LEAST_ALIKE) & (F.col("apart") == 0)
     part = (F.when((F.col("branches") > MOST_BRANCHES) & (F.col("all_n") < LEAST_MEAN * F.col("branches")), F.lit("*"))
             .when(F.col("branches") == 1, F.col("segment"))
-            .when(F.col("bad") + F.col("good") == 0, F.lit("{?}"))
+            .when(F.col("bad") + F.col("good") == 0, F.when(one_kind, F.lit("{~}")).otherwise(F.lit("{?}")))
             .when((F.col("side") != "few") & (F.abs("differs") <= CHANCE), F.col("side"))
             .otherwise(F.col("segment")))
-    return sided.join(nodes, node).select(*node, "segment", part.alias("part"))
+    return sided.join(nodes, node).join(alike, node).select(*node, "segment", part.alias("part"))
 
 
 def templates(labelled: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -133,18 +145,40 @@ def templates(labelled: DataFrame, depth: int = DEPTH) -> DataFrame:
             segment = F.when(F.size(segments) > depth, F.lit("{rest}")).otherwise(segment)
         live = state.where(longer).withColumn("segment", segment)
         branches = live.groupBy("host", "template", "segment").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "good")])
-        stepped = live.join(_parts(branches), ["host", "template", "segment"]).withColumn(
-            "template", F.concat("template", F.lit("/"), "part"))
+        stepped = lookup_join(live, _parts(branches), ["host", "template", "segment"], "inner", live.select("host", "template", "segment"),
+                              ["host", "path"]).withColumn("template", F.concat("template", F.lit("/"), "part"))
         state = staged(stepped.select(*state.columns).unionByName(state.where(~longer)), "paths")
-    purity = (F.col("bad") + STRENGTH * PRIOR) / (F.col("bad") + F.col("good") + STRENGTH)
-    of_template = state.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).withColumn("purity", purity)
-    return state.select("host", "path", "template").join(of_template, ["host", "template"])
-
-
-def judged(urls: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", id_: str = "page_id") -> DataFrame:
+    of_template = purities(state.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
+    return lookup_join(state.select("host", "path", "template"), of_template, ["host", "template"], "inner",
+                       state.select("host", "template"), ["path"])
+
+
+def purities(leaves: DataFrame) -> DataFrame:
+    """``host, template, bad, good`` with ``purity``, smoothed down the tree."""
+    parts = F.split("template", "/", -1)
+    depth = F.size(parts) - 1  # a template is empty or starts with a slash
+    prefix = lambda level: F.array_join(F.slice(parts, 1, level + 1), "/")
+    # A template's labels count at every node above it, as part of the branch that leads there; at its own node it is a branch.
+    steps = leaves.select("host", "bad", "good", F.explode(F.transform(F.sequence(F.lit(0), depth), lambda level: F.struct(
+        prefix(level).alias("node"), F.when(level < depth, prefix(level + 1)).alias("branch")))).alias("at"))
+    branches = steps.select("host", "at.*", "bad", "good").groupBy("host", "node", "branch").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    labels = F.col("bad") + F.col("good")
+    heard = F.when(labels > 0, labels / (labels + STRENGTH)).otherwise(F.lit(0.0))
+    nodes = branches.groupBy("host", "node").agg(
+        F.sum(heard).alias("heard"), F.sum(F.when(labels > 0, heard * F.col("bad") / labels).otherwise(F.lit(0.0))).alias("heard_bad"))
+    above = leaves.select("host", "template", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(depth - 1, F.lit(0))), prefix)).alias("level", "node"))
+    rates = lookup_join(above, nodes, ["host", "node"], "inner", above.select("host", "node"), ["template"]).groupBy("host", "template").agg(
+        F.array_sort(F.collect_list(F.struct("level", "heard", "heard_bad"))).alias("path_rates"))
+    rate = F.aggregate("path_rates", F.lit(PRIOR), lambda above, at: (at["heard_bad"] + STRENGTH * above) / (at["heard"] + STRENGTH))
+    return leaves.join(rates, ["host", "template"]).withColumn(
+        "purity", (F.col("bad") + STRENGTH * rate) / (F.col("bad") + F.col("good") + STRENGTH)).drop("path_rates")
+
+
+def judged(urls: DataFrame, rules: tuple[Rule, ...] = RULES, url: str = "url", id_: str = "page_id", depth: int = DEPTH) -> DataFrame:
     """Per url: the id, host, path, rule, verdict, template and purity. The rules' own verdicts are the tree's labels."""
-    rows = decided(urls.select(id_, url), rules, url)
-    tree = staged(templates(rows.select("host", "path", (F.col("ruled") == "block").alias("bad"))), "templates")
+    rows = decided(urls.select(F.col(f"`{id_}`").alias("id"), F.col(f"`{url}`").alias("url")), rules)
+    tree = staged(templates(rows.select("host", "path", (F.col("ruled") == "block").alias("bad")), depth), "templates")
     method = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.join(tree.select("host", "path", "template", "purity"), ["host", "path"]).select(
-        id_, "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "template", "purity")
+    met = lookup_join(rows, tree.select("host", "path", "template", "purity"), ["host", "path"], "inner", rows.select("host", "path"), ["id", "url"])
+    return met.select(F.col("id").alias(id_), "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "template", "purity")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter
 
 import duckdb
@@ -75,6 +76,123 @@ def plainly(url):
     return host, path, max(fits, key=len, default=None)
 
 
+def naive_shape(segment):
+    if m := re.fullmatch(r"[0-9]+(\.[A-Za-z0-9]{1,5})?", segment):
+        return "{n}" + (m[1] or "")
+    if re.fullmatch(r"[0-9]{4}-[0-9]{2}(-[0-9]{2})?", segment):
+        return "{date}"
+    if re.search("[0-9]", segment) and re.fullmatch(r"[0-9A-Fa-f-]{8,}", segment):
+        return "{id}"
+    return "=" + segment if segment[:1] in ("*", "{", "=") and segment else segment
+
+
+def naive_against(branches):
+    """How far each branch (bad, good) is from the others together, in standard errors; None where that cannot be told."""
+    out = {}
+    for name, (bad, good) in branches.items():
+        others = [v for k, v in branches.items() if k != name]
+        ob, og = sum(b for b, _ in others), sum(g for _, g in others)
+        if bad + good < url_tree.LEAST_LABELS or ob + og < url_tree.LEAST_LABELS:
+            out[name] = None
+            continue
+        pooled = (bad + ob) / (bad + good + ob + og)
+        spread = (pooled * (1 - pooled) * (1 / (bad + good) + 1 / (ob + og))) ** 0.5
+        out[name] = (bad / (bad + good) - ob / (ob + og)) / spread if spread else 0.0
+    return out
+
+
+def naive_parts(rows):
+    """Branch name to template part at one node, from (segment, bad) of its rows."""
+    counts = {}
+    for segment, bad in rows:
+        c = counts.setdefault(segment, [0, 0, 0])
+        c[0] += 1
+        if bad is not None:
+            c[1 if bad else 2] += 1
+    if len(counts) > url_tree.MOST_BRANCHES and len(rows) < url_tree.LEAST_MEAN * len(counts):
+        return dict.fromkeys(counts, "*")
+    if len(counts) == 1:
+        return {k: k for k in counts}
+    labels = {k: (c[1], c[2]) for k, c in counts.items()}
+    side = {k: "few" if z is None else "{+}" if z > url_tree.CHANCE else "{-}" if z < -url_tree.CHANCE else "{~}"
+            for k, z in naive_against(labels).items()}
+    out, sides = {}, list(side.values())
+    alike = sides.count("{~}") >= url_tree.LEAST_ALIKE and not {"{+}", "{-}"} & set(sides)
+    for k in counts:
+        z = naive_against({j: labels[j] for j in counts if side[j] == side[k]})[k]
+        out[k] = ("{~}" if alike else "{?}") if not sum(labels[k]) else side[k] if side[k] != "few" and z is not None and abs(z) <= url_tree.CHANCE else k
+    return out
+
+
+def naive_tree(rows, depth=url_tree.DEPTH):
+    """(host, path) to template and purity, from (host, path, verdict or None), one node after the other."""
+    state = [[h, [] if p == "" else p[1:].split("/"), "", None if v is None else v == "block", p] for h, p, v in rows]
+    for level in range(depth):
+        nodes = {}
+        for r in state:
+            if len(r[1]) > level:
+                segment = "{rest}" if level == depth - 1 and len(r[1]) > depth else naive_shape(r[1][level])
+                nodes.setdefault((r[0], r[2]), []).append((r, segment))
+        for members in nodes.values():
+            parts = naive_parts([(segment, r[3]) for r, segment in members])
+            for r, segment in members:
+                r[2] += "/" + parts[segment]
+    leaves = {}
+    for h, _, t, bad, _ in state:
+        c = leaves.setdefault((h, t), [0, 0])
+        if bad is not None:
+            c[0 if bad else 1] += 1
+
+    def rate(host, node):
+        """A node's rate: its labelled branches, one observation each at most, and the rate above."""
+        above = url_tree.PRIOR if node == "" else rate(host, node.rpartition("/")[0])
+        branches = {}
+        for (h, t), (bad, good) in leaves.items():
+            if h == host and (t == node or t.startswith(node + "/")):
+                name = t[len(node):].split("/")[1] if t != node else None
+                b = branches.setdefault(name, [0, 0])
+                b[0], b[1] = b[0] + bad, b[1] + good
+        heard = {k: (b + g) / (b + g + url_tree.STRENGTH) for k, (b, g) in branches.items() if b + g}
+        bad = sum(w * branches[k][0] / sum(branches[k]) for k, w in heard.items())
+        return (bad + url_tree.STRENGTH * above) / (sum(heard.values()) + url_tree.STRENGTH)
+
+    out = {}
+    for h, _, t, _, path in state:
+        bad, good = leaves[h, t]
+        out[h, path] = t, (bad + url_tree.STRENGTH * rate(h, t.rpartition("/")[0])) / (bad + good + url_tree.STRENGTH)
+    return out
+
+
+def test_templates_and_purities_like_a_naive_tree(spark, small_parts):
+    rng = random.Random(8)
+    rows = []
+    for host in ("a", "b", "c"):
+        for _ in range(400):
+            path = "/" + "/".join(rng.choice(["ads", "news", "x1", str(rng.randrange(50)), f"p{rng.randrange(60)}", "*s", "2024-05", "0123abcdef"])
+                                  for _ in range(rng.randrange(0, 5)))
+            bad = None if rng.random() < 0.5 else ("ads" in path) != (rng.random() < 0.1)
+            rows.append((host, path if rng.random() < 0.95 else "", bad))
+    got = url_tree.templates(spark.createDataFrame(rows, "host string, path string, bad boolean"), 4).collect()
+    wanted = naive_tree([(h, p, None if b is None else "block" if b else "allow") for h, p, b in rows], 4)
+    assert {(r["host"], r["path"]): (r["template"], round(r["purity"], 9)) for r in got} == {
+        k: (t, round(p, 9)) for k, (t, p) in wanted.items()}
+    assert len({round(p, 6) for _, p in wanted.values()}) > 20
+
+
+def test_bad_siblings_reject_an_unruled_path(spark, small_parts):
+    """Ten bad sections say enough about an eleventh; one does not, nor do ten that disagree."""
+    urls = [(f"http://{host}/s{k}/{i}",) for host in ("all", "some") for k in range(10) for i in range(12)]
+    urls += [("http://one/s0/1",)] * 50 + [(f"http://{host}/new/page",) for host in ("all", "some", "one", "none")]
+    rules = (url_tree.Rule("block", "all/s"), url_tree.Rule("block", "one/s"),
+             *[url_tree.Rule("block" if k % 2 else "allow", f"some/s{k}") for k in range(10)])
+    frame = spark.createDataFrame([(i, *u) for i, u in enumerate(urls)], "page_id bigint, url string")
+    got = {r["host"]: r for r in url_tree.judged(frame, rules).where("path = '/new/page'").collect()}
+    assert {h: (r["rule"], r["verdict"]) for h, r in got.items()} == {
+        "all": (None, "block"), "some": (None, "allow"), "one": (None, "allow"), "none": (None, "allow")}
+    assert got["all"]["purity"] > got["some"]["purity"] > got["none"]["purity"] < got["one"]["purity"] < got["all"]["purity"]
+    assert got["none"]["purity"] == pytest.approx(url_tree.PRIOR)
+
+
 def test_hosts_paths_and_rules(spark, small_parts):
     rows = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(URLS)], "page_id bigint, url string, host string, n int")
     got = {r["page_id"]: r for r in url_tree.judged(rows).collect()}
@@ -82,7 +200,13 @@ def test_hosts_paths_and_rules(spark, small_parts):
     for i, url in enumerate(URLS):
         host, path, rule = plainly(url)
         assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule), url
-        assert got[i]["verdict"] == verdicts.get(rule, "allow")
+        if rule:
+            assert got[i]["verdict"] == verdicts[rule]
+    naive = naive_tree([(plainly(u)[0], plainly(u)[1], verdicts.get(plainly(u)[2])) for u in URLS])
+    for i, url in enumerate(URLS):
+        host, path, rule = plainly(url)
+        assert (got[i]["template"], got[i]["purity"]) == (naive[host, path][0], pytest.approx(naive[host, path][1]))
+        assert got[i]["verdict"] == (verdicts[rule] if rule else "block" if naive[host, path][1] >= url_tree.REJECT else "allow")
     assert url_tree.judged(rows.limit(0)).count() == 0
 
 
