@@ -6,8 +6,8 @@ sibling branches whose labelled rates do not differ by more than chance merge in
 below or at their siblings' rate). Branches without a label join ``{~}`` where ``LEAST_ALIKE`` labelled siblings or more
 are all alike, and are ``{?}`` together elsewhere.
 
-Purities are smoothed down the tree. A node's rate is that of its labelled branches, each of which counts as one
-observation at most however many rows it has, and ``STRENGTH`` observations at the rate of the node above; above a host
+Purities are smoothed down the tree. A node's rate is that of the labelled segments below it, merged or not, each of which
+counts as one observation at most however many rows it has, and ``STRENGTH`` observations at the rate of the node above; above a host
 lies ``PRIOR``. A template's purity is the share of bad labels among its own and ``STRENGTH`` labels at the rate of the node
 it hangs from, so one without labels has what its siblings say. A template is rejected where its purity reaches ``REJECT``.
 
@@ -148,28 +148,30 @@ def templates(labelled: DataFrame, depth: int = DEPTH) -> DataFrame:
         stepped = lookup_join(live, _parts(branches), ["host", "template", "segment"], "inner", live.select("host", "template", "segment"),
                               ["host", "path"]).withColumn("template", F.concat("template", F.lit("/"), "part"))
         state = staged(stepped.select(*state.columns).unionByName(state.where(~longer)), "paths")
-    of_template = purities(state.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
-    return lookup_join(state.select("host", "path", "template"), of_template, ["host", "template"], "inner",
+    return lookup_join(state.select("host", "path", "template"), purities(state), ["host", "template"], "inner",
                        state.select("host", "template"), ["path"])
 
 
-def purities(leaves: DataFrame) -> DataFrame:
-    """``host, template, bad, good`` with ``purity``, smoothed down the tree."""
+def purities(paths: DataFrame) -> DataFrame:
+    """``host, template, bad, good, purity`` from ``paths (host, path, template, bad, good)``, smoothed down the tree."""
+    leaves = paths.groupBy("host", "template").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     parts = F.split("template", "/", -1)
     depth = F.size(parts) - 1  # a template is empty or starts with a slash
     prefix = lambda level: F.array_join(F.slice(parts, 1, level + 1), "/")
-    # A template's labels count at every node above it, as part of the branch that leads there; at its own node it is a branch.
-    steps = leaves.select("host", "bad", "good", F.explode(F.transform(F.sequence(F.lit(0), depth), lambda level: F.struct(
-        prefix(level).alias("node"), F.when(level < depth, prefix(level + 1)).alias("branch")))).alias("at"))
-    branches = steps.select("host", "at.*", "bad", "good").groupBy("host", "node", "branch").agg(
+    # At every node on its way, and at its own, a path speaks for the segment that it goes on with there.
+    heads = F.split("path", "/", -1)
+    steps = paths.where(F.col("bad") + F.col("good") > 0).select("host", "bad", "good", F.explode(F.transform(
+        F.sequence(F.lit(0), depth), lambda level: F.struct(
+            prefix(level).alias("node"), F.when(level < depth, F.get(heads, level + 1)).alias("segment")))).alias("at"))
+    branches = steps.select("host", "at.*", "bad", "good").groupBy("host", "node", "segment").agg(
         F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     labels = F.col("bad") + F.col("good")
-    heard = F.when(labels > 0, labels / (labels + STRENGTH)).otherwise(F.lit(0.0))
+    heard = labels / (labels + STRENGTH)
     nodes = branches.groupBy("host", "node").agg(
-        F.sum(heard).alias("heard"), F.sum(F.when(labels > 0, heard * F.col("bad") / labels).otherwise(F.lit(0.0))).alias("heard_bad"))
+        F.sum(heard).alias("heard"), F.sum(heard * F.col("bad") / labels).alias("heard_bad"))
     above = leaves.select("host", "template", F.posexplode(F.transform(F.sequence(F.lit(0), F.greatest(depth - 1, F.lit(0))), prefix)).alias("level", "node"))
-    rates = lookup_join(above, nodes, ["host", "node"], "inner", above.select("host", "node"), ["template"]).groupBy("host", "template").agg(
-        F.array_sort(F.collect_list(F.struct("level", "heard", "heard_bad"))).alias("path_rates"))
+    rates = lookup_join(above, nodes, ["host", "node"], "left", above.select("host", "node"), ["template"]).groupBy("host", "template").agg(
+        F.array_sort(F.collect_list(F.struct("level", F.coalesce("heard", F.lit(0.0)).alias("heard"), F.coalesce("heard_bad", F.lit(0.0)).alias("heard_bad")))).alias("path_rates"))
     rate = F.aggregate("path_rates", F.lit(PRIOR), lambda above, at: (at["heard_bad"] + STRENGTH * above) / (at["heard"] + STRENGTH))
     return leaves.join(rates, ["host", "template"]).withColumn(
         "purity", (F.col("bad") + STRENGTH * rate) / (F.col("bad") + F.col("good") + STRENGTH)).drop("path_rates")
