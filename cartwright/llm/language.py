@@ -4,12 +4,15 @@ Each language's dictionary is raw content: excerpts of texts known to be in it.
 segment is compressed once per dictionary, and the language with the smallest sum of sizes wins; what a narrow margin to
 the runner-up leaves in doubt is marked in ``accepted``.
 
-Bounds: a dictionary takes excerpts of ``EXCERPT`` characters of about ``EXCERPTS`` documents per language, chosen by a
-hash of the id, and ``DICTIONARY`` bytes at most; every text is folded and compressed whole, where it lies, without a shuffle.
+Bounds: a dictionary takes excerpts of ``EXCERPT`` characters from about ``EXCERPTS`` documents per language, as many as it
+has room for. Documents are chosen by a hash of id and text and an excerpt's place in its text by another, so a text
+counts in all its length and repeated rows count once. What reaches the driver is ``DICTIONARY`` bytes per language. Every
+text is folded and compressed whole, where it lies, without a shuffle; a very long one takes a few times its size.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0; equal sizes go to the language with more
 rows to learn from, then to the first name; null languages are not learned; a null id counts as held out; with nothing
-to learn from all is ``und``; an empty table gives an empty result.
+to learn from all is ``und``; columns named like a result give way to it; an empty table gives an empty result. Every distinct
+language is learned, each for a dictionary in every worker.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import functions as F
 from cartwright.llm.base import rest_of, texts, unrest
 from cartwright.llm.toxicity import fold
 
-EXCERPTS = 640
+EXCERPTS = 230
 EXCERPT = 300
 DICTIONARY = 64 << 10
 SEGMENT = 4 << 10
@@ -50,14 +53,15 @@ def learn(docs: DataFrame, seed: int = 0) -> dict[str, bytes]:
     counts = known.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").collect()
     if not counts:
         return {}
-    share = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    share = F.pmod(F.xxhash64("id", "text", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     parts = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(EXCERPTS / r["count"]))])
-    taken = (known.where(share < parts[F.col("lang")]).select("lang", share.alias("at"), F.substring("text", 1, EXCERPT).alias("t"))
-             .orderBy("lang", "at", "t").collect())
+    place = F.pmod(F.xxhash64("text", "id", F.lit(seed + 1)), F.greatest(F.lit(1), F.length("text") - EXCERPT + 1)).cast("int") + 1
+    taken = (known.where(share < parts[F.col("lang")]).select("lang", share.alias("at"), F.col("text").substr(place, F.lit(EXCERPT)).alias("t"))
+             .distinct().orderBy("lang", "at", "t").collect())
     found = {}
     for row in counts:
         mine = [r["t"] for r in taken if r["lang"] == row["lang"]]
-        content = folded("\n".join(mine).encode())[-DICTIONARY:]
+        content = folded("\n".join(mine).encode())[-DICTIONARY:]  # the last bytes if a few too many were drawn
         if len(content) >= 8:
             found[row["lang"]] = content
     return found
@@ -116,4 +120,4 @@ def languages(docs: DataFrame, text: str = "text", id_: str = "doc_id", lang: st
     known = docs.select(F.col(f"`{id_}`").alias("id"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
     dictionaries = learn(known.where(F.col("id").isNotNull() & (fold("id", 4) != 2)))
     held_out = F.coalesce(fold(id_, 4) == 2, F.lit(True))
-    return identify(docs.select(id_, held_out.alias("held_out"), F.col(f"`{text}`").alias("text")), dictionaries)
+    return identify(docs.select(F.col(f"`{id_}`"), held_out.alias("held_out"), F.col(f"`{text}`").alias("text")), dictionaries)

@@ -4,13 +4,17 @@ An archive is one file: a skippable frame with the dictionary, trained on record
 frame per record, so any record can be read on its own and none is copied to be read. Of records with equal payloads of
 at least ``LEAST_SHARED`` bytes, the one with the smallest id is a response and the others are revisits that refer to it.
 
-Spark's own text writer makes the files, a frame per line, with task commit on any file system: its line separator is
-an empty skippable frame, which readers pass over. An archive is a task's rows; the dictionary is trained on its first
-``SAMPLE_BYTES`` of records (rows lie in no order), and is left out where those are too few to train on.
+Spark's own text writer makes the files, with task commit on any file system: a line is a run of whole frames, and the line
+separator is an empty skippable frame, which readers pass over. A file ends after ``LINES`` lines. An archive that reaches
+its size in bytes before is filled up with empty lines, so the next one begins a file of its own, with its own dictionary:
+no archive is larger than ``ARCHIVE_BYTES`` by more than a line (or a single larger record), however large a task is. The
+dictionary is trained on the first ``SAMPLE_BYTES`` of an archive's records (rows lie in no order), and is left out where
+those are too few to train on.
 
 Defined cases: a null payload is empty; a null url gives no target header, control characters in one are percent-coded;
 a null id is written and read back as null and refers to the smallest id like others; rows equal in id and payload are
-each a response if their id is the smallest; an empty table gives no records.
+each a response if their id is the smallest; a very long page is a record, and may be an archive, of its own; other columns
+are ignored; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -18,7 +22,8 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -26,9 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm.base import texts
+from cartwright.operators.joins import lookup_join
 
 LEAST_SHARED = 100
 SAMPLE_BYTES = 4 << 20
+#: Bytes at which an archive is closed, and lines of a file. A line is closed at so many bytes that half of the lines do.
+ARCHIVE_BYTES = 128 << 20
+LINES = 512
 DICTIONARY_BYTES = 64 << 10
 LEAST_SAMPLES = 8
 LEVEL = 3
@@ -80,41 +89,58 @@ def _records(batch: pa.RecordBatch, numbered: Iterator[int]) -> Iterator[bytes]:
         yield record(name, url, payload, digest, len(payload), first, revisit)
 
 
-def _frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The frames of one archive."""
-    numbered = iter(range(1 << 62))
-    stream = (list(_records(b, numbered)) for b in batches)
-    held, size = [], 0
-    for some in stream:
-        held.append(some)
-        size += sum(map(len, some))
+def _archives(records: Iterator[bytes], archive_bytes: int) -> Iterator[list[bytes]]:
+    """The lines of one archive after the other, a few at a time; all but the last archive have ``LINES``."""
+    held: deque[bytes] = deque()
+    while True:
+        size = sum(map(len, held))
+        while size < SAMPLE_BYTES and (one := next(records, None)) is not None:
+            held.append(one)
+            size += len(one)
+        if not held:
+            return
+        made = train(_first(held))
+        line, size, lines, written = [struct.pack("<II", DICTIONARY_MAGIC, len(made)) + made] if made else [], 0, 0, 0
+        compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=made and zstandard.ZstdCompressionDict(made))
+        while written < archive_bytes and (one := held.popleft() if held else next(records, None)) is not None:
+            line.append(compressor.compress(one))
+            size += len(line[-1])
+            if size >= archive_bytes // (LINES // 2):
+                yield [b"".join(line)]
+                line, size, lines, written = [], 0, lines + 1, written + size
+        if line:
+            yield [b"".join(line)]
+            lines += 1
+        if not held and (one := next(records, None)) is not None:
+            held.append(one)
+        if held:
+            yield [b""] * (LINES - lines)
+
+
+def _first(records: Iterable[bytes]) -> list[bytes]:
+    """The first ``SAMPLE_BYTES`` of records."""
+    taken, size = [], 0
+    for one in records:
         if size >= SAMPLE_BYTES:
             break
-    if not size:
-        return
-    samples, taken = [], 0
-    for one in (r for some in held for r in some):
-        if taken >= SAMPLE_BYTES:
-            break
-        samples.append(one)
-        taken += len(one)
-    made = train(samples)
-    del samples
-    if made:
-        yield _batch([struct.pack("<II", DICTIONARY_MAGIC, len(made)) + made])
-    compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=made and zstandard.ZstdCompressionDict(made))
-    while held:
-        yield _batch([compressor.compress(r) for r in held.pop(0)])
-    for some in stream:
-        yield _batch([compressor.compress(r) for r in some])
+        taken.append(one)
+        size += len(one)
+    return taken
+
+
+def _frames(batches: Iterator[pa.RecordBatch], archive_bytes: int) -> Iterator[pa.RecordBatch]:
+    numbered = iter(range(1 << 62))
+    for lines in _archives((r for b in batches for r in _records(b, numbered)), archive_bytes):
+        yield _batch(lines)
 
 
 def _batch(frames: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], ["frame"])
 
 
-def write_archives(pages: DataFrame, path: str, id_: str = "page_id", url: str = "url", payload: str = "html") -> None:
-    """Write a record per row of ``pages`` into archives below ``path``."""
+def write_archives(pages: DataFrame, path: str, id_: str = "page_id", url: str = "url", payload: str = "html",
+                   archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Write a record per row of ``pages`` into archives of about ``archive_bytes`` below ``path``."""
     body = F.coalesce(F.col(f"`{payload}`"), F.lit("")).alias("payload")
     whole = pages.select(F.col(f"`{id_}`").cast("bigint").alias("id"), F.col(f"`{url}`").alias("url"), body).withColumn(
         "digest", F.sha2(F.col("payload").cast("binary"), 256))
@@ -122,11 +148,12 @@ def write_archives(pages: DataFrame, path: str, id_: str = "page_id", url: str =
     shared = narrow.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first IS NOT NULL")
     # Only rows of shared payloads meet their payload's first id; the pages follow by a key that is never null or hot.
     key = F.xxhash64("id", "digest").alias("key")
-    of_row = narrow.join(shared.select("digest", "first"), "digest").select(key, "first").distinct()
+    of_row = lookup_join(narrow, shared.select("digest", "first"), "digest", "inner", narrow.select("digest"), ["id"]).select(
+        key, "first").distinct()
     frames = (whole.withColumn("key", key).join(of_row, "key", "left").select("id", "url", "payload", "digest", "first")
-              .mapInArrow(_frames, "frame binary"))
+              .mapInArrow(lambda batches: _frames(batches, archive_bytes), "frame binary"))
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", EMPTY_FRAME).option(
-        "compression", "none").option("maxRecordsPerFile", 0).text(path)
+        "compression", "none").option("maxRecordsPerFile", LINES).text(path)
 
 
 # ---- reading --------------------------------------------------------------------------------------

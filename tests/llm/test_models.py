@@ -93,3 +93,38 @@ def test_languages_defined_cases(spark, small_parts):
     nothing = language.languages(spark.createDataFrame([(1, "abc", None)], ddl)).collect()
     assert (nothing[0]["lang_pred"], nothing[0]["score"]) == ("und", 0.0)
     assert language.languages(spark.createDataFrame([], ddl)).count() == 0
+
+
+def test_sizes_like_one_compressor_after_the_other():
+    """Every dictionary by itself on every segment, with the library's plain calls; the smallest sum wins."""
+    import zstandard
+
+    rng = random.Random(3)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    dictionaries = {name: language.folded(" ".join(word(letters) for _ in range(3000)).encode()) for name, letters in
+                    (("aa", "abcdefgh"), ("mm", "ghijklmn"), ("zz", "mnopqrst"))}
+    for n in (3, 60, 3000):
+        for letters in ("abcdefgh", "hijklmn", "opqrst", "abst"):
+            raw = language.folded(" ".join(word(letters) for _ in range(n)).encode())
+            naive = {}
+            for name, content in dictionaries.items():
+                total = 0
+                for at in range(0, len(raw), language.SEGMENT):
+                    plain = zstandard.ZstdCompressor(level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(
+                        content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
+                    total += len(plain.compress(raw[at:at + language.SEGMENT]))
+                naive[name] = total
+            assert language.Sizer(dictionaries).sizes(raw) == list(naive.values())
+
+
+def test_language_is_learned_from_whole_texts_and_repeated_rows_once(spark, small_parts):
+    """The start of every text is the same; only what follows tells the languages apart."""
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    start = "this is how every page begins " * 40
+    rows = [(i, start + " ".join(word("abcdef" if i % 2 else "uvwxyz") for _ in range(900)), "aa" if i % 2 else "zz") for i in range(300)]
+    rows += [(rows[4][0], rows[4][1], "zz")] * 2000
+    ddl = "doc_id bigint, text string, lang string"
+    dictionaries = language.learn(spark.createDataFrame(rows, ddl).withColumnRenamed("doc_id", "id"))
+    assert set(dictionaries) == {"aa", "zz"} and sum(c in b"uvwxyz" for c in dictionaries["zz"]) > len(dictionaries["zz"]) / 3
+    assert len(dictionaries["zz"].split()) > 0 and all(len(d) <= language.DICTIONARY for d in dictionaries.values())

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import glob
 import hashlib
+import random
 
 import pytest
 import zstandard
@@ -73,3 +74,33 @@ def test_empty_table_and_very_long_page(spark, small_parts, tmp_path):
     assert round_trip(spark, tmp_path / "a", [])[1] == {}
     long = "long page " * 600_000
     assert round_trip(spark, tmp_path / "b", [(1, "u", long)])[1][1]["payload_bytes"] == len(long)
+
+
+def test_archives_of_a_stated_size(spark, small_parts, tmp_path):
+    """Many archives from few tasks: each small, each readable alone, with the dictionary in its leading frame."""
+    rng, path, limit = random.Random(2), str(tmp_path / "warc"), 60_000
+    words = [f"w{rng.getrandbits(40):x}" for _ in range(5000)]
+    rows = [(i, f"http://h/{i}", "<html>" + " ".join(rng.choice(words) for _ in range(rng.randrange(20, 400))) + "</html>") for i in range(3000)]
+    rows.append((5000, "u", " ".join(f"{rng.getrandbits(64):x}" for _ in range(20_000))))  # larger than an archive
+    warc.write_archives(pages(spark, rows).coalesce(2), path, archive_bytes=limit)
+    files = [open(f, "rb").read() for f in glob.glob(f"{path}/part-*")]
+    files = [f for f in files if f]
+    assert len(files) > 20
+    seen = []
+    for data in files:
+        assert int.from_bytes(data[:4], "little") == warc.DICTIONARY_MAGIC or len(data) < 5000
+        records = [warc.parsed(r)["id"] for r in warc.frames(memoryview(data))]
+        assert len(data) < limit + (64 << 10) + 8 * warc.LINES + limit // 128 + 4000 or 5000 in records
+        seen += records
+    assert sorted(seen) == sorted(i for i, *_ in rows)
+    got = {r["page_id"]: r["payload_digest"] for r in warc.read_archives(spark, path).collect()}
+    assert got == {i: hashlib.sha256(h.encode()).hexdigest() for i, _, h in rows}
+
+
+def test_frames_pass_through_text_unchanged(spark, tmp_path):
+    """The writer relies on this: text that is no UTF-8 is written as it is."""
+    raw = bytes(range(256)).replace(b"\n", b"") * 3
+    frame = spark.createDataFrame([(bytearray(raw),)], "frame binary").coalesce(1)
+    frame.selectExpr("CAST(frame AS STRING) AS value").write.option("lineSep", warc.EMPTY_FRAME).text(str(tmp_path / "raw"))
+    (file,) = glob.glob(f"{tmp_path}/raw/part-*")
+    assert open(file, "rb").read() == raw + warc.EMPTY_FRAME.encode("latin-1")
