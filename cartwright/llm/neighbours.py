@@ -10,8 +10,9 @@ probability 1 - t/pi, hence in a prefix of l signs in one of n trees with 1 - (1
 ``LIKELY`` at the angle of the query's k-th candidate. Near neighbours end the ascent early; where all are about as far
 as each other it ends near the root, which is then close to a scan of the block.
 
-Each block meets the queries in blocks too, so a task holds ``BLOCK`` vectors and ``QUERIES`` queries at most. The
-centre is the mean of a hash sample of about ``SAMPLE`` vectors.
+Each block meets the queries in parts, so a task holds ``BLOCK`` vectors and ``PART`` queries at most; it builds the
+block's forest once and searches ``QUERIES`` at a time. A vector is copied once per part: the number of copies is that of
+the queries over ``PART``. The centre is the mean of a hash sample of about ``SAMPLE`` vectors.
 
 Defined cases: vectors that are null, all zeros, of another length than most (the smaller, if two lengths tie), or hold
 a null or non-finite component take no part, nor do null ids; equal distances go to the smaller id; a query never
@@ -33,6 +34,7 @@ BITS = 64
 LIKELY = 0.95
 BLOCK = 8_192
 QUERIES = 2_048
+PART = 1 << 17
 SAMPLE = 4_096
 #: Candidates with which the ascent begins.
 FIRST = 64
@@ -137,7 +139,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_: str = "vec_id", vect
     rows = staged(usable(vectors, id_, vector), "vectors")
     asked = rows.where(is_query)
     n, n_queries = rows.count(), asked.count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // QUERIES))
+    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // PART))
     share = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(share < SAMPLE / max(1, n)).select("v").toArrow()["v"]
     centre = _matrix(sample).mean(axis=0) if len(sample) else None
@@ -147,8 +149,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_: str = "vec_id", vect
             return _FOUND.empty_table()
         held = _matrix(block["v"])
         forest = Forest(held, np.zeros(held.shape[1]) if centre is None else centre, trees, seed)
-        return pa.table([pa.array(x) for x in search(
-            forest, block["id"].to_numpy(), _matrix(queries["v"]), queries["id"].to_numpy(), k)], schema=_FOUND)
+        ids, asked_v, asked_ids = block["id"].to_numpy(), _matrix(queries["v"]), queries["id"].to_numpy()
+        parts = [search(forest, ids, asked_v[i:i + QUERIES], asked_ids[i:i + QUERIES], k) for i in range(0, len(asked_ids), QUERIES)]
+        return pa.table([pa.array(np.concatenate(side)) for side in zip(*parts)], schema=_FOUND)
 
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
     dealt = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), every(query_blocks).alias("part"))

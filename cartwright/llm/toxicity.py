@@ -6,10 +6,11 @@ loss as negatives is taken out again, never below zero. The prior is the share o
 from. A text's features are the words it holds (lower case, punctuation apart), of which those whose document
 frequencies in P and U differ beyond chance are kept, by 64-bit hash, so rare words never share a feature.
 
-Bounds: P and U are hash samples of at most about ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` documents and at most
-``MOST_WORDS`` words are kept, whatever the corpus; every text is scored, whole, where it lies, without a shuffle.
+Bounds: P and U are hash samples of the ids of at most about ``MOST_POSITIVE`` and ``MOST_UNLABELLED`` documents, near copies
+once, and at most ``MOST_WORDS`` words are kept. An id is expected to name one document: rows that share an id and differ are
+drawn together. Every text is scored, whole, where it lies, without a shuffle.
 
-Defined cases: null and empty texts have no features and get the bias's score; a null id counts as held out; repeated
+Defined cases: columns named like a result give way to it; null and empty texts have no features and get the bias's score; a null id counts as held out; repeated
 label rows count once, as toxic if any says so; null labels are none; without a toxic label every score is 0; an empty
 table gives an empty result.
 """

@@ -128,3 +128,56 @@ def test_language_is_learned_from_whole_texts_and_repeated_rows_once(spark, smal
     dictionaries = language.learn(spark.createDataFrame(rows, ddl).withColumnRenamed("doc_id", "id"))
     assert set(dictionaries) == {"aa", "zz"} and sum(c in b"uvwxyz" for c in dictionaries["zz"]) > len(dictionaries["zz"]) / 3
     assert len(dictionaries["zz"].split()) > 0 and all(len(d) <= language.DICTIONARY for d in dictionaries.values())
+
+
+def test_training_like_a_plain_descent_on_the_risk():
+    """The same steps with the risk as written and its slopes by differences, on dense features."""
+    rng = np.random.default_rng(5)
+    width, prior = 4, 0.3
+    lists = lambda n, p: [np.flatnonzero(rng.random(width) < p) for _ in range(n)]
+    positive, unlabelled = lists(9, 0.6), lists(40, 0.3)
+    dense = lambda rows: np.array([[float(k in set(r.tolist())) for k in range(width)] + [1.0] for r in rows])
+    p_rows, u_rows = dense(positive), dense(unlabelled)
+    loss = lambda rows, w, sign: np.log1p(np.exp(-sign * (rows @ w))).mean()
+
+    def risk(w, p, u):
+        return prior * loss(p, w, 1) + max(0.0, loss(u, w, -1) - prior * loss(p, w, -1))
+
+    def slope(f, w, h=1e-5):
+        return np.array([(f(w + h * e) - f(w - h * e)) / (2 * h) for e in np.eye(len(w))])
+
+    got = toxicity.train(toxicity.Rows(positive), toxicity.Rows(unlabelled), width, prior, seed=3, epochs=3, batch=8)
+    draw = np.random.default_rng(3)
+    share_p, share_u = p_rows[:, :-1].mean(0), u_rows[:, :-1].mean(0)
+    least = 1 / 9
+    odds = np.log((share_p + least) / (np.maximum(share_u - prior * share_p, 0) / (1 - prior) + least))
+    w = np.append(np.clip(odds, -toxicity.START, toxicity.START), np.log(prior / (1 - prior)))
+    start, first, second, step = w.copy(), np.zeros(width + 1), np.zeros(width + 1), 0
+    for _ in range(3):
+        order = draw.permutation(40)
+        for part in np.array_split(order, 8):
+            mine = draw.integers(0, 9, 8)
+            gradient = slope(lambda x: risk(x, p_rows[mine], u_rows[part]), w) + 3e-3 * (w - start)  # noqa: B023
+            step += 1
+            first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
+            w = w - 0.03 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+    assert np.allclose(got, w, atol=1e-4) and not np.allclose(got, start, atol=0.05)
+
+
+def test_scores_like_a_plain_sum(spark, small_parts):
+    from cartwright.llm.base import word_hashes
+
+    known = {"bad": 1.5, "worse": 3.0, "fine": -2.0, "text": -0.5}
+    hashes = {w: int(word_hashes(w.encode())[0][0]) for w in known}
+    vocabulary = np.sort(np.array(list(hashes.values()), np.uint64))
+    weights = np.zeros((2, len(known) + 1))
+    for w, h in hashes.items():
+        weights[:, np.searchsorted(vocabulary, np.uint64(h))] = known[w], known[w] / 2
+    weights[:, -1] = -0.25, 0.25
+    texts = [None, "", "bad", "BAD, worse! fine?", "bad bad bad", "nothing known", "text-fine", "é bad\tworse " * 3000]
+    done = toxicity.score(spark.createDataFrame([(i, t, 1, "x") for i, t in enumerate(texts)], DDL), "text", vocabulary, weights).collect()
+    for r in done:
+        words = set((texts[r["doc_id"]] or "").lower().translate(str.maketrans(",!?-", "    ")).split())
+        total = sum(known.get(w, 0) for w in words)
+        plain = np.mean([1 / (1 + np.exp(-(total * scale + bias))) for scale, bias in ((1, -0.25), (0.5, 0.25))])
+        assert r["score"] == pytest.approx(plain, abs=1e-12) and r["predicted"] == int(plain >= 0.5)

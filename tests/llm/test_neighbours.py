@@ -43,7 +43,7 @@ def test_recall_and_exact_scores(spark, small_parts, kind, monkeypatch):
         points = points + 50
     rows = [(i, p.astype(np.float32).tolist()) for i, p in enumerate(points)]
     monkeypatch.setattr(neighbours, "BLOCK", 700)
-    monkeypatch.setattr(neighbours, "QUERIES", 64)
+    monkeypatch.setattr(neighbours, "PART", 64)
     got, wanted = found(spark, rows), brute(rows)
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
     assert got.keys() == wanted.keys() and hits >= 0.9 * sum(map(len, wanted.values()))
@@ -79,3 +79,15 @@ def test_copies_ties_and_what_takes_no_part(spark, small_parts):
 def test_few_rows(spark, small_parts):
     assert found(spark, [(0, [1.0, 2.0]), (1, [2.0, 1.0])]) == {0: [(1, pytest.approx(2**0.5))]}
     assert found(spark, [(0, [1.0, 2.0])]) == {} and found(spark, []) == {}
+
+
+def test_copies_of_a_vector_follow_the_parts_alone(spark, small_parts, monkeypatch):
+    """One part of queries: every vector lies in one task, however many searches that task makes."""
+    plain = neighbours.search
+    forest = neighbours.Forest(np.random.default_rng(3).standard_normal((300, 8)), np.zeros(8), 4, 0)
+    queries = forest.vectors[:50]
+    whole = plain(forest, np.arange(300), queries, np.arange(50), 5)
+    cut = [plain(forest, np.arange(300), queries[i:i + 7], np.arange(50)[i:i + 7], 5) for i in range(0, 50, 7)]
+    for side, parts in zip(whole, zip(*cut)):
+        assert (side == np.concatenate(parts)).all()
+    assert neighbours.PART >= 64 * neighbours.QUERIES
