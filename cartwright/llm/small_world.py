@@ -316,17 +316,19 @@ class Shard:
         return linked, query[real], other[real]
 
     def _members(self, queries: np.ndarray, rids: np.ndarray, q: np.ndarray, c: np.ndarray, linked: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Compare queries with the balls across their limit, member by member; the first linked member of each ball."""
-        room, ends = max(1, GATHERED // queries.shape[1]), []
-        for one, ball in zip(q.tolist(), c.tolist()):
-            first = None
-            for at in range(self.starts[ball], self.starts[ball + 1], room):
-                to = min(at + room, self.starts[ball + 1])
-                near = np.flatnonzero((self.vectors[at:to] @ queries[one] >= self.limit) & (self.rids[at:to] != rids[one])) + at
-                linked[one] += self.weights[near].sum()
-                first = near[0] if first is None and len(near) else first
-            if first is not None:
-                ends.append((np.array([one]), self.rids[first:first + 1]))
+        """Compare queries with the balls across their limit, all queries of a ball at once; the first linked member of each."""
+        order = np.argsort(c, kind="stable")
+        q, c, ends = q[order], c[order], []
+        cuts = np.flatnonzero(np.diff(c, prepend=-1))
+        for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(c)]):
+            ball = slice(self.starts[c[lo]], self.starts[c[lo] + 1])
+            step = max(1, GATHERED // (ball.stop - ball.start))
+            for at in range(lo, hi, step):
+                some = q[at:min(at + step, hi)]
+                near = (queries[some] @ self.vectors[ball].T >= self.limit) & (self.rids[ball] != rids[some, None])
+                linked[some] += near @ self.weights[ball]
+                met = near.any(axis=1)
+                ends.append((some[met], self.rids[ball][near[met].argmax(axis=1)]))
         return ends
 
 

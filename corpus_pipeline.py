@@ -1,5 +1,9 @@
 """The corpus pipeline: toxic documents go, one of each group of near copies stays, repeated passages go, sources are
-mixed to their target weights, and what is left is packed into sequences."""
+mixed to their target weights, and what is left is packed into sequences.
+
+Defined cases, for every stage: a null text is an empty one, which is never toxic, near to nothing or repeated; a null id
+stands for a document like others; repeated rows are one after the near-duplicate stage; very long texts pass whole; columns
+beyond those of documents are kept by all stages but the last, whatever their names; an empty table stays empty."""
 
 from __future__ import annotations
 
