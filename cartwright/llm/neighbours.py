@@ -1,18 +1,26 @@
 """Approximate nearest neighbours by a forest of hash prefixes.
 
-Vectors are dealt to blocks by a hash. In its block every vector gets one long hash string per tree (64 signs of random
-projections of the centred vector), and each tree is a sorted array of those strings. A query descends in all trees of a
-block to its longest common prefixes and then ascends in all trees at once, one length for all, taking in every vector
-that shares a prefix of that length in any tree. Candidates are ranked by exact distance in double precision.
+Vectors are dealt to blocks by place: to the nearest of a few landmarks (means of a sample), there to rings by distance
+from it, and a ring of many vectors to several blocks by a hash. In its block every vector gets one long hash string per
+tree (64 signs of random projections of the vector less the block's mean), and each tree is a sorted array of those
+strings. A query descends in all trees of a block to its longest common prefixes and then ascends in all trees at once, one
+length for all, taking in every vector that shares a prefix of that length in any tree. Candidates are ranked by exact
+distance in double precision.
 
 The ascent stops where it is likely enough that nothing nearer is missed: at angle t two vectors agree in a sign with
 probability 1 - t/pi, hence in a prefix of l signs in one of n trees with 1 - (1 - (1 - t/pi)^l)^n, which must reach
 ``LIKELY`` at the angle of the query's k-th candidate. Near neighbours end the ascent early; where all are about as far
 as each other it ends near the root, which is then close to a scan of the block.
 
-Each block meets the queries in parts, so a task holds ``BLOCK`` vectors and ``PART`` queries at most; it builds the
-block's forest once and searches ``QUERIES`` at a time. A vector is copied once per part: the number of copies is that of
-the queries over ``PART``. The centre is the mean of a hash sample of about ``SAMPLE`` vectors.
+A query searches its own block first. The distance of its k-th candidate there bounds what may still matter: by the
+triangle inequality a ring around a landmark holds nothing nearer than the query's distance from the ring, so rings beyond
+the bound are left out without losing a neighbour, and in the others the ascent also ends where a vector within the bound
+would have been met. Only the ``LANDMARKS`` times ``RINGS`` rings at most reach the driver, whatever the size of the table.
+
+Every task holds one block and streams the queries that reach it, ``QUERIES`` at a time. A block moves twice, once for its
+own queries and once for others, however many they are; one that more than ``PART`` queries reach, and more than a
+partition's share, is copied once per such share, so copies never exceed the blocks and partitions together. The landmarks
+come from a hash sample of about ``SAMPLE`` vectors.
 
 Defined cases: vectors that are null, all zeros, of another length than most (the smaller, if two lengths tie), or hold
 a null or non-finite component take no part, nor do null ids; equal distances go to the smaller id; a query never
@@ -21,13 +29,16 @@ meets rows with its own id; rows equal in id and vector are one; an empty table
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartwright.llm.base import staged
+from cartwright.llm.base import partitions, staged
 
 TREES = 16
 BITS = 64
@@ -38,8 +49,14 @@ PART = 1 << 17
 SAMPLE = 4_096
 #: Candidates with which the ascent begins.
 FIRST = 64
+#: Landmarks and rings around each at most, and rounds that move landmarks to the means of what is nearest to them.
+LANDMARKS = 256
+RINGS = 8
+ROUNDS = 8
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_FOUND = pa.schema([("id", pa.int64()), ("v", pa.list_(pa.float64())), ("block", pa.int64()), ("bound", pa.float64()),
+                    ("vec_ids", pa.list_(pa.int64())), ("scores", pa.list_(pa.float64()))])
+_FOUND_DDL = "id bigint, v array<double>, block bigint, bound double, vec_ids array<bigint>, scores array<double>"
 
 
 def usable(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
@@ -52,8 +69,8 @@ def usable(vectors: DataFrame, id_: str, vector: str) -> DataFrame:
     return rows.where(F.size("v") == (usual["n"] if usual else 0))
 
 
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    flat = column.combine_chunks()
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
@@ -106,57 +123,203 @@ def _angle(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.arccos(np.clip(a @ b / size, -1, 1))) if size else np.pi / 2
 
 
-def search(forest: Forest, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k nearest candidates of each query in one block: query ids, ids, distances."""
+def ascents(forest: Forest, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int,
+            bounds: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per query the ids and distances of its k nearest candidates in one block; with ``bounds``, of those within them."""
     starts, ends = forest.ranges(queries)
     met = (ends - starts).sum(axis=0)
-    out_query, out_id, out_score = [], [], []
     for q, (query, own) in enumerate(zip(queries, query_ids)):
+        bound = np.inf if bounds is None else bounds[q]
+        away = np.linalg.norm(query - forest.centre)
+        # A vector within the bound lies at this angle from the query at most, seen from the centre.
+        enough = forest.reach(float(np.arcsin(bound / away))) if bound < away else 0
         length = int(np.flatnonzero(met[q] >= min(FIRST, met[q, 0]))[-1])
         while True:
             rows = forest.members(starts[:, q, length], ends[:, q, length])
             rows = rows[ids[rows] != own]
             scores = np.sqrt(((forest.vectors[rows] - query) ** 2).sum(axis=1))
             best = np.lexsort((ids[rows], scores))[:k]
-            if not length:
+            if not length or enough >= length:
                 break
             if len(best) < k:
                 length -= 1
                 continue
-            likely = forest.reach(_angle(forest.vectors[rows[best[-1]]] - forest.centre, query - forest.centre))
+            likely = max(enough, forest.reach(_angle(forest.vectors[rows[best[-1]]] - forest.centre, query - forest.centre)))
             if likely >= length:
                 break
             length = likely
-        out_query.append(np.full(len(best), own))
-        out_id.append(ids[rows[best]])
-        out_score.append(scores[best])
-    return np.concatenate(out_query), np.concatenate(out_id), np.concatenate(out_score)
+        best = best[scores[best] <= bound]
+        yield ids[rows[best]], scores[best]
+
+
+def search(forest: Forest, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k nearest candidates of each query in one block: query ids, ids, distances."""
+    found = list(ascents(forest, ids, queries, query_ids, k))
+    return (np.repeat(query_ids, [len(i) for i, _ in found]), np.concatenate([i for i, _ in found]),
+            np.concatenate([d for _, d in found]))
+
+
+# ---- blocks by place ------------------------------------------------------------------------------
+
+
+def _nearest(vectors: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """The nearest landmark of each vector, or one about as near."""
+    return np.argmin((landmarks**2).sum(axis=1) - 2 * (vectors @ landmarks.T), axis=1)
+
+
+def landmarks_of(sample: np.ndarray, n: int, seed: int) -> np.ndarray:
+    """At most n landmarks: different vectors of the sample, moved to the means of what is nearest to them."""
+    distinct = np.unique(sample, axis=0)
+    found = distinct[np.random.default_rng(seed).permutation(len(distinct))[:n]]
+    for _ in range(ROUNDS):
+        near = _nearest(sample, found)
+        sizes = np.bincount(near, minlength=len(found))
+        sums = np.zeros_like(found)
+        np.add.at(sums, near, sample)
+        found = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], found)
+    return found
+
+
+def _placed(batches: Iterator[pa.RecordBatch], landmarks: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            vectors = _matrix(batch["v"])
+            near = _nearest(vectors, landmarks)
+            far = np.linalg.norm(vectors - landmarks[near], axis=1)
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["v"], pa.array(near.astype(np.int32)), pa.array(far)],
+                                             ["id", "v", "landmark", "far"])
+
+
+@dataclass(frozen=True)
+class Ring:
+    """The vectors between two distances from a landmark, in consecutively numbered blocks."""
+
+    landmark: int
+    low: float
+    high: float
+    first: int
+    blocks: int
+
+
+def _dealt(placed: DataFrame, n_landmarks: int, seed: int) -> tuple[DataFrame, list[Ring]]:
+    """``id, v, block`` of the placed vectors, and the rings."""
+    counts = {r["landmark"]: r for r in placed.groupBy("landmark").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
+    rings = [min(RINGS, -(-counts[i]["n"] // BLOCK)) if i in counts else 1 for i in range(n_landmarks)]
+    width = [(counts[i]["far"] / rings[i] if i in counts else 0.0) or float("inf") for i in range(n_landmarks)]
+    of = lambda values: F.get(F.array(*map(F.lit, values)), F.col("landmark"))
+    ring = F.least(of(rings) - 1, F.floor(F.col("far") / of(width)).cast("int"))
+    ringed = placed.select("id", "v", "landmark", "far", ring.alias("ring"))
+    found, first, firsts, blocks = [], 0, [0] * (n_landmarks * RINGS), [1] * (n_landmarks * RINGS)
+    for r in sorted(ringed.groupBy("landmark", "ring").agg(
+            F.count(F.lit(1)).alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect()):
+        at, parts = r["landmark"] * RINGS + r["ring"], -(-r["n"] // BLOCK)
+        firsts[at], blocks[at] = first, parts
+        found.append(Ring(r["landmark"], r["low"], r["high"], first, parts))
+        first += parts
+    at = F.col("landmark") * RINGS + F.col("ring")
+    pick = lambda values: F.get(F.array(*[F.lit(x).cast("bigint") for x in values]), at)
+    return ringed.select("id", "v", (pick(firsts) + F.pmod(F.xxhash64("id", "v", F.lit(seed)), pick(blocks))).alias("block")), found
+
+
+def routes(queries: np.ndarray, bounds: np.ndarray, own: np.ndarray, landmarks: np.ndarray, rings: list[Ring]) -> Iterator[tuple[np.ndarray, int]]:
+    """Blocks other than their own that may hold a vector within the bounds, with the queries that reach them."""
+    before, away = None, None
+    for ring in rings:
+        if ring.landmark != before:
+            before, away = ring.landmark, np.linalg.norm(queries - landmarks[ring.landmark], axis=1)
+        gap = np.maximum(away - ring.high, ring.low - away)
+        near = gap <= bounds + 1e-9 * (away + ring.high)
+        if near.any():
+            for block in range(ring.first, ring.first + ring.blocks):
+                reached = np.flatnonzero(near & (own != block))
+                if len(reached):
+                    yield reached, block
+
+
+def _routed(batches: Iterator[pa.RecordBatch], landmarks: np.ndarray, rings: list[Ring], whole: bool) -> Iterator[pa.RecordBatch]:
+    """The queries once per block they reach, or only how many of a batch reach each block."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = routes(_matrix(batch["v"]), batch["bound"].to_numpy(), batch["block"].to_numpy(), landmarks, rings)
+        if not whole:
+            pairs = [(block, len(reached)) for reached, block in found]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], ["block", "n"])
+            continue
+        for reached, block in found:
+            some = batch.select(["id", "v", "bound"]).take(pa.array(reached))
+            yield some.append_column("block", pa.array(np.full(len(reached), block, np.int64)))
+
+
+# ---- search ---------------------------------------------------------------------------------------
+
+
+def _searched(batches: Iterator[pa.RecordBatch], k: int, trees: int, seed: int, with_vectors: bool) -> Iterator[pa.RecordBatch]:
+    """Rows in order of block, part and kind: a block's vectors (kind 0) make a forest, its queries (kind 1) stream by."""
+    held_for, held, forest, ids = None, [], None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        marks = np.stack([batch[c].to_numpy().astype(np.int64) for c in ("block", "part", "kind")])
+        cuts = [0, *(np.flatnonzero((np.diff(marks) != 0).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(cuts, cuts[1:]):
+            block, part, kind = marks[:, start].tolist()
+            if kind == 0:
+                if held_for != (block, part):
+                    held_for, held, forest = (block, part), [], None
+                held.append(batch.slice(start, end - start))
+                continue
+            if forest is None:
+                vectors = pa.Table.from_batches(held)
+                matrix, ids, held = _matrix(vectors["v"]), vectors["id"].to_numpy(), []
+                forest = Forest(matrix, matrix.mean(axis=0), trees, seed)
+            for at in range(start, end, QUERIES):
+                some = batch.slice(at, min(QUERIES, end - at))
+                found = list(ascents(forest, ids, _matrix(some["v"]), some["id"].to_numpy(), k, some["bound"].to_numpy()))
+                edges = pa.array(np.cumsum([0] + [len(i) for i, _ in found]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([
+                    some["id"], some["v"] if with_vectors else pa.nulls(len(found), _FOUND.field("v").type), some["block"],
+                    pa.array([float(d[-1]) if len(d) == k else float("inf") for _, d in found]),
+                    pa.ListArray.from_arrays(edges, pa.array(np.concatenate([i for i, _ in found]))),
+                    pa.ListArray.from_arrays(edges, pa.array(np.concatenate([d for _, d in found])))], schema=_FOUND)
+
+
+def _met(vectors: DataFrame, queries: DataFrame, k: int, trees: int, seed: int, with_vectors: bool) -> DataFrame:
+    """The queries of every block and part with what they find there."""
+    row = lambda frame, kind, bound: frame.select("block", "part", F.lit(kind).alias("kind"), "id", "v", bound.alias("bound"))
+    both = row(vectors, 0, F.lit(float("inf"))).unionByName(row(queries, 1, F.col("bound")))
+    return both.repartition("block", "part").sortWithinPartitions("block", "part", "kind").mapInArrow(
+        lambda batches: _searched(batches, k, trees, seed, with_vectors), _FOUND_DDL)
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10, id_: str = "vec_id", vector: str = "embedding", trees: int = TREES,
             seed: int = 0) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest rows found for every row that ``is_query`` (a condition on ``id``)."""
+    spark = vectors.sparkSession
     rows = staged(usable(vectors, id_, vector), "vectors")
-    asked = rows.where(is_query)
-    n, n_queries = rows.count(), asked.count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-n_queries // PART))
-    share = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(share < SAMPLE / max(1, n)).select("v").toArrow()["v"]
-    centre = _matrix(sample).mean(axis=0) if len(sample) else None
-
-    def found(block: pa.Table, queries: pa.Table) -> pa.Table:
-        if not block.num_rows or not queries.num_rows:
-            return _FOUND.empty_table()
-        held = _matrix(block["v"])
-        forest = Forest(held, np.zeros(held.shape[1]) if centre is None else centre, trees, seed)
-        ids, asked_v, asked_ids = block["id"].to_numpy(), _matrix(queries["v"]), queries["id"].to_numpy()
-        parts = [search(forest, ids, asked_v[i:i + QUERIES], asked_ids[i:i + QUERIES], k) for i in range(0, len(asked_ids), QUERIES)]
-        return pa.table([pa.array(np.concatenate(side)) for side in zip(*parts)], schema=_FOUND)
-
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    dealt = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"), every(query_blocks).alias("part"))
-    sent = asked.select("id", "v", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("part"), every(blocks).alias("block"))
-    met = dealt.groupBy("block", "part").cogroup(sent.groupBy("block", "part")).applyInArrow(
-        found, "query_id bigint, vec_id bigint, score double")
+    n = rows.count()
+    if not n:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    share = F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.where(share < SAMPLE / n).select("v").toArrow()["v"]
+    landmarks = landmarks_of(_matrix(sample), min(LANDMARKS, -(-n // BLOCK)), seed)
+    placed = staged(rows.mapInArrow(lambda b: _placed(b, landmarks), "id bigint, v array<double>, landmark int, far double"), "placed")
+    dealt, rings = _dealt(placed, len(landmarks), seed)
+
+    part, open_ = F.lit(0).alias("part"), F.lit(float("inf")).alias("bound")
+    at_home = staged(_met(dealt.select("*", part), dealt.where(is_query).select("*", part, open_), k, trees, seed, True), "home")
+
+    asked = at_home.select("id", "v", "block", "bound")
+    reach = asked.mapInArrow(lambda b: _routed(b, landmarks, rings, False), "block bigint, n bigint").groupBy("block").agg(F.sum("n").alias("n"))
+    reach = staged(reach, "reach")
+    total = reach.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    parts = reach.select("block", F.ceil(F.col("n") / max(PART, -(-total // partitions(spark)))).cast("int").alias("parts"))
+    copied = dealt.join(parts, "block").select("block", "id", "v", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    sent = asked.mapInArrow(lambda b: _routed(b, landmarks, rings, True), "id bigint, v array<double>, bound double, block bigint")
+    sent = sent.join(parts, "block").select("block", "id", "v", "bound", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int").alias("part"))
+    away = _met(copied, sent, k, trees, seed, False)
+
+    found = at_home.unionByName(away).select(F.col("id").alias("query_id"), F.explode(F.arrays_zip("vec_ids", "scores")).alias("f")).select(
+        "query_id", F.col("f.vec_ids").alias("vec_id"), F.col("f.scores").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
-    return met.distinct().withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.distinct().withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

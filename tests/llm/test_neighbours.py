@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +92,63 @@ def test_copies_of_a_vector_follow_the_parts_alone(spark, small_parts, monkeypat
     for side, parts in zip(whole, zip(*cut)):
         assert (side == np.concatenate(parts)).all()
     assert neighbours.PART >= 64 * neighbours.QUERIES
+
+
+def test_rings_left_out_hold_nothing_nearer(spark, small_parts, monkeypatch):
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((3000, 8)) * 0.1 + rng.standard_normal((30, 8))[rng.integers(0, 30, 3000)] * 3
+    points[:900] = points[0]
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    landmarks = neighbours.landmarks_of(points[::3], 16, 0)
+    rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id bigint, v array<double>")
+    placed = rows.mapInArrow(lambda b: neighbours._placed(b, landmarks), "id bigint, v array<double>, landmark int, far double")
+    dealt, rings = neighbours._dealt(placed, len(landmarks), 0)
+    block = np.array([r["block"] for r in dealt.orderBy("id").collect()])
+    n_blocks = sum(r.blocks for r in rings)
+    assert set(block) <= set(range(n_blocks)) and np.bincount(block).max() <= 200
+    queries = np.arange(0, 3000, 50)
+    bounds = np.array([np.sort(np.sqrt(((points - points[q]) ** 2).sum(1)))[10] for q in queries])
+    reached = {(int(q), int(block[q])) for q in queries}
+    for some, one in neighbours.routes(points[queries], bounds, block[queries], landmarks, rings):
+        reached |= {(int(queries[i]), one) for i in some}
+    for q, bound in zip(queries, bounds):
+        near = np.flatnonzero(np.sqrt(((points - points[q]) ** 2).sum(1)) <= bound)
+        assert {(int(q), int(b)) for b in block[near]} <= reached
+    assert len(reached) < 0.5 * len(queries) * n_blocks
+
+
+def test_copies_of_a_vector_do_not_grow_with_the_queries(spark, small_parts, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, p.tolist()) for i, p in enumerate(rng.standard_normal((600, 6)).astype(np.float32))]
+    monkeypatch.setattr(neighbours, "BLOCK", 100)
+    monkeypatch.setattr(neighbours, "PART", 1)
+    plain, moved = neighbours._met, []
+    monkeypatch.setattr(neighbours, "_met", lambda vectors, *rest: (moved.append(vectors.count()), plain(vectors, *rest))[1])
+    for every in (20, 2):
+        got, wanted = found(spark, rows, every, 5), brute(rows, every, 5)
+        hits = sum(len({i for i, _ in got[q]} & {i for i, _ in wanted[q]}) for q in wanted)
+        assert got.keys() == wanted.keys() and hits >= 0.95 * sum(map(len, wanted.values()))
+    home, few, again, many = moved
+    assert home == again == 600 and many <= few * 1.5 and many <= 600 + 4 * 100 * 2
+
+
+def test_a_forest_streams_its_queries(monkeypatch):
+    """Blocks may begin and end anywhere in the batches; a block's queries are searched in turns."""
+    rng = np.random.default_rng(6)
+    points = rng.standard_normal((120, 4))
+    rows = [(b, 0, 0, i, points[i].tolist(), float("inf")) for b in range(3) for i in range(b * 40, b * 40 + 40)]
+    rows += [(b, 0, 1, i, points[i].tolist(), float("inf")) for b in range(3) for i in range(b * 40, b * 40 + 40, 3)]
+    rows.sort(key=lambda r: r[:3])
+    names = ["block", "part", "kind", "id", "v", "bound"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.float64()), pa.float64()]
+    whole = pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], names)
+    monkeypatch.setattr(neighbours, "QUERIES", 4)
+    for size in (7, 50, 1000):
+        batches = (whole.slice(i, size) for i in range(0, whole.num_rows, size))
+        got = [r for b in neighbours._searched(batches, 3, 8, 0, False) for r in b.to_pylist()]
+        assert [r["id"] for r in got] == [r[3] for r in rows if r[2] == 1]
+        for r in got:
+            mine = [i for i in range(r["block"] * 40, r["block"] * 40 + 40) if i != r["id"]]
+            score = np.sqrt(((points[mine] - points[r["id"]]) ** 2).sum(1))
+            assert r["scores"] == sorted(r["scores"]) and len(r["vec_ids"]) == 3 and r["bound"] == r["scores"][-1]
+            assert set(r["vec_ids"]) <= set(mine) and r["scores"][0] >= score.min()
