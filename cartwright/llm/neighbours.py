@@ -49,8 +49,10 @@ PART = 1 << 17
 SAMPLE = 4_096
 #: Candidates with which the ascent begins.
 FIRST = 64
-#: Landmarks and rings around each at most, and rounds that move landmarks to the means of what is nearest to them.
+#: Landmarks at most, and vectors for each of them while there are fewer: blocks then are smaller than ``BLOCK``, but
+#: queries reach fewer. Rings around a landmark at most, and rounds that move landmarks to the means of what is nearest.
 LANDMARKS = 256
+CELL = 1_024
 RINGS = 8
 ROUNDS = 8
 
@@ -201,24 +203,25 @@ class Ring:
     blocks: int
 
 
-def _dealt(placed: DataFrame, n_landmarks: int, seed: int) -> tuple[DataFrame, list[Ring]]:
-    """``id, v, block`` of the placed vectors, and the rings."""
-    counts = {r["landmark"]: r for r in placed.groupBy("landmark").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()}
-    rings = [min(RINGS, -(-counts[i]["n"] // BLOCK)) if i in counts else 1 for i in range(n_landmarks)]
-    width = [(counts[i]["far"] / rings[i] if i in counts else 0.0) or float("inf") for i in range(n_landmarks)]
-    of = lambda values: F.get(F.array(*map(F.lit, values)), F.col("landmark"))
-    ring = F.least(of(rings) - 1, F.floor(F.col("far") / of(width)).cast("int"))
-    ringed = placed.select("id", "v", "landmark", "far", ring.alias("ring"))
-    found, first, firsts, blocks = [], 0, [0] * (n_landmarks * RINGS), [1] * (n_landmarks * RINGS)
+def _dealt(placed: DataFrame, seed: int) -> tuple[DataFrame, list[Ring]]:
+    """``id, v, block`` of the placed vectors, and the rings. Both tables broadcast hold ``LANDMARKS`` times ``RINGS`` rows
+    at most."""
+    spark = placed.sparkSession
+    counts = placed.groupBy("landmark").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far")).collect()
+    cut = [(r["landmark"], min(RINGS, -(-r["n"] // BLOCK)), r["far"]) for r in counts]
+    rings = spark.createDataFrame([(i, n, far / n or float("inf")) for i, n, far in cut], "landmark int, rings int, width double")
+    ring = F.least(F.col("rings") - 1, F.floor(F.col("far") / F.col("width")).cast("int"))
+    ringed = placed.join(F.broadcast(rings), "landmark").select("id", "v", "landmark", "far", ring.alias("ring"))
+    found, numbered, first = [], [], 0
     for r in sorted(ringed.groupBy("landmark", "ring").agg(
             F.count(F.lit(1)).alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect()):
-        at, parts = r["landmark"] * RINGS + r["ring"], -(-r["n"] // BLOCK)
-        firsts[at], blocks[at] = first, parts
-        found.append(Ring(r["landmark"], r["low"], r["high"], first, parts))
-        first += parts
-    at = F.col("landmark") * RINGS + F.col("ring")
-    pick = lambda values: F.get(F.array(*[F.lit(x).cast("bigint") for x in values]), at)
-    return ringed.select("id", "v", (pick(firsts) + F.pmod(F.xxhash64("id", "v", F.lit(seed)), pick(blocks))).alias("block")), found
+        blocks = -(-r["n"] // BLOCK)
+        found.append(Ring(r["landmark"], r["low"], r["high"], first, blocks))
+        numbered.append((r["landmark"], r["ring"], first, blocks))
+        first += blocks
+    places = spark.createDataFrame(numbered, "landmark int, ring int, first bigint, blocks bigint")
+    block = F.col("first") + F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.col("blocks"))
+    return ringed.join(F.broadcast(places), ["landmark", "ring"]).select("id", "v", block.alias("block")), found
 
 
 def routes(queries: np.ndarray, bounds: np.ndarray, own: np.ndarray, landmarks: np.ndarray, rings: list[Ring]) -> Iterator[tuple[np.ndarray, int]]:
@@ -302,9 +305,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_: str = "vec_id", vect
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     share = F.pmod(F.xxhash64("id", "v", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     sample = rows.where(share < SAMPLE / n).select("v").toArrow()["v"]
-    landmarks = landmarks_of(_matrix(sample), min(LANDMARKS, -(-n // BLOCK)), seed)
+    landmarks = landmarks_of(_matrix(sample), min(LANDMARKS, -(-n // min(CELL, BLOCK))), seed)
     placed = staged(rows.mapInArrow(lambda b: _placed(b, landmarks), "id bigint, v array<double>, landmark int, far double"), "placed")
-    dealt, rings = _dealt(placed, len(landmarks), seed)
+    dealt, rings = _dealt(placed, seed)
 
     part, open_ = F.lit(0).alias("part"), F.lit(float("inf")).alias("bound")
     at_home = staged(_met(dealt.select("*", part), dealt.where(is_query).select("*", part, open_), k, trees, seed, True), "home")

@@ -102,7 +102,7 @@ def test_rings_left_out_hold_nothing_nearer(spark, small_parts, monkeypatch):
     landmarks = neighbours.landmarks_of(points[::3], 16, 0)
     rows = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id bigint, v array<double>")
     placed = rows.mapInArrow(lambda b: neighbours._placed(b, landmarks), "id bigint, v array<double>, landmark int, far double")
-    dealt, rings = neighbours._dealt(placed, len(landmarks), 0)
+    dealt, rings = neighbours._dealt(placed, 0)
     block = np.array([r["block"] for r in dealt.orderBy("id").collect()])
     n_blocks = sum(r.blocks for r in rings)
     assert set(block) <= set(range(n_blocks)) and np.bincount(block).max() <= 200
