@@ -48,8 +48,11 @@ PARITY_BITS = 512
 HUBS = 3
 #: Subsets sent at once.
 SENT_SUBSETS = 1 << 18
-#: Members from which on a list is cut into blocks of this many, and pairs of a cell compared at once.
-LONG_LIST = LIST_BLOCK = 1_024
+#: Members from which on a list is cut into blocks: of a quarter of the list, of this many at least and ``LIST_BLOCK`` at
+#: most. Small blocks keep tasks even, large ones keep the copies of a long list's members few.
+LONG_LIST = 256
+LIST_BLOCK = 1_024
+#: Pairs of a cell compared at once.
 COMPARED = 1 << 18
 
 _SET = pa.schema([("row_key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()),
@@ -227,11 +230,14 @@ def _cells(postings: DataFrame, percent: int, block: int) -> DataFrame:
 
     Similar sets differ in size by less than one class of sizes (a class spans the ratio that similarity allows), so a
     list is cut by class, and a class meets itself and the next one up. A class with many members is dealt to blocks by a
-    hash, and every pair of blocks that must meet is a cell of its own.
+    hash, and every pair of blocks that must meet is a cell of its own. A block is a quarter of the class, within the
+    limits of ``LONG_LIST`` and ``block``.
     """
     span = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
     classed = postings.withColumn("class", span.cast("int"))
-    counts = classed.groupBy("token", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    members = F.count(F.lit(1))
+    held = F.least(F.lit(block), F.greatest(F.lit(LONG_LIST), F.ceil(members / 4)))
+    counts = classed.groupBy("token", "class").agg(F.ceil(members / held).cast("int").alias("blocks"))
     near = lambda step, name: counts.select("token", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
     known = counts.join(near(1, "below"), ["token", "class"], "left").join(near(-1, "above"), ["token", "class"], "left")
     row = classed.join(known, ["token", "class"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
