@@ -119,12 +119,3 @@ def test_subsets_come_a_few_sets_at_a_time(monkeypatch):
     rows = pa.RecordBatch.from_pylist([{"rid": i, "tokens": [rng.getrandbits(60) for _ in range(25)]} for i in range(40)])
     parts = [b.num_rows for b in jaccard._subsets(rows, 80)]
     assert sum(parts) == 40 * 68_406 and max(parts) < jaccard.SENT_SUBSETS + 68_406
-
-
-def test_lists_of_middling_length_are_cut_as_well(spark, small_parts):
-    rows = [(t, 10_000 * t + i, 64, 0, i) for t, members in enumerate([300, 900, 3000]) for i in range(members)]
-    lists = postings(spark, rows)
-    cells = jaccard._cells(lists, 80, jaccard.LIST_BLOCK).groupBy("token", "class", "one", "step", "two").count().groupBy("token").agg(
-        F.max("count").alias("rows"), F.count(F.lit(1)).alias("cells")).collect()
-    assert {r["token"]: r["cells"] for r in cells} == {0: 3, 1: 10, 2: 10}
-    assert all(r["rows"] <= 2.3 * max(jaccard.LONG_LIST, (300, 900, 3000)[r["token"]] / 4) for r in cells)
