@@ -11,8 +11,8 @@ result is each document's component, so copies and near copies never become pair
 3. Large sets scan inverted lists of their rarest shingles (the prefix within which similar sets must meet). First
    passes pair each list's members with a few hubs only, where size, position and parity bounds leave it open; verified
    links make components. A last pass takes the pairs of a list that still lie in different components, so a group of
-   near copies costs its size, not its square, and no link between components is lost. A long list is cut by size and
-   into blocks there, and every pair of blocks that may hold similar sets is compared in a task of its own.
+   near copies costs its size, not its square, and no link between components is lost. A long list travels in
+   shares, so no shingle gathers its postings in one task; it is cut by size and into blocks in that last pass, and every pair of blocks that may hold similar sets is compared in a task of its own.
 4. The boundary is the size at which enumerating subsets costs more than scanning lists, from counts of sets by size and
    the measured length of the lists.
 
@@ -48,8 +48,11 @@ PARITY_BITS = 512
 HUBS = 3
 #: Subsets sent at once.
 SENT_SUBSETS = 1 << 18
-#: Members from which on a list is cut into blocks of this many, and pairs of a cell compared at once.
+#: Members from which on a list is long: it travels in shares of this many and is cut into blocks of them.
 LONG_LIST = LIST_BLOCK = 1_024
+#: Keys per long list on the way to learning how many shares it has; they add at most ``DEAL / LONG_LIST`` to the rows.
+DEAL = 32
+#: Pairs of a cell compared at once.
 COMPARED = 1 << 18
 
 _SET = pa.schema([("row_key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()),
@@ -199,27 +202,47 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(both * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent).select("a", "b"))
 
 
+def _every_share(by_token: DataFrame) -> DataFrame:
+    """One row per list becomes one per ``share`` of it, to meet postings on both."""
+    return by_token.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
+
+
+def in_shares(lists_of: DataFrame, lists: DataFrame, long: int = LONG_LIST, deal: int = DEAL) -> DataFrame:
+    """The postings of ``lists (token, members)``, each with its list's number of ``shares`` and its own ``share``.
+
+    From here on a list never meets anything by its token alone: whatever is known of a list is repeated for its shares,
+    and a share has about ``long`` members, so no token gathers its postings in one task. Only long lists are looked up,
+    and theirs is a table of at most one row per ``long`` postings: Spark broadcasts it where it is small, and otherwise
+    a list's postings are dealt to ``deal`` keys on the way.
+    """
+    shares = F.ceil(F.col("members") / long).cast("int").alias("shares")
+    sized = lists.select("token", shares)
+    longer = sized.where("shares > 1").withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(deal - 1))))
+    dealt = lists_of.withColumn("deal", F.pmod(F.xxhash64("rid"), F.lit(deal)).cast("int"))
+    known = dealt.join(longer, ["token", "deal"], "left").drop("deal").withColumn("shares", F.coalesce("shares", F.lit(1)))
+    share = F.pmod(F.xxhash64("rid", F.lit("share")), F.col("shares")).cast("int")
+    return known.withColumn("share", share).join(_every_share(sized), ["token", "share"], "left_semi")
+
+
 def _hub_pairs(postings: DataFrame, boundary: int, percent: int, seeds: range) -> DataFrame:
     """Each list's members with the list's hubs, one per seed, where they are in different components. A hub is the
     member with the least hash, so the lists of one family of copies mostly agree on theirs."""
-    hubs = postings.groupBy("token").agg(F.array(*[
+    hubs = postings.groupBy("token").agg(F.max("shares").alias("shares"), F.array(*[
         F.min(F.struct(F.xxhash64("rid", F.lit(seed)).alias("o"), "rid", "n", "place", "label", "parity")) for seed in seeds]).alias("hubs"))
-    met = (postings.join(hubs, "token").select("rid", "label", F.struct("n", "place", "parity").alias("m"), F.explode("hubs").alias("h"))
+    met = (postings.drop("shares").join(_every_share(hubs), ["token", "share"])
+           .select("rid", "label", F.struct("n", "place", "parity").alias("m"), F.explode("hubs").alias("h"))
            .where((F.col("label") != F.col("h.label")) & (F.greatest("m.n", "h.n") > boundary) & _may_be_similar("m", "h", percent)))
     return met.select(F.least("rid", "h.rid").alias("a"), F.greatest("rid", "h.rid").alias("b")).distinct()
 
 
-def _cross_pairs(postings: DataFrame, boundary: int, percent: int, long: int = LONG_LIST, block: int = LIST_BLOCK) -> DataFrame:
-    """The pairs of each list that lie in different components. Long lists meet in cells."""
-    lengths = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > long)
-    marked = postings.join(lengths.select("token"), "token", "left_anti")
-    side = lambda label, name: marked.select(
+def _cross_pairs(postings: DataFrame, boundary: int, percent: int, block: int = LIST_BLOCK) -> DataFrame:
+    """The pairs of each list that lie in different components. Lists of several shares meet in cells."""
+    side = lambda label, name: postings.where("shares = 1").select(
         "token", F.col(label[0]).alias(label[1]), F.struct("rid", "n", "place", "parity").alias(name))
     met = (side(("label", "la"), "x").join(side(("label", "lb"), "y"), "token")
            .where((F.col("la") < F.col("lb")) & _may_be_similar("x", "y", percent) & (F.greatest("x.n", "y.n") > boundary))
            .select(F.least("x.rid", "y.rid").alias("a"), F.greatest("x.rid", "y.rid").alias("b")))
-    longer = postings.join(lengths.select("token"), "token", "left_semi")
-    return met.unionByName(_in_cells(_cells(longer, percent, block), boundary, percent)).distinct()
+    return met.unionByName(_in_cells(_cells(postings.where("shares > 1"), percent, block), boundary, percent)).distinct()
 
 
 def _cells(postings: DataFrame, percent: int, block: int) -> DataFrame:
@@ -231,10 +254,10 @@ def _cells(postings: DataFrame, percent: int, block: int) -> DataFrame:
     """
     span = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))) if percent < 100 else F.col("n")
     classed = postings.withColumn("class", span.cast("int"))
-    counts = classed.groupBy("token", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    counts = classed.groupBy("token", "class").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"), F.max("shares").alias("shares"))
     near = lambda step, name: counts.select("token", (F.col("class") + step).alias("class"), F.col("blocks").alias(name))
     known = counts.join(near(1, "below"), ["token", "class"], "left").join(near(-1, "above"), ["token", "class"], "left")
-    row = classed.join(known, ["token", "class"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
+    row = classed.drop("shares").join(_every_share(known), ["token", "class", "share"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
     # A cell is (class, its block, step to the other's class, the other's block); within a class the lower block comes first.
     upto = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(0)) - 1)
     there = lambda n, build: F.when(F.coalesce(n, F.lit(0)) > 0, F.transform(upto(n), build)).otherwise(
@@ -281,8 +304,10 @@ def _still_mixed(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """The lists whose members are in two components or more, with each member's component."""
     named = postings.drop("label").join(labels.withColumnRenamed("node", "rid"), "rid", "left").withColumn(
         "label", F.coalesce("label", "rid"))
-    spread = named.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    return staged(named.join(spread.select("token"), "token", "left_semi").select("token", "rid", "n", "place", "parity", "label"), "mixed")
+    spread = named.groupBy("token").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.max("shares").alias("shares")).where("low < high")
+    return staged(named.join(_every_share(spread), ["token", "share"], "left_semi").select(
+        "token", "share", "shares", "rid", "n", "place", "parity", "label"), "mixed")
 
 
 def _pairs_left(postings: DataFrame) -> tuple[int, int]:
@@ -325,9 +350,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_: str = "doc_id", wi
 
     lists_of = (sets.select("rid", "n", "skipped", "parity", F.posexplode("prefix").alias("at", "token"))
                 .select("token", "rid", "n", (F.col("skipped") + F.col("at")).alias("place"), "parity"))
-    shared = lists_of.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    postings = staged(lists_of.join(shared.select("token"), "token", "left_semi"), "lists")
-    lists = postings.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
+    lists = staged(lists_of.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1"), "lengths")
+    postings = staged(in_shares(lists_of, lists), "lists")
     boundary = boundary_of(rows.where("print IS NOT NULL"), lists, percent)
     heavy = postings.where(F.col("n") >= needed(boundary + 1, percent))
 

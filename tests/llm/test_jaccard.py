@@ -76,33 +76,58 @@ def test_components_of_a_long_chain(spark, small_parts):
     assert {r["node"]: r["label"] for r in components(links).collect()} == {i: 0 for i in range(61)} | {100: 100, 101: 100}
 
 
-def postings(spark, rows):
-    """One list or several: (token, rid, n, place, label) with random parities of about n bits."""
+def postings(spark, rows, long=10**9):
+    """One list or several: (token, rid, n, place, label) with random parities of about n bits, in shares of ``long``."""
     import numpy as np
 
     rng = np.random.default_rng(1)
     full = [(t, r, n, place, [int(x) for x in rng.integers(-(2**63), 2**63, jaccard.PARITY_BITS // 64)], label) for t, r, n, place, label in rows]
-    return spark.createDataFrame(full, "token bigint, rid bigint, n bigint, place int, parity array<bigint>, label bigint")
+    made = spark.createDataFrame(full, "token bigint, rid bigint, n bigint, place int, parity array<bigint>, label bigint")
+    return jaccard.in_shares(made, made.groupBy("token").agg(F.count(F.lit(1)).alias("members")), long)
 
 
 @pytest.mark.parametrize("percent", [60, 80, 100])
 def test_cells_meet_whom_the_join_meets(spark, small_parts, percent):
     rng = random.Random(3)
     rows = [(t, 1000 * t + i, rng.choice([1, 4, 5, 20, 24, 25, 300, 360, 2000]), 0, rng.randrange(40)) for t in range(4) for i in range(60 if t else 3)]
-    lists = postings(spark, rows).withColumn("parity", F.array_repeat(F.lit(0).cast("bigint"), jaccard.PARITY_BITS // 64))
-    plain = jaccard._cross_pairs(lists, 2, percent, long=10**9)
-    cut = jaccard._cross_pairs(lists, 2, percent, long=10, block=8)
+    none = F.array_repeat(F.lit(0).cast("bigint"), jaccard.PARITY_BITS // 64)
+    plain = jaccard._cross_pairs(postings(spark, rows).withColumn("parity", none), 2, percent)
+    lists = postings(spark, rows, 10).withColumn("parity", none)
+    cut = jaccard._cross_pairs(lists, 2, percent, block=8)
     shown = lambda df: sorted(map(tuple, df.collect()))
     assert shown(cut) == shown(plain) and plain.count() > 100
     sizes = [r["count"] for r in jaccard._cells(lists.where("token > 0"), percent, 8).groupBy("token", "class", "one", "step", "two").count().collect()]
     assert max(sizes) <= 3 * 16
 
 
+def test_a_hot_list_travels_in_shares(spark, small_parts):
+    rows = [(7, i, 60, 0, i) for i in range(8_000)] + [(t, 10_000 + 2 * t + i, 60, 0, i) for t in range(100, 400) for i in range(2)]
+    rows += [(9_999, 5, 60, 0, 5)]
+    made = postings(spark, rows, 500)
+    assert made.count() == len(rows)
+    lists = made.groupBy("token").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = jaccard.in_shares(made.drop("share", "shares"), lists, 500).cache()
+    assert shared.count() == 8_600 and shared.where("token = 9999").isEmpty()
+    sizes = {(r["token"], r["share"]): (r["count"], r["shares"]) for r in shared.groupBy("token", "share", "shares").count().collect()}
+    hot = [v for (t, _), v in sizes.items() if t == 7]
+    assert len(hot) == 16 and max(n for n, _ in hot) < 650 and all(shares == 16 for _, shares in hot)
+    assert all(v == (2, 1) for (t, _), v in sizes.items() if t != 7)
+
+
+@pytest.mark.parametrize("long", [3, 10**9])
+def test_shares_change_no_component(documents, monkeypatch, long):
+    monkeypatch.setattr(jaccard.in_shares, "__defaults__", (long, 4))
+    rng = random.Random(2)
+    rows = [(i, edited(BASE, i % 9, i)) for i in range(40)] + [(100 + i, " ".join(BASE[:5] + text(40, i))) for i in range(30)]
+    rows += [(200 + i, " ".join(f"t{k}" for k in sorted(rng.sample(range(30), 24)))) for i in range(20)]
+    assert got(jaccard.near_duplicates(documents(rows))) == Counter(brute.components(rows))
+
+
 def test_unrelated_members_of_a_hot_shingle_are_spread(spark, small_parts, conf):
     conf("spark.sql.shuffle.partitions", "16")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rng = random.Random(5)
-    lists = postings(spark, [(7, i, rng.randrange(60, 70), 0, i) for i in range(16_000)]).cache()
+    lists = postings(spark, [(7, i, rng.randrange(60, 70), 0, i) for i in range(16_000)], jaccard.LONG_LIST).cache()
     lists.count()
     start = time.perf_counter()
     assert jaccard._cross_pairs(lists, 10, 80).count() == 0
