@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,14 +15,34 @@ def decode(code: Column, labels: Mapping[int, str], default: str) -> Column:
     return F.coalesce(F.create_map(*pairs)[code.try_cast("int")], F.lit(default))
 
 
+def folded(value: Column) -> Column:
+    """The text under which spellings that differ in case alone are equal; NULL stays NULL.
+
+    Lower case, with the final sigma as any other sigma. Two texts are equal this way exactly where the collation
+    ``UTF8_LCASE`` calls them equal: accents count, ``ß`` is not ``ss``, ``İ`` is an i with a dot above. Unlike a collated
+    column the result is plain text, which scans can filter on, and which hashes, buckets and joins as it is.
+    """
+    return F.translate(F.lower(value), "ς", "σ")
+
+
+def with_folded_keys(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with a column ``<name>_key`` per named one, to be stored with it."""
+    return df.withColumns({f"{c}_key": folded(F.col(f"`{c}`")) for c in columns})
+
+
+def folded_key(df: DataFrame, column: str) -> Column:
+    """The folded text of a column: the stored ``<name>_key`` where the frame has one, else computed."""
+    return F.col(f"`{column}_key`") if f"{column}_key" in df.columns else folded(F.col(f"`{column}`"))
+
+
 def same_text(value: Column, text: str) -> Column:
     """Case-blind equality with a literal; NULL stays NULL."""
-    return F.lower(value) == F.lit(text.lower())
+    return folded(value) == folded(F.lit(text))
 
 
 def text_in(value: Column, texts: list[str]) -> Column:
     """Case-blind membership in a literal list."""
-    return F.lower(value).isin([t.lower() for t in texts])
+    return folded(value).isin([folded(F.lit(t)) for t in texts])
 
 
 def text_or_empty(value: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import fixed_values as V
-from cartwright.functions.columns import decode, percent_of, same_text, shift_hours, since, text_in
+from cartwright.functions.columns import decode, folded_key, percent_of, same_text, shift_hours, since, text_in
 from cartwright.operators.dedupe import distinct_ordered_concat, latest_per_key
 from cartwright.operators.eav import attribute_lookup, eav_pivot, option_texts
 from cartwright.operators.joins import lookup_join
@@ -44,13 +44,14 @@ def one_address(addresses: DataFrame, address_type: str = V.SHIPPING_ADDRESS) ->
 
 
 def coupon_types(coupons: DataFrame, rules: DataFrame) -> DataFrame:
-    """(code_key, coupon_type): one rule per code, case-blind; the lowest rule id where a code has several."""
+    """(code_key, coupon_type): one rule per code, case-blind (``folded``; a stored ``code_key`` is taken as it is); the
+    lowest rule id where a code has several."""
     types = rules.select("rule_id", "rule_cart_type")
     first = F.min(F.struct("rule_id", "rule_cart_type")).alias("rule")
-    usable = coupons.where(F.col("code").isNotNull()).select("rule_id", "code")
+    usable = coupons.select("rule_id", folded_key(coupons, "code").alias("code_key")).where(F.col("code_key").isNotNull())
     return (
         lookup_join(usable, types, "rule_id", "left")
-        .groupBy(F.lower("code").alias("code_key"))
+        .groupBy("code_key")
         .agg(first)
         .select("code_key", F.col("rule.rule_cart_type").alias("coupon_type"))
     )
@@ -124,7 +125,7 @@ def item_margin(items: DataFrame) -> DataFrame:
 
 def refunded(qty_refunded: Column, method: Column, shipment_status: Column) -> Column:
     """True when something was refunded and the money had been taken: paid up front, or delivered."""
-    taken = (F.lower(method) != V.CASH_ON_DELIVERY) | (shipment_status == V.SHIPMENT_DONE)
+    taken = ~same_text(method, V.CASH_ON_DELIVERY) | (shipment_status == V.SHIPMENT_DONE)
     return F.coalesce((qty_refunded > 0) & taken, F.lit(False))
 
 
@@ -315,7 +316,7 @@ def order_side(t: Mapping[str, DataFrame], settings: Settings = Settings()) -> D
     The coupon comes first: the joins after it are all on the order id, one row per order on both sides, and
     leave the result partitioned for the items.
     """
-    orders = t["orders"].withColumn("code_key", F.lower("coupon_code"))
+    orders = t["orders"].withColumn("code_key", folded_key(t["orders"], "coupon_code"))
     coded = lookup_join(orders, coupon_types(t["coupons"], t["rules"]), "code_key", "left",
                         profile=orders.select("code_key"))
     payment = one_payment(t["payments"]).withColumn("_paid", F.lit(True))
