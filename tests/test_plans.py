@@ -135,3 +135,28 @@ def test_the_whole_report_plan(spark, conf):
 def test_distinct_count_is_two_level(spark):
     text = plan(driver.queries()["op_count_sum_distinct"](spark, SF_DIR))
     assert text.count("Exchange hashpartitioning") == 2 and "Expand" not in text
+
+
+def carried(df, column: str) -> int:
+    """How many shuffles carry a column."""
+    outputs = [n.output() for n in nodes(df) if n.nodeName() == "Exchange"]
+    return sum(column in [out.apply(i).name() for i in range(out.size())] for out in outputs)
+
+
+def test_wide_columns_of_large_tables_move_once(spark, conf):
+    """Were three moves of an item's columns and four of an order's, two of them once per item."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.cartwright.skewMinBytes", "1")
+    df = driver.queries()["orders_items_wide"](spark, SF_DIR)
+    assert {c: carried(df, c) for c in ("main_category", "sub_category", "checkout_from", "promo_code")} == {
+        "main_category": 1, "sub_category": 1, "checkout_from": 1, "promo_code": 0}
+    assert shuffles(df).count("order_id") == 1 and scans(df)
+    rolled = driver.queries()["rollup_of_wide"](spark, SF_DIR)
+    assert carried(rolled, "base_row_total") == 1 and carried(rolled, "total_price") == 0
+
+
+def test_large_trails_move_once(spark, conf):
+    """Were two shuffles, by key and status and then by key."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.cartwright.skewMinBytes", "1")
+    assert shuffles(driver.queries()["status_trail"](spark, SF_DIR)) == ["parent_id"]

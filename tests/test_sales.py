@@ -241,6 +241,20 @@ def test_wide_is_the_same_when_hot_keys_are_spread(frame, skew_path, conf):
     assert rows(wide(S.wide_tables(frame))) == spread
 
 
+def test_wide_is_the_same_by_keys_when_ids_repeat_or_are_null(frame, conf):
+    t = S.wide_tables(frame)
+    more = [(None, *S.item(9, 1, product_id=100)[1:]), S.item(1, 1, product_id=None), S.item(1, 2, product_id=100), S.item(7, None),
+            S.item(2, 1, product_id=101), S.item(2, 1, product_id=101), (None, *S.item(9, 2, product_id=None)[1:])]
+    t["items"] = t["items"].unionByName(frame(S.ITEMS, more))
+    t["orders"] = t["orders"].unionByName(frame(S.ORDERS, [S.order(2, coupon_code="gift"), (None, *S.order(9, coupon_code="X")[1:])]))
+    conf("spark.cartwright.skewMinBytes", str(1 << 40))
+    plain = rows(wide(t))
+    conf("spark.sql.shuffle.partitions", "16")
+    conf("spark.cartwright.skewMinBytes", "0")
+    assert rows(wide(t)) == plain
+    assert (len(plain), sum(r[11] == "Marketing" for r in plain)) == (13, 10)
+
+
 def test_rollup(frame):
     ddl = ("order_number STRING, transaction_date TIMESTAMP_NTZ, main_category STRING, sub_category STRING, "
            "seller_name STRING, quantity DECIMAL(12,4), total_price DECIMAL(20,4), item_discount DECIMAL(20,4), "
