@@ -160,3 +160,23 @@ def test_large_trails_move_once(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     conf("spark.cartwright.skewMinBytes", "1")
     assert shuffles(driver.queries()["status_trail"](spark, SF_DIR)) == ["parent_id"]
+
+
+def test_large_wide_rows_move_narrow(spark, conf):
+    """Were 24 bytes and more for each money column; product texts moved twice, by item and by order."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.cartwright.skewMinBytes", "1")
+    df = driver.queries()["orders_items_wide"](spark, SF_DIR)
+    assert {c: carried(df, c) for c in ("base_tax_amount", "customer_email", "base_cost", "courier_names")} == {
+        "base_tax_amount": 0, "customer_email": 0, "base_cost": 0, "courier_names": 0}
+    moved = [(n.simpleString(500), n.output()) for n in nodes(df) if n.nodeName() == "Exchange"]
+    by_item = [out for text, out in moved if "partitioning(item_id" in text]
+    assert by_item and not [out for out in by_item if "category_path" in [out.apply(i).name() for i in range(out.size())]]
+
+
+def test_shipment_lines_are_counted_where_the_newest_shipments_are(spark, conf):
+    """Were a shuffle by item of all shipment lines for their number, and one for the newest of them."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")  # shows the shuffles that are used again before anything runs
+    df = driver.queries()["orders_items_wide"](spark, SF_DIR)
+    assert shuffles(df).count("order_item_id") == 2  # the lines, and the returns
