@@ -180,3 +180,20 @@ def test_shipment_lines_are_counted_where_the_newest_shipments_are(spark, conf):
     conf("spark.sql.adaptive.enabled", "false")  # shows the shuffles that are used again before anything runs
     df = driver.queries()["orders_items_wide"](spark, SF_DIR)
     assert shuffles(df).count("order_item_id") == 2  # the lines, and the returns
+
+
+def test_orders_are_counted_without_the_sums(spark, conf):
+    """Were decimal sums beside every order of a group; now a row that moves for an order holds none."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = [k for k in shuffles(driver.queries()["rollup_of_wide"](spark, SF_DIR)) if k.startswith("trx_date")]
+    group = "trx_date, main_category, sub_category, seller_class"
+    assert keys == [group, f"{group}, _orders, order_number"]
+
+
+def test_the_rollup_of_the_wide_table_reads_all_its_tables(spark, conf):
+    """Sides of which the rollup shows nothing are still found: products with their categories, shipments and returns."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.cartwright.skewMinBytes", "1")
+    df = driver.queries()["rollup_of_wide"](spark, SF_DIR)
+    assert set(scans(df)) >= {"lineitem", "orders", "part", "customer", "supplier", "nation", "region"}
+    assert {"product_id", "item_id", "order_item_id", "rma_entity_id", "return_item_id"} <= set(shuffles(df))

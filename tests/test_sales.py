@@ -342,3 +342,17 @@ def test_source_names_given_by_the_caller():
     assert named["balances"] == "shop_customerbalance" and named["orders"] == "dw.orders" and named["items"] == "sales_order_item"
     with pytest.raises(ValueError, match="odrers"):
         jobs.source_names(jobs.SALES_SOURCES, names={"odrers": "x"})
+
+
+@pytest.mark.parametrize("by", ["class", "seller"])
+def test_rollup_is_the_same_when_sums_move_apart(frame, by):
+    ddl = ("order_number STRING, transaction_date TIMESTAMP_NTZ, main_category STRING, sub_category STRING, seller_name STRING, "
+           "quantity DECIMAL(12,4), total_price DECIMAL(20,4), item_discount DECIMAL(20,4), retail_margin DECIMAL(34,8), "
+           "marketplace_commission_amount DECIMAL(36,2)")
+    rng = random.Random(5)
+    data = [(rng.choice(["O1", "O2", "O3", None]), f"2026-01-0{rng.randrange(1, 3)} 10:00:00", rng.choice(["H", None]), "L",
+             rng.choice(["House", "Shop X", "shop x", None]), *[rng.choice([None, i, 1]) for _ in range(5)]) for i in range(200)]
+    data.append((None, "2026-01-09 10:00:00", "H", "L", None, None, None, None, None, None))
+    plain = rollup.sales_rollup(frame(ddl, data), "house", "House store", by=by)
+    apart = rollup.sales_rollup(frame(ddl, data), "house", "House store", by=by, few_groups=True)
+    assert apart.dtypes == plain.dtypes and rows(apart) == rows(plain)
